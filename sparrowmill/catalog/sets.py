@@ -2,6 +2,7 @@
 
 from pyspark.sql import functions as F
 
+from sparrowmill.operators.sets import except_all
 from sparrowmill.operators.windows import dedupe
 from sparrowmill.registry import query
 
@@ -34,7 +35,7 @@ def set_except(t):
     ({_NINETY_ONE} UNION ALL {_NINETY_ONE}) EXCEPT ALL {_ONE_NINETY_ONE}""")
 def set_except_all(t):
     rows = _named(t, "%_91%")
-    return rows.unionAll(rows).exceptAll(_named(t, "%191%"))
+    return except_all(rows.unionAll(rows), _named(t, "%191%"))
 
 
 @query("dedupe_drop", "O08", "SELECT o_orderkey, o_custkey, o_totalprice FROM orders")

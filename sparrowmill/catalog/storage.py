@@ -33,7 +33,6 @@ def _by_quantity(t, sort):
         f"lineitem_by_quantity_{uuid.uuid4().hex}",
         shared_folder(t.spark),
         ["l_quantity"],
-        buckets=5,
         sort=sort,
     )
     return table.read(t.spark).groupBy("l_quantity").agg(F.count(F.lit(1)).alias("cnt"))

@@ -73,13 +73,13 @@ def anti(
         if residual is not None or len(on) != 1:
             raise ValueError("null-aware anti join takes one key and no residual")
         ((left_key, right_key),) = on.items()
-        seen = right.agg(
-            F.count(F.lit(1)).alias("rows"),
-            F.count_if(F.col(right_key).isNull()).alias("nulls"),
-        )
-        rows, nulls = seen.select("rows").scalar(), seen.select("nulls").scalar()
+        state = right.agg(
+            F.when(F.count(F.lit(1)) == 0, "empty")
+            .when(F.count_if(F.col(right_key).isNull()) > 0, "nulls")
+            .otherwise("keys")
+        ).scalar()
         kept = anti(left, right, on)
-        return kept.filter((rows == 0) | ((nulls == 0) & F.col(left_key).isNotNull()))
+        return kept.filter((state == "empty") | ((state == "keys") & F.col(left_key).isNotNull()))
     if residual is None:
         right = right.select(*on.values()).distinct()
         return left.join(right, _equal(left, right, on), "left_anti")

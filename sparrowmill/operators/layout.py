@@ -82,18 +82,27 @@ def write_bucketed(
 ) -> Bucketed:
     """Write a bucketed table (sorted within buckets when ``sort`` is given).
 
-    The bucket count follows the input's size. The largest bucket is compared with the mean (one
-    row per bucket comes back) to decide how the table should be read.
+    The bucket count follows the input's size. Rows are rebalanced by bucket first, so a task
+    writes few buckets and a large bucket is written by several tasks. The largest bucket is
+    compared with the mean (one row comes back) to decide how the table should be read.
     """
     spark = df.sparkSession
     buckets = buckets or buckets_for(df)
-    writer = df.write.mode(mode).format("parquet").option("path", path).bucketBy(buckets, *by)
+    bucket = F.pmod(F.hash(*by), F.lit(buckets))
+    gathered = df.withColumn("__bucket", bucket).hint("rebalance", F.col("__bucket"))
+    writer = (
+        gathered.drop("__bucket")
+        .write.mode(mode)
+        .format("parquet")
+        .option("path", path)
+        .bucketBy(buckets, *by)
+    )
     if sort:
         writer = writer.sortBy(*sort)
     writer.saveAsTable(table)
     loads = (
         spark.read.parquet(path)
-        .groupBy(F.pmod(F.hash(*by), F.lit(buckets)).alias("bucket"))
+        .groupBy(bucket.alias("bucket"))
         .agg(F.count(F.lit(1)).alias("n"))
         .agg(F.max("n").alias("top"), F.sum("n").alias("total"))
         .first()

@@ -19,6 +19,7 @@ def spark(tmp_path_factory):
         "local[8]",
         spark__sql__shuffle__partitions="8",
         spark__driver__memory="12g",
+        spark__sql__maxMetadataStringLength="2000",
         spark__checkpoint__dir=str(tmp_path_factory.mktemp("shared")),
         spark__sql__warehouse__dir=str(tmp_path_factory.mktemp("warehouse")),
     )
