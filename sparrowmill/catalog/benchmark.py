@@ -102,7 +102,7 @@ query("tpch_q11", "T11 A12 A13", with_ctes("partsupp", f"""
     FROM partsupp, supplier, nation
     WHERE ps_suppkey = s_suppkey AND s_nationkey = n_nationkey AND n_name = 'NATION_7'
     GROUP BY ps_partkey HAVING SUM(ps_supplycost * ps_availqty) > (
-      SELECT SUM(ps_supplycost * ps_availqty) * CAST(0.001 AS DECIMAL(4,3))
+      SELECT SUM(ps_supplycost * ps_availqty) * CAST(0.0001 AS DECIMAL(5,4))
       FROM partsupp, supplier, nation
       WHERE ps_suppkey = s_suppkey AND s_nationkey = n_nationkey AND n_name = 'NATION_7')"""))(
     tpch.q11

@@ -11,20 +11,11 @@ from sparrowmill.catalog.sql import CHARGE, dbl, money as sql_money, with_ctes
 from sparrowmill.functions.exact import charged
 from sparrowmill.operators import quality
 from sparrowmill.operators.compare import compare_results as compare
-from sparrowmill.operators.quality import Expectation
 from sparrowmill.operators.scd2 import scd2_from_log
 from sparrowmill.plans.runner import SUITES
+from sparrowmill.plans.user_history import HISTORY_SUITE
 from sparrowmill.registry import query
 
-# The checks of the user history.
-HISTORY_SUITE = (
-    Expectation("not_null", "id"),
-    Expectation("not_null", "start_date"),
-    Expectation("matches_strftime", "start_date", {"format": "%Y-%m-%d %H:%M:%S"}),
-    Expectation("matches_strftime", "end_date", {"format": "%Y-%m-%d %H:%M:%S"}),
-    Expectation("between", "age", {"max_value": 10}),
-)
-
 _ROW = "SELECT '{}' AS dataset, '{}' AS expectation, '{}' AS \"column\", {} AS observed, {} AS unexpected, {} = 0 AS success FROM {}"
 
 

@@ -15,10 +15,9 @@ def scan_parquet(t):
     return t.customer.select("c_custkey", "c_name", "c_nationkey", "c_acctbal", "c_mktsegment")
 
 
-@query("project_columns", "P01",
-       "SELECT o_orderkey, o_totalprice FROM orders ORDER BY o_orderkey LIMIT 10")
+@query("project_columns", "P01", "SELECT o_orderkey, o_totalprice FROM orders")
 def project_columns(t):
-    return t.orders.select("o_orderkey", "o_totalprice").orderBy("o_orderkey").limit(10)
+    return t.orders.select("o_orderkey", "o_totalprice")
 
 
 @query("filter_eq", "P02", "SELECT * FROM customer WHERE c_nationkey = 20")
@@ -149,22 +148,20 @@ def topk_orders(t):
 @query("sort_nulls_first", "O03", """
     SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, flagged FROM (
       SELECT *, CASE WHEN l_returnflag <> 'N' THEN l_quantity END AS flagged FROM lineitem)
-    ORDER BY flagged ASC NULLS FIRST, l_orderkey, l_linenumber, l_partkey, l_suppkey LIMIT 100""")
+    ORDER BY flagged ASC NULLS FIRST, l_orderkey, l_linenumber, l_partkey, l_suppkey""")
 def sort_nulls_first(t):
     flagged = F.when(F.col("l_returnflag") != "N", F.col("l_quantity"))
     keys = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"]
-    return (
-        t.lineitem.select(*keys, flagged.alias("flagged"))
-        .orderBy(F.col("flagged").asc_nulls_first(), *keys)
-        .limit(100)
+    return t.lineitem.select(*keys, flagged.alias("flagged")).orderBy(
+        F.col("flagged").asc_nulls_first(), *keys
     )
 
 
 @query("literal_rows", "S12 D08", """
     SELECT * FROM (VALUES (CAST(1 AS BIGINT), 'hello'), (1, 'hello')) AS v(sample_key, sample_status)
-    UNION ALL SELECT CAST(r_regionkey AS BIGINT), r_name FROM region""")
+    UNION ALL SELECT p_partkey, p_name FROM part""")
 def literal_rows(t):
     rows = t.spark.createDataFrame(
         [(1, "hello"), (1, "hello")], "sample_key bigint, sample_status string"
     )
-    return insert_into(rows, t.region.select("r_regionkey", "r_name"))
+    return insert_into(rows, t.part.select("p_partkey", "p_name"))

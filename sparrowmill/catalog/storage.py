@@ -1,7 +1,9 @@
 """Storage layout, statistics, catalog listing and pushed-down filters."""
 
 import uuid
+from functools import reduce
 
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sparrowmill.catalog.sql import dbl
@@ -77,19 +79,28 @@ def table_profile(t):
 _LISTED = ("customer", "lineitem", "nation", "orders", "part", "region", "supplier")
 
 
-@query("catalog_columns", "L08", f"""
-    SELECT table_name, column_name FROM information_schema.columns
-    WHERE table_name IN ({', '.join(repr(n) for n in _LISTED)})""")
+@query("catalog_columns", "L08 A01", "SELECT * FROM (" + " UNION ALL ".join(f"""
+    SELECT table_name, column_name, (SELECT COUNT(*) FROM {n}) AS row_count
+    FROM information_schema.columns WHERE table_name = '{n}'""" for n in _LISTED) + ")")
 def catalog_columns(t):
+    """Every column the catalog lists for the tables, with the table's row count."""
     for name in _LISTED:
         t.read(name).createOrReplaceTempView(name)
-    rows = [
+    listed = [
         (table.name, column.name)
         for table in t.spark.catalog.listTables()
         if table.name in _LISTED
         for column in t.spark.catalog.listColumns(table.name)
     ]
-    return t.spark.createDataFrame(rows, "table_name string, column_name string")
+    columns = t.spark.createDataFrame(listed, "table_name string, column_name string")
+    counts = reduce(
+        DataFrame.unionByName,
+        [
+            t.spark.table(n).agg(F.lit(n).alias("table_name"), F.count(F.lit(1)).alias("row_count"))
+            for n in _LISTED
+        ],
+    )
+    return columns.join(counts, "table_name")
 
 
 @query("filter_after_agg", "L10", """

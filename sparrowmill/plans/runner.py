@@ -134,3 +134,20 @@ class Pipeline:
                 ).select(*columns)
             done[name] = Dataset(name, frame, node.keys, place)
         return done
+
+
+def run_reports(
+    spark: SparkSession,
+    sources: Callable[[str], DataFrame],
+    run_ts: str,
+    path: str | None = None,
+    suites: Mapping[str, Sequence[Expectation]] = SUITES,
+) -> dict[str, DataFrame]:
+    """Both daily reports from one run, published as global views."""
+    done = Pipeline(suites=suites).run(
+        spark, ["daily_category_metrics", "daily_order_metrics"], sources, run_ts, path
+    )
+    return {
+        "daily_category_report": gold.daily_category_report(done["daily_category_metrics"].df),
+        "daily_order_report": gold.daily_order_report(done["daily_order_metrics"].df),
+    }

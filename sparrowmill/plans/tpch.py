@@ -235,7 +235,7 @@ def q10(t: Tables, date: str = "1996-10-01", limit: int = 20) -> DataFrame:
     )
 
 
-def q11(t: Tables, nation: str = "NATION_7", fraction: str = "0.001") -> DataFrame:
+def q11(t: Tables, nation: str = "NATION_7", fraction: str = "0.0001") -> DataFrame:
     """Parts holding more than a fraction of a nation's stock value."""
     value = F.sum(F.col("ps_supplycost") * F.col("ps_availqty"))
     stock = t.partsupp.join(_suppliers(t, nations=[nation]), _eq("ps_suppkey", "s_suppkey"))

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import os
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -59,3 +59,15 @@ def read_jdbc(
     for key, value in options.items():
         reader = reader.option(key, value)
     return reader.load()
+
+
+def upstream_tables(
+    spark: SparkSession, partitions: Mapping[str, tuple[str, tuple, int]] | None = None
+) -> Callable[[str], DataFrame]:
+    """Tables by name for a pipeline run; ``partitions`` gives (column, bounds, count) per table."""
+
+    def table(name: str) -> DataFrame:
+        column, bounds, count = (partitions or {}).get(name, (None, None, None))
+        return read_jdbc(spark, name, column, bounds, count)
+
+    return table

@@ -33,6 +33,8 @@ def list_snapshots(spark: SparkSession, path: str, snapshot_col: str) -> list[st
     jvm = spark.sparkContext._jvm
     root = jvm.org.apache.hadoop.fs.Path(path)
     fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not fs.exists(root):
+        return []
     unescape = jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.unescapePathName
     names = [status.getPath().getName() for status in fs.listStatus(root)]
     prefix = f"{snapshot_col}="

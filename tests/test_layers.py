@@ -125,3 +125,33 @@ def test_reports_are_global_views(spark, tables):
     metrics = Pipeline().run(spark, ["daily_order_metrics"], upstream(tables), RUN_TS, validate=False)
     gold.daily_order_report(metrics["daily_order_metrics"].df)
     assert spark.sql("SELECT * FROM global_temp.daily_order_report").columns == ["Date", "Revenue", "Mean Revenue"]
+
+
+def test_both_reports_from_one_run(spark, tables, tmp_path):
+    from sparrowmill.plans.runner import run_reports
+
+    views = run_reports(spark, upstream(tables), RUN_TS, str(tmp_path / "lake"), STAND_IN_SUITES)
+    assert views["daily_category_report"].columns == ["Date", "Product Category", "Mean Revenue", "Median Revenue"]
+    assert views["daily_order_report"].count() > 0 and views["daily_category_report"].count() > 0
+
+
+def test_user_history_runs(spark, tmp_path):
+    from sparrowmill.plans.user_history import SNAPSHOT, run_user_history
+    from sparrowmill.sources.snapshots import list_snapshots
+
+    def users(*rows):
+        frame = spark.createDataFrame(list(rows), "id int, name string, age int, updated_at string, extra int")
+        return frame.withColumn("updated_at", F.col("updated_at").cast("timestamp"))
+
+    path = str(tmp_path / "users")
+    first = users((1, "a", 1, "2024-01-01 00:00:00", 0), (2, "b", 20, "2024-01-01 00:00:00", 0))
+    second = users((1, "a", 2, "2024-01-05 00:00:00", 0), (2, "c", 20, "2023-12-31 00:00:00", 0))
+    run_user_history(spark, first, path, "2024-01-02 00:00:00")
+    for _ in range(2):  # the second time is a rerun
+        done = run_user_history(spark, second, path, "2024-01-06 00:00:00")
+    versions = sorted((r.id, r.age, r.is_active) for r in done["report"].collect())
+    assert versions == [(1, 1, False), (1, 2, True), (2, 20, True)]
+    assert [r.name for r in done["late"].collect()] == ["c"]
+    assert [r.success for r in sorted(done["checks"].collect(), key=lambda r: r["position"])] == [True, True, True, True, False]
+    assert list_snapshots(spark, path, SNAPSHOT) == ["2024-01-02 00:00:00", "2024-01-06 00:00:00"]
+    assert spark.sql("SELECT * FROM global_temp.scd_users_report").columns == ["id", "is_active", "start_date", "end_date", "name", "age"]

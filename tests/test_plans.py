@@ -82,7 +82,7 @@ def test_dedupe_limits_groups_before_the_shuffle(spark, small):
 
 
 def test_top_k_is_not_a_full_sort(spark, small):
-    text = plan(QUERIES["sort_nulls_first"](spark, small))
+    text = plan(QUERIES["topk_orders"](spark, small))
     assert "TakeOrderedAndProject" in text and "rangepartitioning" not in text
 
 
