@@ -15,7 +15,11 @@ _LINE_SQL = "l_linenumber, l_partkey, l_suppkey, l_shipdate"
 
 
 def _line_bands():
-    return [(F.col("l_linenumber"), "asc"), (F.floor(F.col("l_partkey") / F.lit(1000)), "asc")]
+    return [
+        (F.floor(F.col("l_linenumber") / F.lit(1000)), "asc"),
+        (F.col("l_linenumber"), "asc"),
+        (F.floor(F.col("l_partkey") / F.lit(1000)), "asc"),
+    ]
 
 
 def _lines(t):

@@ -7,7 +7,8 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sparrowmill.operators.skew import assert_unique
+from sparrowmill.operators.joins import anti
+from sparrowmill.operators.skew import apart, assert_unique
 
 
 def insert_into(target: DataFrame, rows: DataFrame) -> DataFrame:
@@ -51,7 +52,7 @@ def merge_upsert(
     source key fails the job. Matched and inserted rows come from two joins, each of which Spark
     can split where the target holds one key very often; a full outer join could not be split.
     """
-    source = assert_unique(source, keys, "merge source").select(
+    source = apart(assert_unique(source, keys, "merge source")).select(
         *[F.col(c).alias(f"s_{c}") for c in source.columns], F.lit(True).alias("s__hit")
     )
     on = [F.col(k) == F.col(f"s_{k}") for k in keys]
@@ -99,7 +100,7 @@ def apply_refresh(
     if new_lineitem is not None:
         lineitem = lineitem.unionByName(new_lineitem)
     if delete_keys is not None:
-        doomed = delete_keys.toDF("__key").distinct()
-        orders = orders.join(doomed, F.col(order_key) == F.col("__key"), "left_anti")
-        lineitem = lineitem.join(doomed, F.col(line_key) == F.col("__key"), "left_anti")
+        doomed = delete_keys.toDF("__key")
+        orders = anti(orders, doomed, {order_key: "__key"})
+        lineitem = anti(lineitem, doomed, {line_key: "__key"})
     return orders, lineitem

@@ -8,6 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from sparrowmill.operators.skew import apart
 from sparrowmill.operators.windows import cumulative
 
 STRATEGIES = ("broadcast", "merge", "shuffle_hash", "shuffle_replicate_nl")
@@ -50,9 +51,11 @@ def join_with_strategy(
 def semi(
     left: DataFrame, right: DataFrame, on: Mapping[str, str], residual: Column | None = None
 ) -> DataFrame:
-    """EXISTS / IN. Without a residual only the right side's distinct keys travel."""
+    """EXISTS / IN. Without a residual only the right side's distinct keys travel, so neither a
+    key that is hot on the left nor one that is hot on the right fills a task.
+    """
     if residual is None:
-        right = right.select(*on.values()).distinct()
+        right = apart(right.select(*on.values()).distinct())
         return left.join(right, _equal(left, right, on), "left_semi")
     return left.join(right, _equal(left, right, on) & residual, "left_semi")
 
@@ -81,7 +84,7 @@ def anti(
         kept = anti(left, right, on)
         return kept.filter((state == "empty") | ((state == "keys") & F.col(left_key).isNotNull()))
     if residual is None:
-        right = right.select(*on.values()).distinct()
+        right = apart(right.select(*on.values()).distinct())
         return left.join(right, _equal(left, right, on), "left_anti")
     return left.join(right, _equal(left, right, on) & residual, "left_anti")
 

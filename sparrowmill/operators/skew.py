@@ -40,6 +40,16 @@ def split_hot(
     return df.join(hot, on, "left_anti"), df.join(hot, on, "left_semi")
 
 
+def apart(df: DataFrame) -> DataFrame:
+    """A small-per-key join input, set apart by a shuffle so that the join shuffles it again.
+
+    Adaptive execution splits a hot partition only where both join inputs come straight from the
+    join's own shuffles. The result of an aggregate or join on the same key has no such shuffle,
+    and would leave the other side's hot key whole.
+    """
+    return df.hint("rebalance")
+
+
 def assert_unique(df: DataFrame, keys: Sequence[str], what: str) -> DataFrame:
     """``df`` again, failing the job when a key occurs twice. One row per key, no hot groups left."""
     rest = [c for c in df.columns if c not in set(keys)]

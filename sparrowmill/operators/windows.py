@@ -40,31 +40,38 @@ def _add(earlier: Column, here: Column) -> Column:
 
 
 def cumulative(
-    df: DataFrame, by: Sequence[str], order: Order, bands: Bands, sums: Mapping[str, str]
+    df: DataFrame,
+    by: Sequence[str],
+    order: Order,
+    bands: Bands,
+    sums: Mapping[str, str],
+    last: int = 0,
 ) -> DataFrame:
     """Running sums over rows whose ``order`` is unique per ``by``, computed chunk by chunk.
 
-    ``by`` may be empty: then the chunks of the whole frame are added up, never its rows.
+    A chunk is one value of all bands; what the chunks before it add is found in the same way from
+    the chunk totals and one band less, so no task ever holds more rows than one band has values.
+    ``by`` may be empty. ``last`` is 0 to count the row itself in, -1 to leave it out.
     """
+    if not bands:
+        window = Window.partitionBy(*by).orderBy(*_sorted(order))
+        window = window.rowsBetween(Window.unboundedPreceding, last)
+        return df.withColumns({new: F.sum(col).over(window) for new, col in sums.items()})
     names = [f"__band{i}" for i in range(len(bands))]
     chunk = [*by, *names]
-    inside = Window.partitionBy(*chunk).orderBy(*_sorted(order))
     banded = df.withColumns({n: band for n, (band, _) in zip(names, bands)})
-    local = banded.withColumns(
-        {
-            new: F.sum(col).over(inside.rowsBetween(Window.unboundedPreceding, 0))
-            for new, col in sums.items()
-        }
-    )
-    totals = banded.groupBy(*chunk).agg(*[F.sum(col).alias(new) for new, col in sums.items()])
-    earlier = (
-        Window.partitionBy(*by)
-        .orderBy(*_sorted([(n, way) for n, (_, way) in zip(names, bands)]))
-        .rowsBetween(Window.unboundedPreceding, -1)
-    )
-    before = totals.select(
-        *[F.col(k).alias(f"__c_{k}") for k in chunk],
-        *[F.sum(new).over(earlier).alias(f"__before_{new}") for new in sums],
+    local = cumulative(banded, chunk, order, [], sums, last)
+    totals = banded.groupBy(*chunk).agg(*[F.sum(col).alias(f"__t_{new}") for new, col in sums.items()])
+    ways = [way for _, way in bands]
+    before = cumulative(
+        totals,
+        by,
+        list(zip(names, ways)),
+        [(F.col(n), way) for n, way in zip(names[:-1], ways)],
+        {f"__before_{new}": f"__t_{new}" for new in sums},
+        last=-1,
+    ).select(
+        *[F.col(k).alias(f"__c_{k}") for k in chunk], *[f"__before_{new}" for new in sums]
     )
     joined = local.join(before, same(local, before, chunk, "__c_"), "left")
     filled = [

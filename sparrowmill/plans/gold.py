@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sparrowmill.functions.exact import mean
+from sparrowmill.operators.skew import apart
 from sparrowmill.plans.bronze import STAMP
 
 
@@ -54,7 +55,7 @@ def wide_order_items(
     sellers = dim_seller.select("seller_id", "is_active")
     return (
         fact_order_items.drop(STAMP)
-        .join(products, "product_id", "left")
+        .join(apart(products), "product_id", "left")
         .join(sellers, "seller_id", "left")
         .select(
             "order_item_id", "order_id", "product_id", "seller_id", "quantity", "base_price",

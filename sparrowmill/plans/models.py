@@ -6,6 +6,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sparrowmill.functions.exact import charged, money
+from sparrowmill.operators.joins import semi
+from sparrowmill.operators.skew import apart
 from sparrowmill.sources.tables import Tables
 
 
@@ -51,14 +53,9 @@ def brand_metrics(t: Tables, fanout: bool = False) -> DataFrame:
     ``fanout`` multiplies each metric by the brand's number of parts, which is what joining the
     metrics back to the part table gives.
     """
-    # Every line's (part, supplier) pair is in partsupp by construction of both tables, so one
-    # semi join on the distinct pairs keeps the meaning of the composite join.
-    pairs = t.partsupp.select("ps_partkey", "ps_suppkey")
-    lines = t.lineitem.join(
-        pairs,
-        (F.col("l_partkey") == F.col("ps_partkey")) & (F.col("l_suppkey") == F.col("ps_suppkey")),
-        "left_semi",
-    ).select(
+    # The stock table adds no columns and holds each (part, supplier) pair once.
+    stocked = semi(t.lineitem, t.partsupp, {"l_partkey": "ps_partkey", "l_suppkey": "ps_suppkey"})
+    lines = stocked.select(
         "l_orderkey", "l_partkey", "l_suppkey",
         charged().alias("charge"), money("l_extendedprice").alias("price"),
     )
@@ -125,7 +122,7 @@ def one_big_table(t: Tables) -> DataFrame:
         F.col("c_acctbal").alias("customeraccountbal"),
         F.col("c_mktsegment").alias("customermktsegment"),
     )
-    stock = t.partsupp.select(
+    stock = apart(t.partsupp).select(
         "ps_partkey", "ps_suppkey", F.col("ps_availqty").alias("availqty"),
         F.col("ps_supplycost").alias("supplycost"),
     )

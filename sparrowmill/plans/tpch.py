@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from sparrowmill.functions.columns import in_year
 from sparrowmill.functions.exact import charged, discounted, mean, money, rate
 from sparrowmill.operators.joins import anti, semi
+from sparrowmill.operators.skew import apart
 from sparrowmill.sources.tables import Tables
 
 
@@ -69,7 +70,7 @@ def q02(
         F.min("ps_supplycost").alias("m_cost")
     )
     return (
-        offers.join(cheapest, _eq("p_partkey", "m_partkey") & _eq("ps_supplycost", "m_cost"))
+        offers.join(apart(cheapest), _eq("p_partkey", "m_partkey") & _eq("ps_supplycost", "m_cost"))
         .select("s_acctbal", "s_name", F.col("s_nation").alias("n_name"), "p_partkey", "p_mfgr")
         .orderBy(F.desc("s_acctbal"), "n_name", "s_name", "p_partkey")
         .limit(limit)
@@ -196,7 +197,7 @@ def q08(
 def q09(t: Tables, word: str = "hot") -> DataFrame:
     """Profit by nation and year on the parts whose name holds a word."""
     parts = t.part.filter(F.col("p_name").contains(word))
-    stock = semi(t.partsupp, parts, {"ps_partkey": "p_partkey"})
+    stock = apart(semi(t.partsupp, parts, {"ps_partkey": "p_partkey"}))
     profit = discounted() - F.col("ps_supplycost") * F.col("l_quantity").cast("decimal(4,0)")
     per_order = (
         semi(t.lineitem, parts, {"l_partkey": "p_partkey"})
