@@ -7,6 +7,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from sparrowmill.operators.skew import apart
 from sparrowmill.operators.windows import cumulative
@@ -139,7 +140,9 @@ def band_join_counts(
 ) -> DataFrame:
     """Both sides' non-null row counts of ``band_join``, from weights instead of joined rows.
 
-    Each side shrinks to one row per (key, time) with its row count before the shuffle.
+    Each side shrinks to one row per (key, time) with its row count before the shuffle. Where the
+    times are dates a key then has no more rows than the calendar has days, and one outer join
+    does; with finer times the outer forms are composed as in ``band_join``.
     """
 
     def weigh(df: DataFrame, keys: Sequence[str], ts: str, name: str) -> DataFrame:
@@ -147,7 +150,11 @@ def band_join_counts(
 
     lefts = weigh(left, list(on), left_ts, "__n_left")
     rights = weigh(right, list(on.values()), right_ts, "__n_right")
-    joined = band_join(lefts, rights, on, left_ts, right_ts, days, how)
+    if all(isinstance(df.schema[c].dataType, T.DateType) for df, c in ((left, left_ts), (right, right_ts))):
+        near = _equal(lefts, rights, on) & _within(lefts[left_ts], rights[right_ts], days)
+        joined = lefts.join(rights, near, how)
+    else:
+        joined = band_join(lefts, rights, on, left_ts, right_ts, days, how)
     pairs = F.coalesce(F.col("__n_left"), F.lit(1)) * F.coalesce(F.col("__n_right"), F.lit(1))
 
     def counted(weight: str, key: str) -> Column:

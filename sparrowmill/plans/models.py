@@ -54,10 +54,9 @@ def brand_metrics(t: Tables, fanout: bool = False) -> DataFrame:
     metrics back to the part table gives.
     """
     # The stock table adds no columns and holds each (part, supplier) pair once.
-    stocked = semi(t.lineitem, t.partsupp, {"l_partkey": "ps_partkey", "l_suppkey": "ps_suppkey"})
-    lines = stocked.select(
-        "l_orderkey", "l_partkey", "l_suppkey",
-        charged().alias("charge"), money("l_extendedprice").alias("price"),
+    pair = {"l_partkey": "ps_partkey", "l_suppkey": "ps_suppkey"}
+    lines = semi(t.lineitem, t.partsupp, pair).select(
+        "l_orderkey", "l_partkey", charged().alias("charge"), money("l_extendedprice").alias("price")
     )
     brands = t.part.select("p_partkey", "p_brand")
 
@@ -74,10 +73,13 @@ def brand_metrics(t: Tables, fanout: bool = False) -> DataFrame:
             )
         )
 
-    by_supplier = (
-        lines.groupBy("l_partkey", "l_suppkey")
-        .agg(F.sum("charge").alias("charge"), F.sum("price").alias("price"))
-        .join(brands, F.col("l_partkey") == F.col("p_partkey"))
+    # Summed per pair before it meets the stock table: both sides then hold a pair once.
+    per_pair = t.lineitem.groupBy("l_partkey", "l_suppkey").agg(
+        F.sum(charged()).alias("charge"), F.sum(money("l_extendedprice")).alias("price")
+    )
+    stocked = (F.col("l_partkey") == F.col("ps_partkey")) & (F.col("l_suppkey") == F.col("ps_suppkey"))
+    by_supplier = per_pair.join(t.partsupp, stocked, "left_semi").join(
+        brands, F.col("l_partkey") == F.col("p_partkey")
     )
     suppliers = per(by_supplier, "l_suppkey", "num_suppliers", "supplier_total_sold")
     by_customer = (

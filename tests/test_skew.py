@@ -104,6 +104,9 @@ def test_band_join_and_its_counts(spark, how):
     counts = joins.band_join_counts(left, right, {"lk": "rk"}, "ld", "rd", 5, how, ("a", "b")).first()
     want = plain.agg(F.count("lk").alias("a"), F.count("rk").alias("b")).first()
     assert tuple(counts) == tuple(want)
+    dated = [df.withColumn(c, F.to_date(c)) for df, c in ((left, "ld"), (right, "rd"))]
+    counts = joins.band_join_counts(*dated, {"lk": "rk"}, "ld", "rd", 5, how, ("a", "b")).first()
+    assert tuple(counts) == tuple(want)
 
 
 def test_pair_counts_match_the_self_join(spark):
@@ -146,3 +149,38 @@ def test_assert_unique_passes_and_fails(spark):
     assert rows_of(skew.assert_unique(good, ["k"], "t"), "k", "s") == rows_of(good, "k", "s")
     with pytest.raises(Exception, match="occurs more than once"):
         skew.assert_unique(good.unionAll(good), ["k"], "t").collect()
+
+
+@pytest.mark.parametrize("kind", ["semi", "anti", "merge"])
+def test_a_hot_key_is_split_at_run_time(spark, kind):
+    """The hot side's partition is split although the other side is an aggregate on the key."""
+    from sparrowmill.operators.dml import merge_upsert
+
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "64k",
+        "spark.sql.adaptive.coalescePartitions.minPartitionSize": "8k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "64k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2.0",
+    }
+    rows = spark.range(0, 60_000, 1, 12).select(
+        F.when(F.col("id") % 3 == 0, 7).otherwise(F.col("id")).alias("k"), F.uuid().alias("text")
+    )
+    keys = spark.range(0, 60_000, 2, 4).select(F.col("id").alias("r"))
+    for name, value in settings.items():
+        spark.conf.set(name, value)
+    try:
+        if kind == "merge":
+            source = keys.select(F.col("r").alias("k"), F.lit("new").alias("text"))
+            done = merge_upsert(
+                rows, source, ["k"], {"text": F.col("s_text")},
+                {"k": F.col("s_k"), "text": F.col("s_text")},
+            )
+        else:
+            done = getattr(joins, kind)(rows, keys, {"k": "r"})
+        done.collect()
+        final = done._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+        assert "skew=true" in final
+    finally:
+        for name in settings:
+            spark.conf.unset(name)
