@@ -178,7 +178,7 @@ def explode_categories(t):
 _ORDER_METRICS = f"{iso('order_date')} AS order_date, {dbl('total_price_sum')} AS total_price_sum, total_price_mean"
 
 
-@query("daily_order_metrics", "M24 A16 P18", with_ctes(
+@query("daily_order_metrics", "M24 A16 P18 S11", with_ctes(
     "daily_order_metrics", f"SELECT {_ORDER_METRICS} FROM daily_order_metrics"))
 def daily_order_metrics(t):
     return node(t, "daily_order_metrics")

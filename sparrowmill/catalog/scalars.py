@@ -51,6 +51,8 @@ _MONTHS = """round(CASE
 def fn_date(t):
     when = F.col("o_orderdate")
     months = F.months_between(when, F.lit("2001-01-15").cast("timestamp"))
+    # The stored wall clock read as UTC, whatever the session's time zone.
+    as_utc = F.from_utc_timestamp(when.cast("timestamp"), F.current_timezone())
     american = F.date_format(when, "MM-dd-yyyy")
     return t.orders.select(
         "o_orderkey",
@@ -67,7 +69,7 @@ def fn_date(t):
         F.year(when).alias("y"),
         F.month(when).alias("m"),
         F.weekofyear(when).alias("w"),
-        F.unix_timestamp(when.cast("timestamp")).cast("bigint").alias("seconds"),
+        F.unix_timestamp(as_utc).cast("bigint").alias("seconds"),
     )
 
 

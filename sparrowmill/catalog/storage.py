@@ -6,11 +6,11 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sparrowmill.catalog.sql import dbl
+from sparrowmill.catalog.sql import dbl, iso
 from sparrowmill.operators import layout
 from sparrowmill.operators.stats import profile
 from sparrowmill.registry import query
-from sparrowmill.sources.files import read_csv, shared_folder, write_csv
+from sparrowmill.sources.files import read_csv, read_delimited, shared_folder, write_csv
 
 
 @query("partition_pruned_read", "L01 F14 F18", """
@@ -63,6 +63,48 @@ def suppkey_qty(t):
     return rows.groupBy("l_suppkey").agg(F.sum("l_quantity").alias("quantity"))
 
 
+@query("delimited_table", "S03 S06", f"""
+    SELECT o_orderkey, o_custkey, o_totalprice, {iso('o_orderdate')} AS o_orderdate,
+      o_orderpriority FROM orders""")
+def delimited_table(t):
+    """Orders as separated text, read back into a typed table."""
+    path = shared_folder(t.spark)
+    rows = t.orders.select(
+        "o_orderkey", "o_custkey", "o_totalprice",
+        F.to_date("o_orderdate").alias("o_orderdate"), "o_orderpriority",
+    )
+    write_csv(rows, path, sep="|")
+    schema = (
+        "o_orderkey bigint, o_custkey bigint, o_totalprice double, o_orderdate date, "
+        "o_orderpriority string"
+    )
+    return read_delimited(t.spark, path, schema)
+
+
+@query("sorted_write_group", "L04 O03", _QUANTITY_SQL)
+def sorted_write_group(t):
+    """The quantity counts over files sorted by quantity; the order key splits large quantities."""
+    path = shared_folder(t.spark)
+    layout.write_sorted(
+        t.lineitem.select("l_quantity", "l_orderkey"), path, ["l_quantity", "l_orderkey"]
+    )
+    return t.spark.read.parquet(path).groupBy("l_quantity").agg(F.count(F.lit(1)).alias("cnt"))
+
+
+@query("sized_write", "L06", """
+    SELECT COUNT(*) AS "rows", TRUE AS within_size FROM lineitem""")
+def sized_write(t):
+    """Rows of a table written in files of bounded length, and whether every file keeps to it."""
+    path, most = shared_folder(t.spark), 50_000
+    layout.write_sized(t.lineitem, path, rows_per_file=most)
+    files = (
+        t.spark.read.parquet(path)
+        .groupBy(F.input_file_name().alias("file"))
+        .agg(F.count(F.lit(1)).alias("n"))
+    )
+    return files.agg(F.sum("n").alias("rows"), (F.max("n") <= most).alias("within_size"))
+
+
 _PROFILED = ("o_orderkey", "o_custkey", "o_orderstatus", "o_orderdate", "o_orderpriority")
 
 
