@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
+from functools import partial
 from graphlib import TopologicalSorter
 
 from pyspark.sql import DataFrame, SparkSession
@@ -11,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from sparrowmill.operators.quality import Expectation, enforce
 from sparrowmill.plans import gold, silver
 from sparrowmill.plans.bronze import BRONZE, STAMP, bronze, stamp
-from sparrowmill.sources.snapshots import read_snapshot, write_snapshot
+from sparrowmill.sources.snapshots import read_snapshot, write_checked_snapshot, write_snapshot
 
 
 @dataclass(frozen=True)
@@ -109,6 +110,7 @@ class Pipeline:
     ) -> dict[str, Dataset]:
         """Build, check and, with a ``path``, write each table as this run's snapshot.
 
+        A stored table is computed once: its suite reads the written rows before they are shown.
         Without a path tables are handed on as lazy plans and Catalyst sees through all layers.
         ``sources`` gives the upstream table of a name. A failing suite raises ``InvalidData``.
         """
@@ -122,16 +124,20 @@ class Pipeline:
             unknown = set(node.keys) - set(frame.columns)
             if unknown:
                 raise ValueError(f"{name} lacks its key columns {sorted(unknown)}")
-            if validate and name in self.suites:
-                enforce(frame, self.suites[name], name)
+            suite = self.suites.get(name, ()) if validate else ()
             place = None
-            if path is not None:
-                place = f"{path}/{name}"
-                columns = frame.columns
-                write_snapshot(frame.drop(STAMP), place, STAMP, run_ts)
-                frame = stamp(
-                    read_snapshot(spark, place, STAMP, run_ts).drop(STAMP), run_ts
-                ).select(*columns)
+            if path is None:
+                enforce(frame, suite, name)
+            else:
+                place, columns = f"{path}/{name}", frame.columns
+                rows = frame.drop(STAMP)
+                if suite:
+                    gate = partial(enforce, suite=suite, name=name)
+                    write_checked_snapshot(rows, place, STAMP, run_ts, gate)
+                else:
+                    write_snapshot(rows, place, STAMP, run_ts)
+                stored = read_snapshot(spark, place, STAMP, run_ts).drop(STAMP)
+                frame = stamp(stored, run_ts).select(*columns)
             done[name] = Dataset(name, frame, node.keys, place)
         return done
 

@@ -2,12 +2,25 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import uuid
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+def _hadoop(spark: SparkSession, path: str):
+    """(path, file system, partition name utilities) of the cluster's storage layer."""
+    jvm = spark.sparkContext._jvm
+    location = jvm.org.apache.hadoop.fs.Path(path)
+    fs = location.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return location, fs, jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils
+
+
+def _folder(spark: SparkSession, path: str, snapshot_col: str, snapshot: str) -> str:
+    return f"{path}/{snapshot_col}={_hadoop(spark, path)[2].escapePathName(snapshot)}"
+
+
 def write_snapshot(
     df: DataFrame,
     path: str,
@@ -28,17 +41,33 @@ def write_snapshot(
     )
 
 
+def write_checked_snapshot(
+    df: DataFrame, path: str, snapshot_col: str, snapshot: str, check: Callable[[DataFrame], None]
+) -> None:
+    """Write the rows out of readers' sight, check what was written, then show it as the snapshot.
+
+    The rows are computed once, and those checked are those published even where the source has
+    moved on. When ``check`` raises no reader ever sees them; they stay aside for inspection.
+    """
+    spark = df.sparkSession
+    aside = f"{path}/_unchecked-{uuid.uuid4().hex}"
+    df.write.parquet(aside)
+    check(spark.read.parquet(aside))
+    final, fs, _ = _hadoop(spark, _folder(spark, path, snapshot_col, snapshot))
+    if fs.exists(final):
+        fs.delete(final, True)
+    if not fs.rename(_hadoop(spark, aside)[0], final):
+        raise OSError(f"could not publish {aside} as {final.toString()}")
+
+
 def list_snapshots(spark: SparkSession, path: str, snapshot_col: str) -> list[str]:
     """Snapshot values in order, from the folder names; no data is read."""
-    jvm = spark.sparkContext._jvm
-    root = jvm.org.apache.hadoop.fs.Path(path)
-    fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    root, fs, names = _hadoop(spark, path)
     if not fs.exists(root):
         return []
-    unescape = jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.unescapePathName
-    names = [status.getPath().getName() for status in fs.listStatus(root)]
     prefix = f"{snapshot_col}="
-    return sorted(unescape(n[len(prefix) :]) for n in names if n.startswith(prefix))
+    folders = [status.getPath().getName() for status in fs.listStatus(root)]
+    return sorted(names.unescapePathName(f[len(prefix) :]) for f in folders if f.startswith(prefix))
 
 
 def read_all(spark: SparkSession, path: str, snapshot_col: str) -> DataFrame:
@@ -60,10 +89,7 @@ def read_snapshot(
     known = [s for s in list_snapshots(spark, path, snapshot_col) if at is None or s <= at]
     if not known:
         raise ValueError(f"no snapshot at or before {at} under {path}")
-    escape = (
-        spark.sparkContext._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.escapePathName
-    )
-    frame = spark.read.parquet(f"{path}/{snapshot_col}={escape(known[-1])}")
+    frame = spark.read.parquet(_folder(spark, path, snapshot_col, known[-1]))
     frame = frame.withColumn(snapshot_col, F.lit(known[-1]))
     for column, value in partition_values.items():
         frame = frame.filter(F.col(column) == F.lit(value))

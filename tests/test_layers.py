@@ -104,6 +104,21 @@ def test_a_failing_suite_stops_the_run(spark, tables):
         Pipeline().run(spark, ["daily_order_metrics"], upstream(tables), RUN_TS)
 
 
+def test_rejected_rows_are_never_published(spark, tables, tmp_path):
+    from sparrowmill.sources.snapshots import list_snapshots
+
+    path = str(tmp_path / "lake")
+    with pytest.raises(InvalidData):
+        Pipeline().run(spark, ["daily_order_metrics"], upstream(tables), RUN_TS, path)
+    assert list_snapshots(spark, f"{path}/wide_orders", STAMP) == [RUN_TS]
+    assert list_snapshots(spark, f"{path}/daily_order_metrics", STAMP) == []
+    again = Pipeline(suites=STAND_IN_SUITES)
+    for _ in range(2):
+        done = again.run(spark, ["daily_order_metrics"], upstream(tables), RUN_TS, path)
+    assert list_snapshots(spark, f"{path}/daily_order_metrics", STAMP) == [RUN_TS]
+    assert done["daily_order_metrics"].df.count() > 0
+
+
 def test_repeated_orders_stop_the_run(spark, tables):
     def sources(name):
         frame = ENTITIES[name](tables)
