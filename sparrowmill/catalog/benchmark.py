@@ -55,7 +55,7 @@ query("tpch_q06", "T06", f"""
 
 query("tpch_q07", "T07", f"""
     SELECT supp_nation, cust_nation, l_year, {dbl('SUM(volume)')} AS revenue FROM (
-      SELECT n1.n_name AS supp_nation, n2.n_name AS cust_nation, year(l_shipdate) AS l_year,
+      SELECT n1.n_name AS supp_nation, n2.n_name AS cust_nation, CAST(year(l_shipdate) AS INTEGER) AS l_year,
         {DISC} AS volume
       FROM supplier, lineitem, orders, customer, nation n1, nation n2
       WHERE s_suppkey = l_suppkey AND o_orderkey = l_orderkey AND c_custkey = o_custkey
@@ -68,7 +68,7 @@ query("tpch_q07", "T07", f"""
 _Q08 = f"""
     SELECT o_year, {dbl("SUM(CASE WHEN nation = 'NATION_7' THEN volume ELSE 0 END)")}
       / {dbl('SUM(volume)')} AS mkt_share FROM (
-      SELECT year(o_orderdate) AS o_year, {DISC} AS volume, n2.n_name AS nation
+      SELECT CAST(year(o_orderdate) AS INTEGER) AS o_year, {DISC} AS volume, n2.n_name AS nation
       FROM part, supplier, lineitem, orders, customer, nation n1, nation n2, region
       WHERE p_partkey = l_partkey AND s_suppkey = l_suppkey AND l_orderkey = o_orderkey
         AND o_custkey = c_custkey AND c_nationkey = n1.n_nationkey
@@ -81,7 +81,7 @@ query("tpch_q08_decode", "T08 P20 F07", _Q08)(lambda t: tpch.q08(t, use_decode=T
 
 query("tpch_q09", "T09 J10", with_ctes("partsupp", f"""
     SELECT nation, o_year, {dbl('SUM(amount)')} AS sum_profit FROM (
-      SELECT n_name AS nation, year(o_orderdate) AS o_year,
+      SELECT n_name AS nation, CAST(year(o_orderdate) AS INTEGER) AS o_year,
         {DISC} - ps_supplycost * CAST(l_quantity AS DECIMAL(4,0)) AS amount
       FROM part, supplier, lineitem, partsupp, orders, nation
       WHERE s_suppkey = l_suppkey AND ps_suppkey = l_suppkey AND ps_partkey = l_partkey

@@ -216,7 +216,7 @@ def snapshot_history(t):
 
 
 @query("schema_evolution", "D14 S09", with_ctes("orders_x", f"""
-    SELECT '{V1}' AS {SNAP}, COUNT(*) AS "rows", COUNT(o_comment) AS comments, 0 AS phones
+    SELECT '{V1}' AS {SNAP}, COUNT(*) AS "rows", COUNT(o_comment) AS comments, CAST(0 AS BIGINT) AS phones
     FROM orders_x UNION ALL SELECT '{V2}', COUNT(*), 0, 0 FROM orders_x"""))
 def schema_evolution(t):
     path = shared_folder(t.spark)

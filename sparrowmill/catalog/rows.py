@@ -109,9 +109,9 @@ def coalesce_unmatched(t):
 
 
 @query("safe_cast_datediff", "P11 F09", """
-    SELECT o_orderkey, date_diff('day', TRY_CAST(
+    SELECT o_orderkey, CAST(date_diff('day', TRY_CAST(
       CASE WHEN o_orderkey % 3 = 0 THEN o_orderpriority ELSE '1995-01-01' END AS DATE),
-      CAST(o_orderdate AS DATE)) AS days FROM orders""")
+      CAST(o_orderdate AS DATE)) AS INTEGER) AS days FROM orders""")
 def safe_cast_datediff(t):
     text = F.when(F.col("o_orderkey") % 3 == 0, F.col("o_orderpriority")).otherwise("1995-01-01")
     return t.orders.select(

@@ -7,7 +7,7 @@ from sparrowmill.registry import query
 
 
 @query("fn_string", "F01 F02 F03 F04 F05 F06 F18", with_ctes("orders_x", """
-    SELECT o_orderkey, length(o_orderpriority) AS priority_length,
+    SELECT o_orderkey, CAST(length(o_orderpriority) AS INTEGER) AS priority_length,
       concat(o_clerk, '-', o_orderpriority) AS clerk_priority,
       split_part(o_clerk, '#', 2) AS clerk_number, substr(o_clerk, 1, 5) AS clerk_word,
       trim('  ' || o_orderstatus || ' ') AS trimmed,
@@ -37,15 +37,15 @@ _MONTHS = """round(CASE
 
 
 @query("fn_date", "F09 F10 F11 F12 F13 F14 F15", f"""
-    SELECT o_orderkey, date_diff('day', DATE '1995-01-01', CAST(o_orderdate AS DATE)) AS days,
+    SELECT o_orderkey, CAST(date_diff('day', DATE '1995-01-01', CAST(o_orderdate AS DATE)) AS INTEGER) AS days,
       {_MONTHS} AS months, {_MONTHS} / 12 AS years,
       {iso('CAST(o_orderdate AS DATE) + 10')} AS ten_days_on,
       {iso("o_orderdate + INTERVAL 10 DAY")} AS interval_on,
       {iso("strptime(strftime(o_orderdate, '%m-%d-%Y'), '%m-%d-%Y')")} AS parsed_date,
       {iso_ts("strptime(strftime(o_orderdate, '%m-%d-%Y'), '%m-%d-%Y')")} AS parsed_ts,
       strftime(o_orderdate, '%Y-%m-01') AS month_first, strftime(o_orderdate, '%Y-%-m') AS ym,
-      strftime(o_orderdate, '%y-%b') AS year_month_name, year(o_orderdate) AS y,
-      month(o_orderdate) AS m, week(o_orderdate) AS w,
+      strftime(o_orderdate, '%y-%b') AS year_month_name, CAST(year(o_orderdate) AS INTEGER) AS y,
+      CAST(month(o_orderdate) AS INTEGER) AS m, CAST(week(o_orderdate) AS INTEGER) AS w,
       CAST(epoch(o_orderdate) AS BIGINT) AS seconds
     FROM orders""")
 def fn_date(t):

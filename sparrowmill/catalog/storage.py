@@ -14,7 +14,7 @@ from sparrowmill.sources.files import read_csv, read_delimited, shared_folder, w
 
 
 @query("partition_pruned_read", "L01 F14 F18", """
-    SELECT l_returnflag, month(l_shipdate) AS ship_month, COUNT(*) AS lines,
+    SELECT l_returnflag, CAST(month(l_shipdate) AS INTEGER) AS ship_month, COUNT(*) AS lines,
       SUM(l_quantity) AS quantity FROM lineitem
     WHERE year(l_shipdate) = 1997 GROUP BY ALL""")
 def partition_pruned_read(t):
@@ -112,7 +112,7 @@ _PROFILED = ("o_orderkey", "o_custkey", "o_orderstatus", "o_orderdate", "o_order
     SELECT '{c}' AS "column", COUNT(*) AS "rows", COUNT(*) - COUNT({c}) AS nulls,
       CAST(MIN({c}) AS VARCHAR) AS min_value, CAST(MAX({c}) AS VARCHAR) AS max_value,
       {dbl(f'SUM(length(CAST({c} AS VARCHAR)))')} / COUNT({c}) AS avg_length,
-      MAX(length(CAST({c} AS VARCHAR))) AS max_length, COUNT(DISTINCT {c}) AS distinct_values
+      CAST(MAX(length(CAST({c} AS VARCHAR))) AS INTEGER) AS max_length, COUNT(DISTINCT {c}) AS distinct_values
     FROM orders""" for c in _PROFILED))
 def table_profile(t):
     return profile(t.orders, _PROFILED, exact_distinct=True)
