@@ -7,7 +7,15 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sparrowmill.llm import byte_bpe, fingerprints, line_dedup, packing, sharding, url_filters
+from sparrowmill.llm import (
+    byte_bpe,
+    fingerprints,
+    line_dedup,
+    packing,
+    quality,
+    sharding,
+    url_filters,
+)
 from sparrowmill.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -86,6 +94,13 @@ def op3_hilbert_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return placed.withColumn("grown_shard", F.lit(None).cast("int"))
 
 
+@query("op4_quality_classifier")
+def op4_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.score_quality(
+        table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), threshold=0.7
+    )
+
+
 @query("op5_best_fit_packing")
 def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = vocabulary("byte_bpe_50k.json")
