@@ -14,6 +14,7 @@ from sparrowmill.llm import (
     packing,
     quality,
     sharding,
+    topk_search,
     url_filters,
 )
 from sparrowmill.llm.common import table
@@ -107,6 +108,33 @@ def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), path, size=2048, with_ids=False)
 
 
+@query(
+    "op6_exact_topk",
+    """
+    WITH vectors AS (
+        SELECT vec_id, [floor(256 * x::DOUBLE) FOR x IN embedding] AS v FROM embeddings
+        WHERE embedding IS NOT NULL
+            AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0
+    ), scored AS (
+        SELECT q.vec_id AS query_id, d.vec_id,
+            CAST(coalesce(list_sum([q.v[i] * d.v[i] FOR i IN range(1, len(q.v) + 1)]), 0) AS BIGINT)
+                AS score
+        FROM vectors q JOIN vectors d
+            ON q.vec_id % 50 = 0 AND d.vec_id <> q.vec_id AND len(q.v) = len(d.v)
+    ), ranked AS (
+        SELECT query_id, vec_id, score,
+            CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER)
+                AS rank
+        FROM scored
+    )
+    SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 5
+    """,
+)
+def op6_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings")
+    return topk_search.top_k(vectors, vectors.where("vec_id % 50 = 0"), k=5)
+
+
 @query(
     "op7_url_filters",
     """
