@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from sparrowmill.llm import (
     byte_bpe,
     fingerprints,
+    license_scan,
     line_dedup,
     packing,
     quality,
@@ -169,3 +170,45 @@ def op7_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op8_phrase_fingerprints")
 def op8_phrase_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.compare_edited(table(spark, sf_dir, "documents"))
+
+
+def _notice_rows() -> str:
+    quoted = ((a.replace("'", "''"), b.replace("'", "''")) for a, b in license_scan.NOTICES)
+    return ", ".join(f"('{a}', '{b}')" for a, b in quoted)
+
+
+@query(
+    "op9_license_scan",
+    rf"""
+    WITH notices(license, text) AS (VALUES {_notice_rows()}
+    ), notice_words AS (
+        SELECT license, [w FOR w IN regexp_split_to_array(lower(text), '[^\pL\pN]+') IF w <> ''] AS w
+        FROM notices
+    ), wanted AS (
+        SELECT DISTINCT license, len(w) - 4 AS size, array_to_string(w[i : i + 4], ' ') AS shingle
+        FROM (SELECT *, unnest(range(1, len(w) - 3)) AS i FROM notice_words)
+    ), counted AS (
+        SELECT license, count(*) AS shingles FROM wanted GROUP BY license
+    ), document_words AS (
+        SELECT doc_id, [w FOR w IN regexp_split_to_array(lower(text), '[^\pL\pN]+') IF w <> ''] AS w
+        FROM documents
+    ), found AS (
+        SELECT doc_id, license, size, i, shingle
+        FROM (
+            SELECT doc_id, i, array_to_string(w[i : i + 4], ' ') AS shingle
+            FROM (SELECT *, unnest(range(1, len(w) - 3)) AS i FROM document_words)
+        ) JOIN wanted USING (shingle)
+    ), windows AS (
+        SELECT a.doc_id, a.license, a.i, count(DISTINCT b.shingle) AS held
+        FROM found a JOIN found b
+            ON a.doc_id = b.doc_id AND a.license = b.license AND b.i BETWEEN a.i AND a.i + a.size - 1
+        GROUP BY a.doc_id, a.license, a.i
+    )
+    SELECT doc_id, license, max(held / shingles) AS containment
+    FROM windows JOIN counted USING (license) GROUP BY doc_id, license
+    HAVING max(held / shingles) >= 0.8
+    """,
+)
+def op9_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = license_scan.scan_licenses(table(spark, sf_dir, "documents"), license_scan.notices(spark))
+    return found.select("doc_id", "license", "containment")
