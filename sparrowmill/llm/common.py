@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -86,3 +87,33 @@ def total(df: DataFrame, value: Column) -> int:
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{str(sf_dir).rstrip('/')}/{name}.parquet")
+
+
+def runs(batches: Iterator[pa.RecordBatch], keys: int) -> Iterator[pa.RecordBatch]:
+    """Groups of neighbouring rows that agree in the first ``keys`` columns, one batch each."""
+    held: list[pa.RecordBatch] = []
+    last = None
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        columns = [batch.column(i).to_numpy(zero_copy_only=False) for i in range(keys)]
+        new = np.zeros(batch.num_rows, bool)
+        for c in columns:
+            new[1:] |= c[1:] != c[:-1]
+        first = tuple(c[0] for c in columns)
+        new[0] = first != last
+        last = tuple(c[-1] for c in columns)
+        start = 0
+        for cut in [*np.flatnonzero(new).tolist(), batch.num_rows]:
+            if cut > start:
+                held.append(batch.slice(start, cut - start))
+            if cut < batch.num_rows and held:
+                yield _joined(held)
+                held = []
+            start = cut
+    if held:
+        yield _joined(held)
+
+
+def _joined(parts: list[pa.RecordBatch]) -> pa.RecordBatch:
+    return parts[0] if len(parts) == 1 else pa.concat_batches(parts)

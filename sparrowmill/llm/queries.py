@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from sparrowmill.llm import (
     byte_bpe,
     fingerprints,
+    jaccard_join,
     license_scan,
     line_dedup,
     packing,
@@ -212,3 +213,37 @@ def _notice_rows() -> str:
 def op9_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = license_scan.scan_licenses(table(spark, sf_dir, "documents"), license_scan.notices(spark))
     return found.select("doc_id", "license", "containment")
+
+
+@query(
+    "op10_jaccard_join",
+    r"""
+    WITH RECURSIVE document_words AS (
+        SELECT doc_id, [w FOR w IN regexp_split_to_array(lower(text), '[^\pL\pN]+') IF w <> ''] AS w
+        FROM documents
+    ), shingles AS (
+        SELECT DISTINCT doc_id, hash(array_to_string(w[i : i + 4], ' ')) AS shingle
+        FROM (
+            SELECT *, unnest(range(1, greatest(len(w) - 4, least(len(w), 1)) + 1)) AS i
+            FROM document_words
+        )
+    ), sizes AS (
+        SELECT doc_id, count(*) AS size FROM shingles GROUP BY doc_id
+    ), pairs AS (
+        SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS common
+        FROM shingles a JOIN shingles b ON a.shingle = b.shingle AND a.doc_id <> b.doc_id
+        GROUP BY a.doc_id, b.doc_id
+    ), links AS (
+        SELECT a, b FROM pairs JOIN sizes x ON x.doc_id = a JOIN sizes y ON y.doc_id = b
+        WHERE common / (x.size + y.size - common) >= 0.8
+    ), reached AS (
+        SELECT doc_id AS a, doc_id AS b FROM documents
+        UNION SELECT reached.a, links.b FROM reached JOIN links ON reached.b = links.a
+    )
+    SELECT doc_id, (SELECT min(b) FROM reached WHERE a = doc_id) AS class_id,
+        (SELECT count(*) FROM links WHERE a = doc_id) AS n_links
+    FROM documents
+    """,
+)
+def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.near_classes(table(spark, sf_dir, "documents"), threshold=0.8)
