@@ -210,6 +210,19 @@ def near_classes(
     )
 
 
+def one_of_each_class(documents: DataFrame, threshold: float = 0.8) -> DataFrame:
+    """The documents, with their columns, that have the least doc_id of their near-duplicate class.
+
+    Rows that repeat both doc_id and text are one document. Rows without doc_id have no class and
+    stay, as do texts without words.
+    """
+    kept = near_classes(documents, threshold).where("doc_id = class_id").select(F.col("doc_id").alias("__id")).distinct()
+    known = documents.where("doc_id IS NOT NULL").join(
+        kept, F.col("doc_id").cast("long") == F.col("__id"), "left_semi"
+    )
+    return known.dropDuplicates(["doc_id", "text"]).unionByName(documents.where("doc_id IS NULL"))
+
+
 def _digest(words: list[str]) -> bytes | None:
     return hashlib.blake2b(" ".join(words).encode(), digest_size=16).digest() if words else None
 

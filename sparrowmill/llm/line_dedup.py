@@ -21,6 +21,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from sparrowmill.llm.common import chunks, merge_slabs, stored, text_of, total
 
@@ -151,26 +152,20 @@ def repeated_lines(documents: DataFrame, min_chars: int = 40, min_docs: int = 5)
     )
 
 
-def dedup_lines(documents: DataFrame, min_chars: int = 40, min_docs: int = 5) -> DataFrame:
-    """Documents without the lines that at least ``min_docs`` documents share.
-
-    A line is what stands between two \\n; a null or empty text is one empty line. Lines are equal
-    when their keys (``line_key``) are. Keys of ``min_chars`` code points or more that occur in
-    ``min_docs`` documents or more lose all their lines, except in the document with the largest
-    doc_id among those that hold them, where all stay.
-
-    Returns doc_id, text (the kept lines joined by \\n; empty for null), n_lines (before), n_dropped;
-    other columns are not read. A document without doc_id has no rank: it counts for no key and
-    stays whole. Rows that repeat a doc_id are one document. An empty table gives an empty table.
-    A document's own line digests travel as one set, so it is bounded by that document's length.
-    """
-    drops = repeated_lines(documents, min_chars, min_docs)
-    base = documents.select(F.col("doc_id").cast("long").alias("doc_id"), text_of().alias("text"))
+def _stripped(documents: DataFrame, min_chars: int, min_docs: int) -> DataFrame:
+    """All columns, the text without its shared lines last, then __lines and __dropped."""
+    drops = repeated_lines(documents, min_chars, min_docs).withColumnsRenamed(
+        {"doc_id": "__id", "digests": "__drop"}
+    )
+    base = documents.select(
+        "*", F.col("doc_id").cast("long").alias("__id"), text_of().alias("__text")
+    ).join(drops, "__id", "left")
+    columns = [*documents.columns, "__text", "__drop"]
 
     def strip(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in chunks(batches):
-            ids, texts, drop = (batch.column(i).to_pylist() for i in range(3))
+        for batch in chunks(batches, "__text"):
             kept, lines, dropped = [], [], []
+            texts, drop = (c.to_pylist() for c in batch.columns[-2:])
             for text, gone in zip(texts, drop):
                 if gone is None:
                     kept.append(text)
@@ -187,11 +182,44 @@ def dedup_lines(documents: DataFrame, min_chars: int = 40, min_docs: int = 5) ->
                 lines.append(n)
                 dropped.append(n - len(stay))
             yield pa.RecordBatch.from_arrays(
-                [pa.array(ids, pa.int64()), pa.array(kept, pa.string()),
+                [*batch.columns[:-2], pa.array(kept, pa.string()),
                  pa.array(lines, pa.int64()), pa.array(dropped, pa.int64())],
-                ["doc_id", "text", "n_lines", "n_dropped"],
+                [*batch.schema.names[:-2], "__text", "__lines", "__dropped"],
             )
 
-    return base.join(drops, "doc_id", "left").mapInArrow(
-        strip, "doc_id long, text string, n_lines long, n_dropped long"
+    schema = T.StructType([
+        *documents.schema.fields, T.StructField("__text", T.StringType()),
+        T.StructField("__lines", T.LongType()), T.StructField("__dropped", T.LongType()),
+    ])
+    return base.select(*[f"`{c}`" for c in columns]).mapInArrow(strip, schema)
+
+
+def dedup_lines(documents: DataFrame, min_chars: int = 40, min_docs: int = 5) -> DataFrame:
+    """Documents without the lines that at least ``min_docs`` documents share.
+
+    A line is what stands between two \\n; a null or empty text is one empty line. Lines are equal
+    when their keys (``line_key``) are. Keys of ``min_chars`` code points or more that occur in
+    ``min_docs`` documents or more lose all their lines, except in the document with the largest
+    doc_id among those that hold them, where all stay.
+
+    Returns doc_id, text (the kept lines joined by \\n; empty for null), n_lines (before), n_dropped;
+    other columns are not read. A document without doc_id has no rank: it counts for no key and
+    stays whole. Rows that repeat a doc_id are one document. An empty table gives an empty table.
+    A document's own line digests travel as one set, so it is bounded by that document's length.
+    """
+    return _stripped(documents.select("doc_id", "text"), min_chars, min_docs).select(
+        F.col("doc_id").cast("long").alias("doc_id"), F.col("__text").alias("text"),
+        F.col("__lines").alias("n_lines"), F.col("__dropped").alias("n_dropped"),
     )
+
+
+def without_shared_lines(documents: DataFrame, min_chars: int = 40, min_docs: int = 5) -> DataFrame:
+    """The documents with all their columns; ``text`` (and ``n_chars``, where there is one) of those
+    that ``dedup_lines`` changes is what it leaves. Null texts stay null."""
+    changed = F.col("__dropped") > 0
+    new = {"text": F.col("__text"), "n_chars": F.length("__text")}
+    return _stripped(documents, min_chars, min_docs).select(*[
+        F.when(changed, new[f.name].cast(f.dataType)).otherwise(F.col(f"`{f.name}`")).alias(f.name)
+        if f.name in new else F.col(f"`{f.name}`")
+        for f in documents.schema.fields
+    ])

@@ -19,6 +19,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from sparrowmill.llm.common import chunks, merge_slabs, text_of
 
@@ -216,26 +217,8 @@ def held_out(doc_id: str = "doc_id") -> Column:
     return F.pmod(F.crc32(F.encode(text, "UTF-8")), F.lit(4)) == 2
 
 
-def score_quality(
-    documents: DataFrame, labels: DataFrame, max_labelled: int = MAX_LABELLED, threshold: float = 0.7
-) -> DataFrame:
-    """Every whole text's probability of quality label 1.
-
-    The word vectors come from all documents. The network is fitted on at most ``max_labelled``
-    labelled documents, those with the smallest hash of their id among rows of ``labels`` with
-    quality 0 or 1 that are not held out (crc32 of the id as text, mod 4, is 2); ids with
-    contradicting labels are left out. Only the text enters a score.
-
-    Returns doc_id, held_out, score and predicted (1 if score >= ``threshold``). Null and empty texts
-    are scored as documents without words; a missing doc_id counts as empty text for the remainder
-    (not held out). Repeated rows get equal scores. Without labels of both kinds every score is the
-    smoothed share of label 1. An empty table gives an empty table; other columns are not read.
-    """
-    spark = documents.sparkSession
-    base = documents.select(F.col("doc_id").cast("long").alias("doc_id"), text_of().alias("text"))
-    vectors = word_vectors(base)
-    shared = spark.sparkContext.broadcast(vectors)  # UNITS x DIMS floats: 9 MB at any size
-
+def fitted_network(base: DataFrame, labels: DataFrame, vectors, max_labelled: int) -> Network:
+    """The network fitted on a bounded sample of labelled rows; ``vectors`` is a broadcast."""
     chosen = (
         labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("quality").cast("int").alias("quality"))
         .where(F.col("doc_id").isNotNull() & F.col("quality").isin(0, 1) & ~held_out())
@@ -247,7 +230,7 @@ def score_quality(
     def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = Units()
         for batch in chunks(batches):
-            x = pooled(batch.column(1).to_pylist(), shared.value, known)
+            x = pooled(batch.column(1).to_pylist(), vectors.value, known)
             rows = [r.tobytes() for r in x]
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(2), pa.array(rows, pa.binary())], ["doc_id", "quality", "x"]
@@ -255,20 +238,58 @@ def score_quality(
 
     # max_labelled rows of two numbers bound the broadcast.
     labelled = base.join(F.broadcast(chosen), "doc_id").select("doc_id", "text", "quality")
-    fitted = labelled.mapInArrow(features, "doc_id long, quality int, x binary").dropDuplicates(["doc_id"])
-    sample = sorted((r[0], r[1], bytes(r[2])) for r in fitted.collect())
-    if sample:
-        x = np.frombuffer(b"".join(r[2] for r in sample)).reshape(len(sample), -1)
-        network = fit(x, np.array([r[1] for r in sample], float))
-    else:
-        network = constant_network(0.5, 2 * DIMS)
+    rows = labelled.mapInArrow(features, "doc_id long, quality int, x binary")
+    rows = rows.groupBy("doc_id", "quality").agg(F.min("x").alias("x"))
+    sample = sorted((r[0], r[1], bytes(r[2])) for r in rows.collect())
+    if not sample:
+        return constant_network(0.5, 2 * DIMS)
+    x = np.frombuffer(b"".join(r[2] for r in sample)).reshape(len(sample), -1)
+    return fit(x, np.array([r[1] for r in sample], float))
+
+
+def with_scores(documents: DataFrame, labels: DataFrame, max_labelled: int = MAX_LABELLED) -> DataFrame:
+    """Documents with all their columns and ``__score``, the probability of quality label 1.
+
+    The word vectors come from all documents. The network is fitted on at most ``max_labelled``
+    labelled documents, those with the smallest hash of their id among rows of ``labels`` with
+    quality 0 or 1 that are not held out (crc32 of the id as text, mod 4, is 2); ids with
+    contradicting labels are left out, and of rows that repeat an id one is taken. Only the text
+    enters a score. Null and empty texts are scored as documents without words. Repeated rows get
+    equal scores. Without labels of both kinds every score is the smoothed share of label 1. An
+    empty table gives an empty table.
+    """
+    base = documents.select(F.col("doc_id").cast("long").alias("doc_id"), text_of().alias("text"))
+    # UNITS x DIMS floats: 9 MB at any size.
+    vectors = documents.sparkSession.sparkContext.broadcast(word_vectors(base))
+    network = fitted_network(base, labels, vectors, max_labelled)
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = Units()
-        for batch in chunks(batches):
-            found = network.probabilities(pooled(batch.column(1).to_pylist(), shared.value, known))
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found)], ["doc_id", "score"])
+        for batch in chunks(batches, "__text"):
+            x = pooled(batch.column(batch.num_columns - 1).to_pylist(), vectors.value, known)
+            yield pa.RecordBatch.from_arrays(
+                [*batch.columns[:-1], pa.array(network.probabilities(x))], [*batch.schema.names[:-1], "__score"]
+            )
+
+    schema = T.StructType([*documents.schema.fields, T.StructField("__score", T.DoubleType())])
+    return documents.select("*", text_of().alias("__text")).mapInArrow(score, schema)
+
 
-    return base.mapInArrow(score, "doc_id long, score double").select(
-        "doc_id", held_out().alias("held_out"), "score", (F.col("score") >= threshold).cast("int").alias("predicted")
+def score_quality(
+    documents: DataFrame, labels: DataFrame, max_labelled: int = MAX_LABELLED, threshold: float = 0.7
+) -> DataFrame:
+    """doc_id, held_out, score (see ``with_scores``) and predicted (1 if score >= ``threshold``) of
+    every document row. A missing doc_id counts as empty text for the remainder: not held out.
+    Other columns are not read."""
+    scored = with_scores(documents.select("doc_id", "text"), labels, max_labelled)
+    return scored.select(
+        F.col("doc_id").cast("long").alias("doc_id"), held_out().alias("held_out"),
+        F.col("__score").alias("score"), (F.col("__score") >= threshold).cast("int").alias("predicted"),
     )
+
+
+def keep_quality(
+    documents: DataFrame, labels: DataFrame, max_labelled: int = MAX_LABELLED, threshold: float = 0.7
+) -> DataFrame:
+    """The documents, with their columns, whose score is ``threshold`` or more."""
+    return with_scores(documents, labels, max_labelled).where(F.col("__score") >= threshold).drop("__score")
