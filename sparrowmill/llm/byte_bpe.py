@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from sparrowmill.llm.common import chunks, text_of
 from sparrowmill.llm.pretokens import byte_slices
 
-CACHE_WORDS = 500_000  # about 100 MB; the cache starts again when it is full
+CACHE_WORDS = 300_000  # about 60 MB; the cache starts again when it is full
 SHORT = 48  # up to so many bytes words merge side by side; longer ones have a heap each
 
 

@@ -15,21 +15,16 @@ over the blocks' products.
 from __future__ import annotations
 
 import sys
-import unicodedata
 from functools import cache
 
 import numpy as np
+import tiktoken
 
 # Classes of code points, in index order. "1" and "2" are apostrophes that a one- or
 # two-letter contraction ending follows; SPACE and WHITE stand before something that is not white.
 LETTER, NUMBER, OTHER, QUOTE1, QUOTE2, SPACE, WHITE, RUN, END = range(9)
 # What the current pre-token is, in index order. FRESH: the next code point opens one.
 FRESH, IN_LETTERS, IN_NUMBERS, IN_OTHER, AFTER_SPACE, IN_RUN, ENDING1, ENDING2 = range(8)
-# The code points that the pattern takes as white space.
-WHITES = (
-    *range(0x09, 0x0E), 0x20, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F,
-    0x205F, 0x3000,
-)
 BLOCK = 128
 
 
@@ -80,15 +75,19 @@ def automaton() -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
 
 @cache
 def classes() -> np.ndarray:
-    """LETTER, NUMBER, OTHER or WHITE for every code point."""
+    """LETTER, NUMBER, OTHER or WHITE for every code point.
+
+    Which code points are letters, numbers and white space depends on the Unicode version. They are
+    read off the tokenizer library, once a worker: an encoding of single bytes, whose pattern is one
+    class, returns just the members of that class.
+    """
     kinds = np.full(sys.maxunicode + 1, OTHER, np.uint8)
-    for point in range(sys.maxunicode + 1):
-        kind = unicodedata.category(chr(point))[0]
-        if kind == "L":
-            kinds[point] = LETTER
-        elif kind == "N":
-            kinds[point] = NUMBER
-    kinds[list(WHITES)] = WHITE
+    points = "".join(chr(c) for c in range(sys.maxunicode + 1) if not 0xD800 <= c <= 0xDFFF)
+    single = {bytes([b]): b for b in range(256)}
+    for kind, pattern in ((LETTER, r"\p{L}"), (NUMBER, r"\p{N}"), (WHITE, r"\s")):
+        reader = tiktoken.Encoding(pattern, pat_str=pattern, mergeable_ranks=single, special_tokens={})
+        members = bytes(reader.encode_ordinary(points)).decode()
+        kinds[np.frombuffer(members.encode("utf-32-le"), np.uint32)] = kind
     return kinds
 
 
