@@ -103,7 +103,7 @@ def with_successor(documents: DataFrame) -> DataFrame:
     def places(rank: pd.Series) -> pd.Series:
         """Twice the task, plus one as a guest. A cut's own id opens its task."""
         ranks = rank.to_numpy()
-        own = np.searchsorted(-cuts, -ranks, side="right")
+        own = np.searchsorted(~cuts, ~ranks, side="right")  # both descend
         out = [[2 * t, 2 * t - 1] if g else [2 * t] for t, g in zip(own.tolist(), np.isin(ranks, cuts))]
         for i in np.flatnonzero(ranks == size[1]):
             out[i].append(2 * len(cuts) + 1)  # the first document follows the last

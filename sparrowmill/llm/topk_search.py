@@ -22,7 +22,8 @@ from pyspark.sql import functions as F
 
 from sparrowmill.llm.common import stored
 
-LEAF = 64  # a node of so few points keeps them as a list
+DATA_LEAF, QUERY_LEAF = 64, 8  # a node of so few points keeps them as a list
+FANOUT = 64
 CHUNK_ROWS = 8192  # data points indexed together in a task
 QUERY_BLOCK = 16_384  # queries broadcast together
 EXACT = float(1 << 52)
@@ -36,7 +37,9 @@ class Node:
     children: list[Node] = field(default_factory=list)
 
 
-def cover_tree(points: np.ndarray, members: np.ndarray | None = None, centre: int | None = None) -> Node:
+def cover_tree(
+    points: np.ndarray, leaf: int, members: np.ndarray | None = None, centre: int | None = None
+) -> Node:
     """A node's children halve its covering radius: each child's centre is a member that no earlier
     child covers, so centres are separated and every member is in the first child that covers it.
     The node's own centre is its first child's."""
@@ -46,18 +49,18 @@ def cover_tree(points: np.ndarray, members: np.ndarray | None = None, centre: in
         centre = int(members[0])
     away = _distances(points, members, centre)
     node = Node(points[centre], float(away.max()) * (1 + 1e-9), members)
-    if len(members) <= LEAF or node.radius == 0:
+    if len(members) <= leaf or node.radius == 0:
         return node
     half, left, chosen = node.radius / 2, members, centre
     while len(left):
         near = _distances(points, left, chosen) <= half
         near |= left == chosen
-        node.children.append(cover_tree(points, left[near], chosen) if near.any() else None)
+        node.children.append(cover_tree(points, leaf, left[near], chosen))
         left = left[~near]
         if len(left):
             # Where few points are near each other, splitting goes on only until leaves are small.
-            if len(node.children) >= LEAF and len(left) > LEAF:
-                node.children.append(cover_tree(points, left))
+            if len(node.children) >= FANOUT and len(left) > leaf:
+                node.children.append(cover_tree(points, leaf, left))
                 break
             chosen = int(left[0])
     if len(node.children) == 1:
@@ -159,7 +162,7 @@ def _partial(data: DataFrame, queries, k: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         blocks = queries.value  # width -> (ids, vectors, floors)
         state = {
-            w: (cover_tree(v), v, Best(i, k, floor)) for w, (i, v, floor) in blocks.items() if len(i)
+            w: (cover_tree(v, QUERY_LEAF), v, Best(i, k, floor)) for w, (i, v, floor) in blocks.items() if len(i)
         }
 
         def search(ids: list, vectors: list) -> None:
@@ -168,7 +171,7 @@ def _partial(data: DataFrame, queries, k: int) -> DataFrame:
                 at = np.flatnonzero(widths == width)
                 points = np.array([vectors[i] for i in at]).reshape(len(at), width)
                 tree, rows, best = state[width]
-                dual_search(tree, rows, cover_tree(points), points, np.array([ids[i] for i in at], np.int64), best)
+                dual_search(tree, rows, cover_tree(points, DATA_LEAF), points, np.array([ids[i] for i in at], np.int64), best)
 
         held_ids, held = [], []
         for batch in batches:
