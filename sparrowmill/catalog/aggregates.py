@@ -15,11 +15,13 @@ _TABLES = ("customer", "lineitem", "nation", "orders", "part", "region", "suppli
 
 
 @query("table_counts", "A01", " UNION ALL ".join(
-    f"SELECT '{n}' AS table_name, COUNT(*) AS row_count FROM {n}" for n in _TABLES))
+    f"SELECT '{n}' AS table_name, COUNT(*) AS row_count FROM {n}" for n in _TABLES)
+    + " UNION ALL SELECT 'partsupp', COUNT(*) FROM"
+    " (SELECT DISTINCT l_partkey, l_suppkey FROM lineitem)")
 def table_counts(t):
     counts = [
-        t.read(n).agg(F.lit(n).alias("table_name"), F.count(F.lit(1)).alias("row_count"))
-        for n in _TABLES
+        getattr(t, n).agg(F.lit(n).alias("table_name"), F.count(F.lit(1)).alias("row_count"))
+        for n in (*_TABLES, "partsupp")
     ]
     return reduce(DataFrame.unionByName, counts)
 

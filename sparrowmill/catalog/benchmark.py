@@ -14,9 +14,9 @@ query("tpch_q01", "T01 A16", f"""
     FROM lineitem WHERE l_shipdate <= DATE '2001-12-01' - INTERVAL 90 DAY
     GROUP BY l_returnflag, l_linestatus""")(tpch.q01)
 
-query("tpch_q02", "T02 O02 A13", with_ctes("partsupp part_x", f"""
-    SELECT s_acctbal, s_name, n_name, p_partkey, p_mfgr
-    FROM part_x, supplier, partsupp, nation, region
+query("tpch_q02", "T02 O02 A13", with_ctes("partsupp part_x supplier_x", f"""
+    SELECT s_acctbal, s_name, n_name, p_partkey, p_mfgr, s_comment
+    FROM part_x, supplier_x, partsupp, nation, region
     WHERE p_partkey = ps_partkey AND s_suppkey = ps_suppkey AND p_size = 15
       AND p_type LIKE '%MEDIUM' AND s_nationkey = n_nationkey AND n_regionkey = r_regionkey
       AND r_name = 'EUROPE' AND ps_supplycost = (
@@ -25,13 +25,14 @@ query("tpch_q02", "T02 O02 A13", with_ctes("partsupp part_x", f"""
           AND n_regionkey = r_regionkey AND r_name = 'EUROPE')
     ORDER BY s_acctbal DESC, n_name, s_name, p_partkey LIMIT 100"""))(tpch.q02)
 
-query("tpch_q03", "T03 O02", f"""
-    SELECT l_orderkey, {dbl(f'SUM({DISC})')} AS revenue, {iso('o_orderdate')} AS o_orderdate
-    FROM customer, orders, lineitem
+query("tpch_q03", "T03 O02", with_ctes("orders_x", f"""
+    SELECT l_orderkey, {dbl(f'SUM({DISC})')} AS revenue, {iso('o_orderdate')} AS o_orderdate,
+      o_shippriority
+    FROM customer, orders_x, lineitem
     WHERE c_mktsegment = 'BUILDING' AND c_custkey = o_custkey AND l_orderkey = o_orderkey
       AND o_orderdate < DATE '1995-03-15' AND l_shipdate > DATE '1995-03-15'
-    GROUP BY l_orderkey, orders.o_orderdate
-    ORDER BY SUM({DISC}) DESC, orders.o_orderdate, l_orderkey LIMIT 10""")(tpch.q03)
+    GROUP BY l_orderkey, orders_x.o_orderdate, o_shippriority
+    ORDER BY SUM({DISC}) DESC, orders_x.o_orderdate, l_orderkey LIMIT 10"""))(tpch.q03)
 
 query("tpch_q04", "T04 J13", with_ctes("lineitem_x", """
     SELECT o_orderpriority, COUNT(*) AS order_count FROM orders
@@ -89,13 +90,13 @@ query("tpch_q09", "T09 J10", with_ctes("partsupp", f"""
         AND p_name LIKE '%hot%')
     GROUP BY nation, o_year"""))(tpch.q09)
 
-query("tpch_q10", "T10 O02", f"""
-    SELECT c_custkey, c_name, {dbl(f'SUM({DISC})')} AS revenue, c_acctbal, n_name
-    FROM customer, orders, lineitem, nation
+query("tpch_q10", "T10 O02", with_ctes("customer_x", f"""
+    SELECT c_custkey, c_name, {dbl(f'SUM({DISC})')} AS revenue, c_acctbal, n_name, c_phone
+    FROM customer_x, orders, lineitem, nation
     WHERE c_custkey = o_custkey AND l_orderkey = o_orderkey AND o_orderdate >= DATE '1996-10-01'
       AND o_orderdate < DATE '1997-01-01' AND l_returnflag = 'R' AND c_nationkey = n_nationkey
-    GROUP BY c_custkey, c_name, c_acctbal, n_name
-    ORDER BY SUM({DISC}) DESC, c_custkey LIMIT 20""")(tpch.q10)
+    GROUP BY c_custkey, c_name, c_acctbal, n_name, c_phone
+    ORDER BY SUM({DISC}) DESC, c_custkey LIMIT 20"""))(tpch.q10)
 
 query("tpch_q11", "T11 A12 A13", with_ctes("partsupp", f"""
     SELECT ps_partkey, {dbl('SUM(ps_supplycost * ps_availqty)')} AS value
@@ -218,5 +219,5 @@ query("tpch_q22", "T22 J14 F04 A13", with_ctes("customer_x", f"""
           SELECT {dbl('SUM(CAST(c_acctbal AS DECIMAL(12,2)))')} / COUNT(*) FROM customer_x
           WHERE c_acctbal > 0 AND substring(c_phone, 1, 2) IN {_CODES})
         AND NOT EXISTS (SELECT * FROM orders
-          WHERE o_custkey = c_custkey AND o_orderdate >= DATE '2000-01-01'))
+          WHERE o_custkey = c_custkey))
     GROUP BY cntrycode"""))(tpch.q22)

@@ -1,5 +1,7 @@
 """Type 2 history, DML rewrites, snapshots and schema changes."""
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from sparrowmill.catalog.sql import dbl, iso_ts, with_ctes
@@ -103,7 +105,7 @@ def scd2_from_log(t):
     return scd2.scd2_from_log(change_log(t), KEY, TRACKED, TS)
 
 
-@query("scd2_invariants", "D06", with_ctes("", """
+@query("scd2_invariants", "S03 D06", with_ctes("", """
     SELECT 'active_with_end_date' AS rule, COUNT(*) FILTER (a AND end_date IS NOT NULL) AS violations
     FROM h UNION ALL
     SELECT 'closed_without_end_date', COUNT(*) FILTER (NOT a AND end_date IS NULL) FROM h UNION ALL
@@ -139,6 +141,27 @@ def dml_insert_select(t):
     return table
 
 
+@query("dml_table_cycle", "D08", """
+    SELECT 1::BIGINT AS step, COUNT(*) + 2 AS table_rows FROM customer
+    UNION ALL SELECT 2, 0 UNION ALL SELECT 3, COUNT(*) FROM part""")
+def dml_table_cycle(t):
+    """Rows of a catalog table after inserts, after deleting all, and after another insert; the
+    table is dropped in the end."""
+    table = dml.CatalogTable(
+        t.spark, f"sample_{uuid.uuid4().hex}", "sample_key bigint, sample_status string", shared_folder(t.spark)
+    )
+    seen = []
+    table.insert_values((1, "hello"), (1, "hello"))
+    table.insert_select(t.customer.select("c_custkey", "c_name"))
+    seen.append((1, table.read().count()))
+    table.delete_all()
+    seen.append((2, table.read().count()))
+    table.insert_select(t.part.select("p_partkey", "p_name"))
+    seen.append((3, table.read().count()))
+    table.drop()
+    return t.spark.createDataFrame(seen, "step long, table_rows long")
+
+
 _LINE_KEYS = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_shipmode"]
 
 

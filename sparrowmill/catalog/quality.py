@@ -10,6 +10,7 @@ from sparrowmill.catalog.layers import node
 from sparrowmill.catalog.sql import CHARGE, dbl, money as sql_money, with_ctes
 from sparrowmill.functions.exact import charged
 from sparrowmill.operators import quality
+from sparrowmill.operators.quality import Expectation
 from sparrowmill.operators.compare import compare_results as compare
 from sparrowmill.operators.scd2 import scd2_from_log
 from sparrowmill.plans.runner import SUITES
@@ -41,16 +42,22 @@ def _row(dataset, kind, column, observed, unexpected, source):
         _row("history", "matches_strftime", "end_date", "COUNT(end_date)",
              "CAST(0 AS BIGINT)", "history"),
         _row("history", "between", "age", "COUNT(age)", "COUNT(*) FILTER (age > 10)", "history"),
+        _row("orders", "matches_strftime", "date_text", "COUNT(*)",
+             "COUNT(*) FILTER (o_orderkey % 3 = 0)", "orders"),
     ]), **_HISTORY))
 def quality_report(t):
     history = scd2_from_log(change_log(t), KEY, TRACKED, TS)
     history = history.withColumns(
         {c: F.date_format(c, "yyyy-MM-dd HH:mm:ss") for c in ("start_date", "end_date")}
     )
+    # Every third date is text of another kind.
+    text = F.when(F.col("o_orderkey") % 3 == 0, F.col("o_orderpriority"))
+    dated = t.orders.select(text.otherwise(F.date_format("o_orderdate", "yyyy-MM-dd")).alias("date_text"))
     suites = [
         ("fact_orders", node(t, "fact_orders"), SUITES["fact_orders"]),
         ("daily_order_metrics", node(t, "daily_order_metrics"), SUITES["daily_order_metrics"]),
         ("history", history, HISTORY_SUITE),
+        ("orders", dated, [Expectation("matches_strftime", "date_text", {"format": "%Y-%m-%d"})]),
     ]
     reports = [
         quality.evaluate(df, suite).select(
@@ -100,21 +107,16 @@ def pk_violations(t):
     return reduce(DataFrame.unionByName, reports)
 
 
-# Orders of the last year lose their parents here, so that the check has something to find.
-_PARENTS = {"orders": "(SELECT * FROM orders WHERE o_orderdate < DATE '2001-01-01')"}
-
-
 @query("fk_violations", "Q08", with_ctes("partsupp", " UNION ALL ".join(f"""
     SELECT '{child}->{parent}' AS reference, COUNT(*) AS orphans FROM {child} c
     WHERE {' AND '.join(f'{k} IS NOT NULL' for k in ck)}
-      AND NOT EXISTS (SELECT * FROM {_PARENTS.get(parent, parent)} p
+      AND NOT EXISTS (SELECT * FROM {parent} p
         WHERE {' AND '.join(f'c.{a} = p.{b}' for a, b in zip(ck, pk))})"""
     for child, ck, parent, pk in FOREIGN_KEYS)))
 def fk_violations(t):
-    parents = {"orders": t.orders.filter(F.col("o_orderdate") < F.lit("2001-01-01").cast("date"))}
     reports = [
         quality.fk_violations(
-            getattr(t, child), parents.get(parent, getattr(t, parent)), child_keys, parent_keys
+            getattr(t, child), getattr(t, parent), child_keys, parent_keys
         ).agg(
             F.lit(f"{child}->{parent}").alias("reference"),
             F.coalesce(F.sum("orphans"), F.lit(0)).alias("orphans"),

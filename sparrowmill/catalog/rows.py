@@ -96,15 +96,16 @@ def case_bucket(t):
       AND o_orderdate BETWEEN l_shipdate - INTERVAL 5 DAY AND l_shipdate + INTERVAL 5 DAY
     WHERE lineitem.l_shipdate IS NULL""")
 def coalesce_unmatched(t):
+    """The orders that a left join leaves without a line, by the anti half of the band join alone."""
     lines = t.lineitem.select("l_orderkey", "l_shipdate")
-    joined = band_join(
-        t.orders, lines, {"o_orderkey": "l_orderkey"}, "o_orderdate", "l_shipdate", 5, "left"
+    alone = band_join(
+        t.orders, lines, {"o_orderkey": "l_orderkey"}, "o_orderdate", "l_shipdate", 5, "left_anti"
     )
-    return joined.filter(F.col("l_shipdate").isNull()).select(
+    return alone.select(
         "o_orderkey",
         F.to_date("o_orderdate").alias("o_orderdate"),
-        F.coalesce("l_orderkey", F.lit(9999999)).alias("lineitem_orderkey"),
-        F.to_date("l_shipdate").alias("l_shipdate"),
+        F.coalesce(F.lit(None).cast("bigint"), F.lit(9999999)).alias("lineitem_orderkey"),
+        F.lit(None).cast("date").alias("l_shipdate"),
     )
 
 

@@ -108,10 +108,10 @@ _CTES: dict[str, tuple[tuple[str, ...], str]] = {
         SELECT DISTINCT l_suppkey AS seller_id, l_partkey AS product_id FROM lineitem"""),
     "e_clickstream": ((), """
         SELECT event_id, user_id, event_type,
-          CASE WHEN event_type <> 'purchase' THEN event_id END AS product_id,
+          CASE WHEN event_type IN ('view', 'click') THEN event_id END AS product_id,
           CASE WHEN event_type = 'purchase' THEN event_id END AS order_id,
           ts AS timestamp, ts AS created_ts
-        FROM events WHERE event_type IN ('view', 'click', 'purchase')"""),
+        FROM events"""),
     # Silver and gold.
     "dim_buyer": (("e_user", "e_buyer"), """
         SELECT u.user_id, username, email, is_active, u.created_ts AS appuser_created_ts,
@@ -184,7 +184,7 @@ def iso(expr: str) -> str:
 
 
 def iso_ts(expr: str) -> str:
-    return f"strftime({expr}, '%Y-%m-%d %H:%M:%S')"
+    return f"strftime({expr}, '%Y-%m-%d %H:%M:%S.%f')"
 
 
 def dbl(expr: str) -> str:

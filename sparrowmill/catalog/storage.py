@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sparrowmill.catalog.sql import dbl, iso
-from sparrowmill.operators import layout
+from sparrowmill.operators import dml, layout
 from sparrowmill.operators.stats import profile
 from sparrowmill.registry import query
 from sparrowmill.sources.files import read_csv, read_delimited, shared_folder, write_csv
@@ -19,8 +19,7 @@ from sparrowmill.sources.files import read_csv, read_delimited, shared_folder, w
     WHERE year(l_shipdate) = 1997 GROUP BY ALL""")
 def partition_pruned_read(t):
     path = shared_folder(t.spark)
-    narrow = t.lineitem.select("l_returnflag", "l_quantity", "l_shipdate")
-    layout.write_partitioned(narrow, path, {"ship_year": F.year("l_shipdate")})
+    layout.write_partitioned(t.lineitem, path, {"ship_year": F.year("l_shipdate")})
     return (
         t.spark.read.parquet(path)
         .filter(F.col("ship_year") == 1997)
@@ -31,7 +30,7 @@ def partition_pruned_read(t):
 
 def _by_quantity(t, sort):
     table = layout.write_bucketed(
-        t.lineitem.select("l_quantity", "l_orderkey"),
+        t.lineitem,
         f"lineitem_by_quantity_{uuid.uuid4().hex}",
         shared_folder(t.spark),
         ["l_quantity"],
@@ -43,7 +42,7 @@ def _by_quantity(t, sort):
 _QUANTITY_SQL = "SELECT l_quantity, COUNT(*) AS cnt FROM lineitem GROUP BY l_quantity"
 
 
-@query("bucketed_group", "L02 S07", _QUANTITY_SQL)
+@query("bucketed_group", "L02", _QUANTITY_SQL)
 def bucketed_group(t):
     return _by_quantity(t, ())
 
@@ -56,38 +55,44 @@ def bucket_sorted_group(t):
 @query("suppkey_qty", "L05 S04 S05", """
     SELECT l_suppkey, SUM(l_quantity) AS quantity FROM lineitem GROUP BY l_suppkey""")
 def suppkey_qty(t):
-    """The supplier sum over the row format: written as text, read back typed."""
+    """The supplier sum over the row format: the table written as text, read back typed."""
     path = shared_folder(t.spark)
-    write_csv(t.lineitem.select("l_suppkey", "l_quantity"), path)
-    rows = read_csv(t.spark, path, "l_suppkey bigint, l_quantity double")
+    write_csv(t.lineitem, path)
+    rows = read_csv(t.spark, path, t.lineitem.schema)
     return rows.groupBy("l_suppkey").agg(F.sum("l_quantity").alias("quantity"))
 
 
-@query("delimited_table", "S03 S06", f"""
-    SELECT o_orderkey, o_custkey, o_totalprice, {iso('o_orderdate')} AS o_orderdate,
+@query("csv_table_insert", "S07 L05", """
+    SELECT l_suppkey, SUM(l_quantity) AS quantity FROM lineitem GROUP BY l_suppkey""")
+def csv_table_insert(t):
+    """The supplier sum over a typed CSV table that INSERT ... SELECT fills from the Parquet one."""
+    name, path = f"lineitem_csv_{uuid.uuid4().hex}", shared_folder(t.spark)
+    schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in t.lineitem.schema.fields)
+    table = dml.CatalogTable(t.spark, name, schema, path, using="csv")
+    table.insert_select(t.lineitem)
+    table.drop()  # its files stay
+    return read_csv(t.spark, path, schema).groupBy("l_suppkey").agg(F.sum("l_quantity").alias("quantity"))
+
+
+@query("delimited_table", "S06", f"""
+    SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, {iso('o_orderdate')} AS o_orderdate,
       o_orderpriority FROM orders""")
 def delimited_table(t):
     """Orders as separated text, read back into a typed table."""
     path = shared_folder(t.spark)
-    rows = t.orders.select(
-        "o_orderkey", "o_custkey", "o_totalprice",
+    write_csv(t.orders, path, sep="|")
+    return read_delimited(t.spark, path, t.orders.schema).select(
+        "o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice",
         F.to_date("o_orderdate").alias("o_orderdate"), "o_orderpriority",
     )
-    write_csv(rows, path, sep="|")
-    schema = (
-        "o_orderkey bigint, o_custkey bigint, o_totalprice double, o_orderdate date, "
-        "o_orderpriority string"
-    )
-    return read_delimited(t.spark, path, schema)
 
 
 @query("sorted_write_group", "L04 O03", _QUANTITY_SQL)
 def sorted_write_group(t):
     """The quantity counts over files sorted by quantity; the order key splits large quantities."""
     path = shared_folder(t.spark)
-    layout.write_sorted(
-        t.lineitem.select("l_quantity", "l_orderkey"), path, ["l_quantity", "l_orderkey"]
-    )
+    order = ["l_quantity", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_shipdate"]
+    layout.write_sorted(t.lineitem, path, order)
     return t.spark.read.parquet(path).groupBy("l_quantity").agg(F.count(F.lit(1)).alias("cnt"))
 
 
@@ -126,19 +131,17 @@ _LISTED = ("customer", "lineitem", "nation", "orders", "part", "region", "suppli
     FROM information_schema.columns WHERE table_name = '{n}'""" for n in _LISTED) + ")")
 def catalog_columns(t):
     """Every column the catalog lists for the tables, with the table's row count."""
-    for name in _LISTED:
-        t.read(name).createOrReplaceTempView(name)
-    listed = [
-        (table.name, column.name)
-        for table in t.spark.catalog.listTables()
-        if table.name in _LISTED
-        for column in t.spark.catalog.listColumns(table.name)
-    ]
+    views = {f"listed_{uuid.uuid4().hex}_{name}": name for name in _LISTED}
+    for view, name in views.items():
+        t.read(name).createTempView(view)
+    listed = [(views[v], column.name) for v in views for column in t.spark.catalog.listColumns(v)]
+    for view in views:
+        t.spark.catalog.dropTempView(view)
     columns = t.spark.createDataFrame(listed, "table_name string, column_name string")
     counts = reduce(
         DataFrame.unionByName,
         [
-            t.spark.table(n).agg(F.lit(n).alias("table_name"), F.count(F.lit(1)).alias("row_count"))
+            t.read(n).agg(F.lit(n).alias("table_name"), F.count(F.lit(1)).alias("row_count"))
             for n in _LISTED
         ],
     )

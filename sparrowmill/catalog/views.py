@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from sparrowmill.catalog.sql import CHARGE, PRICE, dbl, iso, with_ctes
+from sparrowmill.catalog.sql import CHARGE, PRICE, dbl, iso, iso_ts, with_ctes
 from sparrowmill.plans import models
 from sparrowmill.registry import query
 
@@ -90,11 +90,11 @@ def view_nation_quantity(t):
     "lineitem_x orders_x customer_x partsupp part_x supplier_x", f"""
     SELECT l_orderkey, l_partkey, l_suppkey, l_linenumber, l_quantity, l_extendedprice, l_discount,
       l_tax, l_returnflag, l_linestatus,
-      strftime(l_shipdate, '%Y-%m-%d %H:%M:%S') AS l_shipdate,
+      {iso_ts('l_shipdate')} AS l_shipdate,
       {iso('l_commitdate')} AS l_commitdate, {iso('l_receiptdate')} AS l_receiptdate,
       l_shipmode, l_shipinstruct, o_orderkey AS orderkey, o_custkey AS ordercustomerkey,
       o_orderstatus AS orderstatus, o_totalprice AS ordertotalprice,
-      strftime(o_orderdate, '%Y-%m-%d %H:%M:%S') AS orderdate, o_orderpriority AS orderpriority,
+      {iso_ts('o_orderdate')} AS orderdate, o_orderpriority AS orderpriority,
       o_clerk AS clerk, o_shippriority AS shippriority, o_comment AS ordercomment,
       c_custkey AS customerkey, c_name AS customername, c_nationkey AS customernationkey,
       c_phone AS customerphone, c_acctbal AS customeraccountbal,

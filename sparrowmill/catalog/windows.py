@@ -19,6 +19,8 @@ def _line_bands():
         (F.floor(F.col("l_linenumber") / F.lit(1000)), "asc"),
         (F.col("l_linenumber"), "asc"),
         (F.floor(F.col("l_partkey") / F.lit(1000)), "asc"),
+        (F.col("l_partkey"), "asc"),
+        (F.floor(F.col("l_suppkey") / F.lit(100)), "asc"),
     ]
 
 
@@ -112,7 +114,7 @@ def win_range_month(t):
 @query("win_rank", "W05 F06", f"""
     SELECT o_custkey, o_orderkey, {iso('o_orderdate')} AS o_orderdate,
       format('{{:,.2f}}', o_totalprice) AS totalprice,
-      CAST(RANK() OVER (PARTITION BY o_custkey ORDER BY o_totalprice DESC) AS INTEGER) AS rnk FROM orders""")
+      CAST(RANK() OVER (PARTITION BY o_custkey ORDER BY o_totalprice DESC) AS BIGINT) AS rnk FROM orders""")
 def win_rank(t):
     orders = t.orders.select("o_custkey", "o_orderkey", "o_orderdate", "o_totalprice")
     ranked = windows.ranked_and_running(
@@ -127,9 +129,9 @@ def win_rank(t):
 
 @query("win_rank_trio", "W06", f"""
     SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_discount,
-      CAST(RANK() OVER (PARTITION BY l_orderkey ORDER BY l_discount DESC) AS INTEGER) AS rnk,
-      CAST(DENSE_RANK() OVER (PARTITION BY l_orderkey ORDER BY l_discount DESC) AS INTEGER) AS dense_rnk,
-      CAST(ROW_NUMBER() OVER (PARTITION BY l_orderkey ORDER BY l_discount DESC, {_LINE_SQL}) AS INTEGER)
+      CAST(RANK() OVER (PARTITION BY l_orderkey ORDER BY l_discount DESC) AS BIGINT) AS rnk,
+      CAST(DENSE_RANK() OVER (PARTITION BY l_orderkey ORDER BY l_discount DESC) AS BIGINT) AS dense_rnk,
+      CAST(ROW_NUMBER() OVER (PARTITION BY l_orderkey ORDER BY l_discount DESC, {_LINE_SQL}) AS BIGINT)
         AS row_num
     FROM lineitem""")
 def win_rank_trio(t):

@@ -3,14 +3,50 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sparrowmill.operators.joins import anti
 from sparrowmill.operators.skew import apart, assert_unique
 
 
+class CatalogTable:
+    """A table of the session's catalog over files of its own: create, insert, delete all, drop.
+
+    The files are Parquet, or separated text with ``using="csv"``, under ``path``; dropping the table
+    removes it from the catalog and leaves the files.
+    """
+
+    def __init__(self, spark: SparkSession, name: str, schema: str, path: str, using: str = "parquet"):
+        if using not in ("parquet", "csv"):
+            raise ValueError("using must be parquet or csv")
+        self.spark, self.name = spark, name
+        spark.sql(f"CREATE TABLE `{name}` ({schema}) USING {using} LOCATION '{path}'")
+
+    def insert_values(self, *rows: Sequence[object]) -> None:
+        """INSERT INTO ... VALUES; values travel as parameters."""
+        places = ", ".join("(" + ", ".join("?" for _ in row) + ")" for row in rows)
+        self.spark.sql(f"INSERT INTO `{self.name}` VALUES {places}", args=[v for r in rows for v in r])
+
+    def insert_select(self, rows: DataFrame) -> None:
+        """INSERT INTO ... SELECT; columns match by position and take the table's types."""
+        typed = insert_into(self.read().limit(0), rows)
+        typed.write.insertInto(self.name)
+
+    def delete_all(self) -> None:
+        """DELETE without a condition, which plain files offer as INSERT OVERWRITE of no rows."""
+        none = self.spark.createDataFrame([], self.read().schema)
+        none.write.insertInto(self.name, overwrite=True)
+
+    def read(self) -> DataFrame:
+        return self.spark.table(self.name)
+
+    def drop(self) -> None:
+        self.spark.sql(f"DROP TABLE IF EXISTS `{self.name}`")
+
+
 def insert_into(target: DataFrame, rows: DataFrame) -> DataFrame:
     """INSERT INTO ... SELECT: columns match by position, as in SQL, and take the target's types."""
     if len(rows.columns) != len(target.columns):
@@ -49,10 +85,13 @@ def merge_upsert(
     """MERGE: matched rows take ``update``, source rows without a match are added as ``insert``.
 
     Expressions name source columns as ``s_<column>`` and target columns plainly. A repeated
-    source key fails the job. Matched and inserted rows come from two joins, each of which Spark
+    source key fails the job; null keys match nothing and are inserted, however many. Matched and inserted rows come from two joins, each of which Spark
     can split where the target holds one key very often; a full outer join could not be split.
     """
-    source = apart(assert_unique(source, keys, "merge source")).select(
+    keyed = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
+    unkeyed = source.filter(~keyed)
+    source = apart(assert_unique(source.filter(keyed), keys, "merge source")).unionByName(unkeyed)
+    source = source.select(
         *[F.col(c).alias(f"s_{c}") for c in source.columns], F.lit(True).alias("s__hit")
     )
     on = [F.col(k) == F.col(f"s_{k}") for k in keys]

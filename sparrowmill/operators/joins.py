@@ -36,16 +36,15 @@ def join_with_strategy(
     """Join with a chosen physical strategy for the right side.
 
     Broadcast is size-checked. Nested loops read the right side once per left partition, so they
-    too are taken only for a small right side; otherwise the planner chooses.
+    too need a small right side. A named strategy is never swapped for another: too large a right
+    side raises.
     """
     if strategy is None:
         return left.join(right, on, how)
     if strategy not in STRATEGIES:
         raise ValueError(f"strategy must be one of {STRATEGIES}")
-    if strategy == "broadcast":
-        return left.join(broadcast_if_small(right), on, how)
-    if strategy == "shuffle_replicate_nl" and estimated_bytes(right) > BROADCAST_LIMIT:
-        return left.join(right, on, how)
+    if strategy in ("broadcast", "shuffle_replicate_nl") and estimated_bytes(right) > BROADCAST_LIMIT:
+        raise ValueError(f"{strategy} needs a right side of at most {BROADCAST_LIMIT} bytes")
     return left.join(right.hint(strategy), on, how)
 
 
@@ -104,20 +103,23 @@ def band_join(
     days: int,
     how: str = "inner",
 ) -> DataFrame:
-    """Equi join with the two times at most ``days`` apart; how is inner, left, right or full.
+    """Equi join with the two times at most ``days`` apart; how is inner, left, right, full or
+    left_anti.
 
     The outer forms are the inner join plus the unmatched rows. An inner join can be split on
     either side when a key is hot, an outer join only on one, and the unmatched side needs just
     the distinct (key, time) pairs of the other.
     """
-    near = _equal(left, right, on) & _within(left[left_ts], right[right_ts], days)
-    joined = left.join(right, near, "inner")
 
     def unmatched(side: DataFrame, other: DataFrame, keys: Mapping[str, str], ts, other_ts):
         probes = other.select(*keys.values(), other_ts).distinct()
         hit = _equal(side, probes, keys) & _within(side[ts], probes[other_ts], days)
         return side.join(probes, hit, "left_anti")
 
+    if how == "left_anti":
+        return unmatched(left, right, on, left_ts, right_ts)
+    near = _equal(left, right, on) & _within(left[left_ts], right[right_ts], days)
+    joined = left.join(right, near, "inner")
     if how in ("left", "full"):
         alone = unmatched(left, right, on, left_ts, right_ts)
         joined = joined.unionByName(alone, allowMissingColumns=True)

@@ -58,12 +58,13 @@ class Bucketed:
     even: bool
 
     def read(self, spark: SparkSession) -> DataFrame:
-        """Through the catalog when even: equal keys share a bucket and need no shuffle.
+        """Through the catalog: equal keys share a bucket and need no shuffle."""
+        return spark.table(self.table)
 
-        A bucket is scanned by one task, so a table with a hot bucket is read as plain files,
-        split by size, and grouped with a map-side combine instead.
-        """
-        return spark.table(self.table) if self.even else spark.read.parquet(self.path)
+    def read_files(self, spark: SparkSession) -> DataFrame:
+        """As plain files, split by size. A bucket is scanned by one task, so this is the better
+        read of a table with a hot bucket (``even`` is false)."""
+        return spark.read.parquet(self.path)
 
 
 def buckets_for(df: DataFrame, bucket_bytes: int = 512 << 20, least: int = 8) -> int:
@@ -84,7 +85,7 @@ def write_bucketed(
 
     The bucket count follows the input's size. Rows are rebalanced by bucket first, so a task
     writes few buckets and a large bucket is written by several tasks. The largest bucket is
-    compared with the mean (one row comes back) to decide how the table should be read.
+    compared with the mean (one row comes back) to tell callers how evenly the table reads.
     """
     spark = df.sparkSession
     buckets = buckets or buckets_for(df)

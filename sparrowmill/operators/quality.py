@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 from functools import reduce
@@ -30,6 +31,8 @@ class Expectation:
     def __post_init__(self):
         if self.kind not in KINDS:
             raise ValueError(f"unknown expectation {self.kind}")
+        if self.kind == "matches_strftime":
+            date_pattern(str(self.options["format"]))
 
 
 def _out_of_bounds(value: Column, options: Mapping[str, object]) -> Column:
@@ -42,8 +45,18 @@ def _out_of_bounds(value: Column, options: Mapping[str, object]) -> Column:
     return out
 
 
+def date_pattern(strftime: str) -> str:
+    """The Spark date pattern of a strftime format: directives by the table, the rest quoted."""
+    parts = re.findall(r"%.?|[^%]+", strftime, re.S)
+    unknown = [p for p in parts if p.startswith("%") and p not in STRFTIME]
+    if unknown:
+        raise ValueError(f"unknown directives {unknown} in {strftime}")
+    quoted = ["'" + p.replace("'", "''") + "'" for p in parts]
+    return "".join(STRFTIME.get(p, q) for p, q in zip(parts, quoted))
+
+
 def _parses(column: str, strftime: str) -> Column:
-    pattern = reduce(lambda text, d: text.replace(*d), STRFTIME.items(), strftime)
+    pattern = date_pattern(strftime)
     return F.try_to_timestamp(F.col(column).cast("string"), F.lit(pattern)).isNotNull()
 
 
@@ -66,7 +79,9 @@ def evaluate(df: DataFrame, suite: Sequence[Expectation]) -> DataFrame:
             parts.append(_verdict(found, i, e, "seen", "bad"))
         elif e.kind == "max_between":
             top = F.max(value)
-            plain[i] = (top, F.when(_out_of_bounds(top, e.options), 1).otherwise(0))
+            # Without values there is no maximum, which meets no bound.
+            out = _out_of_bounds(top, e.options) | top.isNull()
+            plain[i] = (top, F.when(out, 1).otherwise(0))
         elif e.kind == "not_null":
             plain[i] = (F.count(value), F.count_if(value.isNull()))
         elif e.kind == "matches_strftime":

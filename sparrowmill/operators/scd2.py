@@ -13,6 +13,14 @@ from sparrowmill.operators.skew import HOT_ROWS, assert_unique, split_hot
 from sparrowmill.operators.windows import chunked_moving, plain_moving, shifted
 
 
+# A hot key's rows are cut at these; a chunk is one second of one key.
+TIME_UNITS = ("day", "minute", "second")
+
+
+def _bands(units: Sequence[str]) -> list[tuple[Column, str]]:
+    return [(F.date_trunc(unit, "start_date"), "asc") for unit in units]
+
+
 def history_schema(snapshot: DataFrame, key: str, tracked: Sequence[str], ts: str) -> T.StructType:
     fields = [T.StructField(c, snapshot.schema[c].dataType) for c in [key, *tracked]]
     when = snapshot.schema[ts].dataType
@@ -40,23 +48,29 @@ def _differs(tracked: Sequence[str], prefix: str) -> Column:
 
 
 def _pair(history: DataFrame, snapshot: DataFrame, key: str, tracked, ts) -> DataFrame:
-    """Active versions next to incoming rows. Both sides hold one row per key."""
-    active = history.filter("is_active")
+    """Active versions next to incoming rows. Both sides hold one row per key, which is checked.
+
+    ``n_has`` and ``o_has`` mark the sides a row comes from. A null key is a key like any other.
+    """
+    active = assert_unique(history.filter("is_active"), [key], "active history")
+    active = active.withColumn("o_has", F.lit(True))
     incoming = assert_unique(snapshot.select(key, *tracked, ts), [key], "snapshot").select(
         F.col(key).alias("n_key"),
         *[F.col(c).alias(f"n_{c}") for c in tracked],
         F.col(ts).alias("n_ts"),
+        F.lit(True).alias("n_has"),
     )
-    return active.join(incoming, F.col(key) == F.col("n_key"), "full")
+    return active.join(incoming, F.col(key).eqNullSafe(F.col("n_key")), "full")
 
 
 def _is_late() -> Column:
-    return F.col("n_ts") <= F.col("start_date")
+    """Not known to be newer: a row without a time is late beside any version."""
+    return ~F.coalesce(F.col("n_ts") > F.col("start_date"), F.col("n_ts").isNotNull())
 
 
 def _is_change(tracked: Sequence[str]) -> Column:
-    return F.col("n_key").isNotNull() & (
-        F.col("start_date").isNull() | (_differs(tracked, "n_") & ~_is_late())
+    return F.col("n_has").isNotNull() & (
+        F.col("o_has").isNull() | (_differs(tracked, "n_") & ~_is_late())
     )
 
 
@@ -83,7 +97,8 @@ def scd2_late(
     """Changed rows no newer than the active version: not applied, handed back to the caller."""
     return (
         _pair(history, snapshot, key, tracked, ts)
-        .filter(F.col("n_key").isNotNull() & _differs(tracked, "n_") & _is_late())
+        .filter("n_has IS NOT NULL AND o_has IS NOT NULL")
+        .filter(_differs(tracked, "n_") & _is_late())
         .select(
             F.col("n_key").alias(key),
             *[F.col(f"n_{c}").alias(c) for c in tracked],
@@ -104,11 +119,11 @@ def scd2_closed(
 
     With ``close_missing`` (a time) versions whose key left the source end then.
     """
-    pair = _pair(history, snapshot, key, tracked, ts).filter(F.col("start_date").isNotNull())
+    pair = _pair(history, snapshot, key, tracked, ts).filter(F.col("o_has").isNotNull())
     replaced = F.coalesce(_is_change(tracked), F.lit(False))
     end = F.when(replaced, F.col("n_ts"))
     if close_missing is not None:
-        end = end.when(F.col("n_key").isNull(), close_missing)
+        end = end.when(F.col("n_has").isNull(), close_missing)
     end = end.cast(history.schema["end_date"].dataType)
     return (
         pair.withColumn("end_date", end)
@@ -136,10 +151,10 @@ def scd2_apply(
     change = F.coalesce(_is_change(tracked), F.lit(False))
     end = F.when(change, F.col("n_ts"))
     if close_missing is not None:
-        end = end.when(F.col("n_key").isNull(), close_missing)
+        end = end.when(F.col("n_has").isNull(), close_missing)
     end = end.cast(end_type)
     stored = F.when(
-        F.col("start_date").isNotNull(),
+        F.col("o_has").isNotNull(),
         F.struct(
             F.col(key),
             *[F.col(c) for c in tracked],
@@ -172,16 +187,17 @@ def scd2_from_log(
     key: str,
     tracked: Sequence[str],
     ts: str,
-    unit: str = "hour",
+    units: Sequence[str] = TIME_UNITS,
     hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
-    """The whole history in one pass over a change log, one row per (key, time).
+    """The whole history in one pass over a change log, one row per (key, time), which is checked.
 
     Rows that repeat the version before them are dropped, then each version ends where the next
-    one starts. A key with very many log rows is split by the time ``unit``.
+    one starts. A key with very many log rows is split by the time ``units``, coarse to fine.
     """
     rows = log.select(F.col(key), *[F.col(c) for c in tracked], F.col(ts).alias("start_date"))
-    order, bands = [("start_date", "asc")], [(F.date_trunc(unit, "start_date"), "asc")]
+    rows = assert_unique(rows, [key, "start_date"], "change log")
+    order, bands = [("start_date", "asc")], _bands(units)
 
     def versions(frame: DataFrame, neighbour: Callable[..., DataFrame]) -> DataFrame:
         earlier = {**{f"p_{c}": F.first(c) for c in tracked}, "p_start": F.first("start_date")}
@@ -202,14 +218,14 @@ def scd2_from_log(
 
 
 def scd2_violations(
-    history: DataFrame, key: str, unit: str = "hour", hot_rows: int = HOT_ROWS
+    history: DataFrame, key: str, units: Sequence[str] = TIME_UNITS, hot_rows: int = HOT_ROWS
 ) -> DataFrame:
     """One row per rule with the number of rows (or keys) that break it."""
     ordered = shifted(
         history.select(key, "start_date", "end_date", "is_active"),
         [key],
         [("start_date", "asc")],
-        [(F.date_trunc(unit, "start_date"), "asc")],
+        _bands(units),
         {"next_start": "start_date"},
         1,
         hot_rows=hot_rows,

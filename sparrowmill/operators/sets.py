@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def except_all(left: DataFrame, right: DataFrame, chunk_rows: int = 1_000_000) -> DataFrame:
+def except_all(left: DataFrame, right: DataFrame, chunk_rows: int = 100_000) -> DataFrame:
     """EXCEPT ALL by position: each row as often as it occurs on the left beyond the right.
 
     Rows travel as counts, so copies of one row combine map-side. The copies that remain are
@@ -19,9 +19,8 @@ def except_all(left: DataFrame, right: DataFrame, chunk_rows: int = 1_000_000) -
     counted = signed.groupBy(*columns).agg(F.sum("__n").alias("__n")).filter(F.col("__n") > 0)
     last = F.floor((F.col("__n") - 1) / F.lit(chunk_rows))
     chunks = counted.withColumn("__chunk", F.explode(F.sequence(F.lit(0).cast("bigint"), last)))
-    # An explicit count: chunks are small rows now and must not be merged before they unfold.
-    tasks = left.sparkSession.sparkContext.defaultParallelism
-    spread = chunks.repartition(tasks, *columns, "__chunk")
+    # Chunks are dealt over the shuffle's partitions, and what they unfold to is rebalanced by size.
+    spread = chunks.repartition(*columns, "__chunk")
     copies = F.least(F.col("__n") - F.col("__chunk") * chunk_rows, F.lit(chunk_rows))
     unfolded = spread.withColumn("__copy", F.explode(F.sequence(F.lit(1).cast("bigint"), copies)))
-    return unfolded.select(*columns)
+    return unfolded.select(*columns).hint("rebalance")

@@ -5,10 +5,26 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+def analyze(spark: SparkSession, table: str, columns: Sequence[str] = ()) -> dict[str, str]:
+    """ANALYZE TABLE ... COMPUTE STATISTICS, for named columns too, which the cost-based optimizer
+    reads; the table's statistics as DESCRIBE EXTENDED then tells them, and each column's."""
+    spark.sql(f"ANALYZE TABLE {table} COMPUTE STATISTICS")
+    found = {}
+    if columns:
+        spark.sql(f"ANALYZE TABLE {table} COMPUTE STATISTICS FOR COLUMNS {', '.join(columns)}")
+    for row in spark.sql(f"DESCRIBE EXTENDED {table}").collect():
+        if row["col_name"] == "Statistics":
+            found["table"] = row["data_type"]
+    for column in columns:
+        facts = spark.sql(f"DESCRIBE EXTENDED {table} {column}").collect()
+        found[column] = ", ".join(f"{r['info_name']}={r['info_value']}" for r in facts)
+    return found
+
+
 def profile(
     df: DataFrame, columns: Sequence[str] | None = None, exact_distinct: bool = False
 ) -> DataFrame:

@@ -85,7 +85,7 @@ def _numbered(df: DataFrame, by: Sequence[str], order: Order, bands: Bands, name
     """row_number along a total order, chunk by chunk."""
     ones = df.withColumn("__one", F.lit(1))
     counted = cumulative(ones, by, order, bands, {name: "__one"})
-    return counted.withColumn(name, F.col(name).cast("int")).drop("__one")
+    return counted.withColumn(name, F.col(name).cast("bigint")).drop("__one")
 
 
 def ranked_and_running(
@@ -111,12 +111,13 @@ def ranked_and_running(
     window = Window.partitionBy(*by).orderBy(*_sorted(order))
     added = {new: F.sum(col).over(window) for new, col in sums.items()}
     if rank:
-        added[rank] = F.rank().over(window)
+        added[rank] = F.rank().over(window).cast("bigint")
     if dense_rank:
-        added[dense_rank] = F.dense_rank().over(window)
+        added[dense_rank] = F.dense_rank().over(window).cast("bigint")
     if row_number:
         name, total, _ = row_number
-        added[name] = F.row_number().over(Window.partitionBy(*by).orderBy(*_sorted(total)))
+        numbers = F.row_number().over(Window.partitionBy(*by).orderBy(*_sorted(total)))
+        added[name] = numbers.cast("bigint")
     done = ordinary.withColumns(added)
 
     ties = [*by, *[c for c, _ in order]]
@@ -131,9 +132,9 @@ def ranked_and_running(
     )
     values = [F.col(new) for new in sums]
     if rank:
-        values.append((F.col("__run_n") - F.col("__n") + 1).cast("int").alias(rank))
+        values.append((F.col("__run_n") - F.col("__n") + 1).cast("bigint").alias(rank))
     if dense_rank:
-        values.append(F.col("__run_peer").cast("int").alias(dense_rank))
+        values.append(F.col("__run_peer").cast("bigint").alias(dense_rank))
     looked_up = along.select(*[F.col(c).alias(f"__t_{c}") for c in ties], *values)
     split = hot.join(looked_up, same(hot, looked_up, ties, "__t_"), "left").drop(
         *[f"__t_{c}" for c in ties]
@@ -163,8 +164,7 @@ def chunked_moving(
 ) -> DataFrame:
     """The ROWS frame over numbered rows cut into overlapping runs, for keys of any size."""
     back, ahead = max(0, -rows[0]), max(0, rows[1])
-    if max(back, ahead) > chunk_rows:
-        raise ValueError("the frame reaches further than one chunk")
+    chunk_rows = max(chunk_rows, back, ahead)  # a frame reaches at most into the next run
     numbered = _numbered(df, by, order, bands, "__pos")
     slot = (F.col("__pos") - 1) % chunk_rows
     home = F.floor((F.col("__pos") - 1) / F.lit(chunk_rows))

@@ -39,14 +39,14 @@ def query(name: str, covers: str, oracle: str | None = None):
 
 
 def publish(df: DataFrame) -> DataFrame:
-    """Dates and timestamps as ISO text, decimals as double: the types every client reads alike."""
+    """Dates and timestamps as ISO text to the microsecond, decimals as double: the types every client reads alike."""
     columns = []
     for field in df.schema.fields:
         column = F.col(f"`{field.name}`")
         if isinstance(field.dataType, T.DateType):
             column = F.date_format(column, "yyyy-MM-dd").alias(field.name)
         elif isinstance(field.dataType, (T.TimestampType, T.TimestampNTZType)):
-            column = F.date_format(column, "yyyy-MM-dd HH:mm:ss").alias(field.name)
+            column = F.date_format(column, "yyyy-MM-dd HH:mm:ss.SSSSSS").alias(field.name)
         elif isinstance(field.dataType, T.DecimalType):
             column = column.cast("double").alias(field.name)
         columns.append(column)

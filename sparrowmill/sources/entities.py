@@ -185,13 +185,13 @@ def seller_product(t: Tables) -> DataFrame:
 
 
 def clickstream(t: Tables) -> DataFrame:
-    purchase = F.col("event_type") == "purchase"
-    return t.events.filter(F.col("event_type").isin("view", "click", "purchase")).select(
+    """Every event; views and clicks refer to a product, purchases to an order."""
+    return t.events.select(
         "event_id",
         "user_id",
         "event_type",
-        F.when(~purchase, F.col("event_id")).alias("product_id"),
-        F.when(purchase, F.col("event_id")).alias("order_id"),
+        F.when(F.col("event_type").isin("view", "click"), F.col("event_id")).alias("product_id"),
+        F.when(F.col("event_type") == "purchase", F.col("event_id")).alias("order_id"),
         F.col("ts").alias("timestamp"),
         F.col("ts").alias("created_ts"),
     )

@@ -9,6 +9,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 
+# Nothing between two separators is null, two quotes are empty text. Spark's reader takes both for
+# null unless null has a value of its own, which no text may be.
+NO_TEXT = "\0"
+
+
 def read_parquet(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
@@ -18,20 +23,32 @@ def write_parquet(df: DataFrame, path: str, mode: str = "errorifexists") -> None
 
 
 def read_delimited(
-    spark: SparkSession, path: str, schema: T.StructType | str, sep: str = "|", escape: str = '"'
+    spark: SparkSession, path: str, schema: T.StructType | str, sep: str = "|", escape: str = '"',
+    line_breaks: bool = False,
 ) -> DataFrame:
     """Delimited text without a header into a typed table; a trailing separator is ignored."""
-    return spark.read.schema(schema).option("sep", sep).option("escape", escape).csv(path)
+    reader = spark.read.schema(schema).option("sep", sep).option("nullValue", NO_TEXT)
+    return reader.option("escape", escape).option("multiLine", line_breaks).csv(path)
 
 
-def read_csv(spark: SparkSession, path: str, schema: T.StructType | str | None = None) -> DataFrame:
-    """CSV without a header; columns are text (_c0, _c1, ...) unless a schema types them."""
-    reader = spark.read
+def read_csv(
+    spark: SparkSession, path: str, schema: T.StructType | str | None = None, line_breaks: bool = False
+) -> DataFrame:
+    """CSV without a header; columns are text (_c0, _c1, ...) unless a schema types them.
+
+    Texts with line breaks need ``line_breaks``, which reads each file whole, in one task.
+    """
+    reader = spark.read.option("nullValue", NO_TEXT).option("escape", '"').option("multiLine", line_breaks)
     return (reader.schema(schema) if schema is not None else reader).csv(path)
 
 
 def write_csv(df: DataFrame, path: str, sep: str = ",", mode: str = "errorifexists") -> None:
-    df.write.mode(mode).option("sep", sep).csv(path)
+    """Separated text that ``read_csv`` and ``read_delimited`` give back as it was: spaces stay,
+    quotes are doubled, empty text is quoted and null is not."""
+    writer = df.write.mode(mode).option("sep", sep).option("escape", '"').option("emptyValue", '""')
+    for side in ("ignoreLeadingWhiteSpace", "ignoreTrailingWhiteSpace"):
+        writer = writer.option(side, "false")
+    writer.csv(path)
 
 
 def shared_folder(spark: SparkSession) -> str:

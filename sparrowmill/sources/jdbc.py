@@ -61,13 +61,39 @@ def read_jdbc(
     return reader.load()
 
 
+# The number column that the ranges of a table's connections run over.
+KEYS = {
+    "appuser": "user_id", "brand": "brand_id", "buyer": "buyer_id", "category": "category_id",
+    "clickstream": "event_id", "manufacturer": "manufacturer_id", "orderitem": "order_item_id",
+    "orders": "order_id", "product": "product_id", "productcategory": "product_id",
+    "ratings": "ratings_id", "seller": "seller_id", "sellerproduct": "seller_id",
+}
+
+
+def key_bounds(spark: SparkSession, table: str, column: str) -> tuple | None:
+    """(least, greatest) value of a column, computed by the database; None for an empty table."""
+    query = f"(SELECT MIN({column}) AS low, MAX({column}) AS high FROM {table}) AS bounds"
+    row = read_jdbc(spark, query).head()
+    return None if row is None or row["low"] is None else (row["low"], row["high"])
+
+
 def upstream_tables(
-    spark: SparkSession, partitions: Mapping[str, tuple[str, tuple, int]] | None = None
+    spark: SparkSession,
+    partitions: Mapping[str, tuple[str, tuple, int]] | None = None,
+    connections: int = 16,
 ) -> Callable[[str], DataFrame]:
-    """Tables by name for a pipeline run; ``partitions`` gives (column, bounds, count) per table."""
+    """Tables by name for a pipeline run, each read over ``connections`` connections.
+
+    The ranges run over the table's key, between bounds that the database is asked for;
+    ``partitions`` gives (column, bounds, count) of tables that should be read otherwise.
+    """
 
     def table(name: str) -> DataFrame:
-        column, bounds, count = (partitions or {}).get(name, (None, None, None))
-        return read_jdbc(spark, name, column, bounds, count)
+        if name in (partitions or {}):
+            return read_jdbc(spark, name, *partitions[name])
+        bounds = key_bounds(spark, name, KEYS[name])
+        if bounds is None:
+            return read_jdbc(spark, name)
+        return read_jdbc(spark, name, KEYS[name], bounds, connections)
 
     return table

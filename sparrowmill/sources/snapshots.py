@@ -42,51 +42,91 @@ def write_snapshot(
 
 
 def write_checked_snapshot(
-    df: DataFrame, path: str, snapshot_col: str, snapshot: str, check: Callable[[DataFrame], None]
+    df: DataFrame,
+    path: str,
+    snapshot_col: str,
+    snapshot: str,
+    check: Callable[[DataFrame], None],
+    partition_by: Sequence[str] = (),
 ) -> None:
     """Write the rows out of readers' sight, check what was written, then show it as the snapshot.
 
     The rows are computed once, and those checked are those published even where the source has
-    moved on. When ``check`` raises no reader ever sees them; they stay aside for inspection.
+    moved on. When ``check`` raises no reader ever sees them; they stay aside for inspection until
+    ``clear_aside``. A snapshot that is replaced is moved aside first and deleted last, so that no
+    failure in between loses it.
     """
     spark = df.sparkSession
     aside = f"{path}/_unchecked-{uuid.uuid4().hex}"
-    df.write.parquet(aside)
+    df.write.partitionBy(*partition_by).parquet(aside)
     check(spark.read.parquet(aside))
     final, fs, _ = _hadoop(spark, _folder(spark, path, snapshot_col, snapshot))
-    if fs.exists(final):
-        fs.delete(final, True)
+    replaced = _hadoop(spark, f"{path}/_replaced-{uuid.uuid4().hex}")[0] if fs.exists(final) else None
+    if replaced is not None and not fs.rename(final, replaced):
+        raise OSError(f"could not move {final.toString()} aside")
     if not fs.rename(_hadoop(spark, aside)[0], final):
+        if replaced is not None:
+            fs.rename(replaced, final)
         raise OSError(f"could not publish {aside} as {final.toString()}")
+    if replaced is not None:
+        fs.delete(replaced, True)
+
 
+def clear_aside(spark: SparkSession, path: str) -> int:
+    """Delete what failed checks and broken replacements left aside; the number of folders."""
+    root, fs, _ = _hadoop(spark, path)
+    found = [s.getPath() for s in fs.listStatus(root)] if fs.exists(root) else []
+    aside = [p for p in found if p.getName().startswith(("_unchecked-", "_replaced-"))]
+    for folder in aside:
+        fs.delete(folder, True)
+    return len(aside)
 
-def list_snapshots(spark: SparkSession, path: str, snapshot_col: str) -> list[str]:
-    """Snapshot values in order, from the folder names; no data is read."""
+
+def list_snapshots(
+    spark: SparkSession, path: str, snapshot_col: str, kind: Callable[[str], object] = str
+) -> list[str]:
+    """Snapshot values in order, from the folder names; no data is read.
+
+    ``kind`` makes a value comparable: ``int`` for numbered versions, as text "10" is before "9".
+    """
     root, fs, names = _hadoop(spark, path)
     if not fs.exists(root):
         return []
     prefix = f"{snapshot_col}="
     folders = [status.getPath().getName() for status in fs.listStatus(root)]
-    return sorted(names.unescapePathName(f[len(prefix) :]) for f in folders if f.startswith(prefix))
+    found = [names.unescapePathName(f[len(prefix) :]) for f in folders if f.startswith(prefix)]
+    return sorted(found, key=kind)
 
 
 def read_all(spark: SparkSession, path: str, snapshot_col: str) -> DataFrame:
     """Every snapshot; columns that came or went are null where they are missing.
 
-    Snapshot values keep their text, which partition type inference would reshape.
+    Snapshot values keep their text: partition type inference, which would read "01" as 1, is off
+    while the folders are listed. Other partition columns come as text too.
     """
-    frame = spark.read.option("mergeSchema", "true").parquet(path)
-    return frame.withColumn(snapshot_col, F.col(snapshot_col).cast("string"))
+    name = "spark.sql.sources.partitionColumnTypeInference.enabled"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "false")
+    try:
+        return spark.read.option("mergeSchema", "true").parquet(path)
+    finally:
+        spark.conf.set(name, before)
 
 
 def read_snapshot(
-    spark: SparkSession, path: str, snapshot_col: str, at: str | None = None, **partition_values
+    spark: SparkSession,
+    path: str,
+    snapshot_col: str,
+    at: str | None = None,
+    kind: Callable[[str], object] = str,
+    **partition_values,
 ) -> DataFrame:
     """The latest snapshot, or the latest not after ``at``, with that snapshot's own columns.
 
     Only the chosen snapshot's folder is read. ``partition_values`` filter further partitions.
     """
-    known = [s for s in list_snapshots(spark, path, snapshot_col) if at is None or s <= at]
+    every = list_snapshots(spark, path, snapshot_col, kind)
+    known = [s for s in every if at is None or kind(s) <= kind(at)]
     if not known:
         raise ValueError(f"no snapshot at or before {at} under {path}")
     frame = spark.read.parquet(_folder(spark, path, snapshot_col, known[-1]))

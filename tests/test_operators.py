@@ -206,3 +206,36 @@ def test_profile_estimates_and_exact_counts(spark):
         assert (got["i"]["rows"], got["i"]["nulls"], got["i"]["distinct_values"]) == (3, 0, 2)
         assert (got["s"]["nulls"], got["s"]["min_value"], got["s"]["max_length"]) == (1, "aa", 2)
         assert got["s"]["avg_length"] == 1.5
+
+
+def test_format_letters_and_empty_maximum(spark):
+    from sparrowmill.operators.quality import Expectation, date_pattern, evaluate
+
+    assert date_pattern("%Y-%m-%dT%H:%M") == "yyyy'-'MM'-'dd'T'HH':'mm"
+    with pytest.raises(ValueError, match="%q"):
+        Expectation("matches_strftime", "s", {"format": "%q"})
+    df = spark.createDataFrame([("2024-01-02T03:04",), ("2024-01-02 03:04",)], "s string")
+    row = evaluate(df, [Expectation("matches_strftime", "s", {"format": "%Y-%m-%dT%H:%M"})]).head()
+    assert row["unexpected"] == 1
+    empty = evaluate(df.limit(0), [Expectation("max_between", "s", {"max_value": "z"})]).head()
+    assert not empty["success"]
+
+
+def test_merge_inserts_every_null_key(spark):
+    target = spark.createDataFrame([(1, "a"), (None, "t")], "k int, v string")
+    source = spark.createDataFrame([(1, "A"), (None, "x"), (None, "y")], "k int, v string")
+    new = {"k": F.col("s_k"), "v": F.col("s_v")}
+    got = dml.merge_upsert(target, source, ["k"], {"v": F.col("s_v")}, new).collect()
+    assert sorted(map(tuple, got), key=repr) == sorted([(1, "A"), (None, "t"), (None, "x"), (None, "y")], key=repr)
+
+
+def test_customers_without_orders(spark, small):
+    from types import SimpleNamespace
+
+    from sparrowmill.plans import tpch
+    from sparrowmill.sources.tables import Tables
+
+    t = Tables(spark, small)
+    some = SimpleNamespace(customer_x=t.customer_x, orders=t.orders.where("o_custkey % 2 = 0"))
+    rows = tpch.q22(some).collect()
+    assert rows and sum(r["numcust"] for r in rows) < t.customer.count() / 2

@@ -1,5 +1,6 @@
 """Type 2 history: single steps, nulls, late rows, and the two roads to the same history."""
 
+import datetime as dt
 import random
 
 import pytest
@@ -119,3 +120,35 @@ def test_violations_are_found(spark):
     assert got == {
         "active_with_end_date": 1, "closed_without_end_date": 1, "several_active": 1, "overlapping": 2
     }
+
+
+def test_null_times_and_null_keys_lose_no_row(spark):
+    when = dt.datetime(2024, 1, 1)
+    history = spark.createDataFrame(
+        [(1, "a", None, None, True), (2, "b", None, None, True), (3, "c", when, None, True), (None, "d", when, None, True)],
+        "id int, name string, start_date timestamp, end_date timestamp, is_active boolean",
+    )
+    later = dt.datetime(2024, 2, 1)
+    snapshot = spark.createDataFrame(
+        [(2, "B", later), (3, "C", None), (None, "D", later)], "id int, name string, updated_at timestamp"
+    )
+    got = {tuple(r) for r in scd2.scd2_apply(history, snapshot, "id", ["name"], "updated_at").collect()}
+    assert got == {
+        (1, "a", None, None, True), (2, "b", None, later, False), (2, "B", later, None, True),
+        (3, "c", when, None, True), (None, "d", when, later, False), (None, "D", later, None, True),
+    }
+    late = scd2.scd2_late(history, snapshot, "id", ["name"], "updated_at").collect()
+    assert [tuple(r) for r in late] == [(3, "C", None)]
+
+
+def test_repeated_log_rows_and_two_active_versions_fail(spark):
+    when = dt.datetime(2024, 1, 1)
+    log = spark.createDataFrame([(1, "a", when), (1, "b", when)], "id int, name string, updated_at timestamp")
+    with pytest.raises(Exception, match="change log"):
+        scd2.scd2_from_log(log, "id", ["name"], "updated_at").collect()
+    history = spark.createDataFrame(
+        [(1, "a", when, None, True), (1, "b", when, None, True)],
+        "id int, name string, start_date timestamp, end_date timestamp, is_active boolean",
+    )
+    with pytest.raises(Exception, match="active history"):
+        scd2.scd2_apply(history, log.limit(0), "id", ["name"], "updated_at").collect()

@@ -112,8 +112,9 @@ def test_a_hot_bucket_is_read_as_files(spark, where):
     rows = spark.range(3000).select(F.when(F.col("id") < 2900, 1).otherwise(F.col("id")).alias("k"))
     table = layout.write_bucketed(rows, "hot_table", where, ["k"], buckets=16)
     assert not table.even
-    plan = table.read(spark).groupBy("k").count()._jdf.queryExecution().executedPlan().toString()
-    assert "Bucketed: true" not in plan and table.read(spark).count() == 3000
+    plan = table.read_files(spark).groupBy("k").count()._jdf.queryExecution().executedPlan().toString()
+    assert "Bucketed: true" not in plan and table.read_files(spark).count() == 3000
+    assert table.read(spark).count() == 3000
     spark.sql("DROP TABLE hot_table")
 
 
@@ -141,3 +142,60 @@ def test_catalog_statistics(spark, tables):
     spark.sql("INSERT INTO stat_orders SELECT * FROM stat_orders")
     assert spark.table("stat_orders").count() == 30_000
     spark.sql("DROP TABLE stat_orders")
+
+
+def test_text_comes_back_as_it_was(spark, where):
+    rows = [(1, " pad "), (2, ""), (3, None), (4, 'say "hi"|x, y'), (5, "two\nlines"), (6, '"'), (7, "\\")]
+    for sep, read in (("|", files.read_delimited), (",", files.read_csv)):
+        path = f"{where}-{ord(sep)}"
+        files.write_csv(spark.createDataFrame(rows, "i int, s string"), path, sep=sep)
+        assert sorted(map(tuple, read(spark, path, "i int, s string", line_breaks=True).collect())) == rows
+
+
+def test_versions_compare_by_kind(spark, where):
+    for version in ("9", "10", "01"):
+        snapshots.write_snapshot(spark.range(int(version)), where, "v", version)
+    assert snapshots.list_snapshots(spark, where, "v", int) == ["01", "9", "10"]
+    assert snapshots.read_snapshot(spark, where, "v", kind=int).count() == 10
+    assert snapshots.read_snapshot(spark, where, "v", "9", kind=int).count() == 9
+    assert {r[0] for r in snapshots.read_all(spark, where, "v").select("v").distinct().collect()} == {"9", "10", "01"}
+
+
+def test_a_replaced_snapshot_is_never_lost(spark, where):
+    def refuse(df):
+        raise ValueError("no")
+
+    snapshots.write_checked_snapshot(spark.range(3), where, "v", "1", lambda df: None)
+    with pytest.raises(ValueError, match="no"):
+        snapshots.write_checked_snapshot(spark.range(4), where, "v", "1", refuse)
+    assert snapshots.read_snapshot(spark, where, "v").count() == 3
+    snapshots.write_checked_snapshot(spark.range(5), where, "v", "1", lambda df: None)
+    assert snapshots.read_snapshot(spark, where, "v").count() == 5
+    assert snapshots.clear_aside(spark, where) == 1 and snapshots.clear_aside(spark, where) == 0
+
+
+def test_upstream_tables_ask_for_bounds(monkeypatch):
+    asked = []
+
+    class Bounds:
+        def head(self):
+            return {"low": 3, "high": 90}
+
+    def read(spark, table, *how):
+        asked.append((table, *how))
+        return Bounds()
+
+    monkeypatch.setattr(jdbc, "read_jdbc", read)
+    jdbc.upstream_tables(None, {"brand": ("x", (1, 2), 3)}, connections=4)("brand")
+    jdbc.upstream_tables(None, connections=4)("orders")
+    assert asked[0] == ("brand", "x", (1, 2), 3)
+    assert "MIN(order_id)" in asked[1][0] and asked[2] == ("orders", "order_id", (3, 90), 4)
+
+
+def test_analyze(spark, tiny, where):
+    from sparrowmill.operators.stats import analyze
+
+    spark.read.parquet(f"{tiny}/nation.parquet").write.option("path", where).saveAsTable("analyzed")
+    found = analyze(spark, "analyzed", ["n_nationkey"])
+    spark.sql("DROP TABLE analyzed")
+    assert "25 rows" in found["table"] and "distinct_count=25" in found["n_nationkey"]
