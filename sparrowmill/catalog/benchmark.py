@@ -210,7 +210,7 @@ query("tpch_q21", "T21 J13 J14 V06", with_ctes("lineitem_x", f"""
     GROUP BY s_name ORDER BY numwait DESC, s_name LIMIT 100"""))(tpch.q21)
 
 _CODES = "('13', '31', '23', '29', '30', '18', '17')"
-query("tpch_q22", "T22 J14 F04 A13", with_ctes("customer_x", f"""
+query("tpch_q22", "T22 J14 F04 A13", with_ctes("customer_x orders_x", f"""
     SELECT cntrycode, COUNT(*) AS numcust, {dbl('SUM(bal)')} AS totacctbal FROM (
       SELECT substring(c_phone, 1, 2) AS cntrycode, CAST(c_acctbal AS DECIMAL(12,2)) AS bal
       FROM customer_x
@@ -218,6 +218,6 @@ query("tpch_q22", "T22 J14 F04 A13", with_ctes("customer_x", f"""
         AND c_acctbal > (
           SELECT {dbl('SUM(CAST(c_acctbal AS DECIMAL(12,2)))')} / COUNT(*) FROM customer_x
           WHERE c_acctbal > 0 AND substring(c_phone, 1, 2) IN {_CODES})
-        AND NOT EXISTS (SELECT * FROM orders
-          WHERE o_custkey = c_custkey))
+        AND NOT EXISTS (SELECT * FROM orders_x
+          WHERE o_buyerkey = c_custkey))
     GROUP BY cntrycode"""))(tpch.q22)

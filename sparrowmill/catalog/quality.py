@@ -88,6 +88,7 @@ FOREIGN_KEYS = (
     ("orders", ("o_custkey",), "customer", ("c_custkey",)),
     ("lineitem", ("l_orderkey",), "orders", ("o_orderkey",)),
     ("lineitem", ("l_partkey", "l_suppkey"), "partsupp", ("ps_partkey", "ps_suppkey")),
+    ("orders", ("o_orderkey",), "lineitem", ("l_orderkey",)),  # an order has lines
 )
 
 

@@ -35,7 +35,8 @@ _CTES: dict[str, tuple[tuple[str, ...], str]] = {
         SELECT *, 0 AS o_shippriority,
           'Clerk#' || lpad(CAST(o_custkey % 1000 AS VARCHAR), 9, '0') AS o_clerk,
           CASE WHEN o_orderkey % 50 = 0 THEN 'special packages requests'
-               ELSE 'regular deposits' END AS o_comment
+               ELSE 'regular deposits' END AS o_comment,
+          CASE WHEN o_custkey % 3 = 0 THEN o_custkey + 1 ELSE o_custkey END AS o_buyerkey
         FROM orders"""),
     "part_x": ((), """
         SELECT *, ['SM','MED','LG','JUMBO','WRAP'][p_partkey % 5 + 1] || ' '

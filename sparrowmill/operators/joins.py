@@ -49,13 +49,16 @@ def join_with_strategy(
 
 
 def semi(
-    left: DataFrame, right: DataFrame, on: Mapping[str, str], residual: Column | None = None
+    left: DataFrame, right: DataFrame, on: Mapping[str, str], residual: Column | None = None,
+    unique: bool = False,
 ) -> DataFrame:
     """EXISTS / IN. Without a residual only the right side's distinct keys travel, so neither a
-    key that is hot on the left nor one that is hot on the right fills a task.
+    key that is hot on the left nor one that is hot on the right fills a task. ``unique`` says that
+    the right side holds each key once already.
     """
     if residual is None:
-        right = apart(right.select(*on.values()).distinct())
+        right = right.select(*on.values())
+        right = apart(right if unique else right.distinct())
         return left.join(right, _equal(left, right, on), "left_semi")
     return left.join(right, _equal(left, right, on) & residual, "left_semi")
 

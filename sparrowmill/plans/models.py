@@ -55,7 +55,7 @@ def brand_metrics(t: Tables, fanout: bool = False) -> DataFrame:
     """
     # The stock table adds no columns and holds each (part, supplier) pair once.
     pair = {"l_partkey": "ps_partkey", "l_suppkey": "ps_suppkey"}
-    lines = semi(t.lineitem, t.partsupp, pair).select(
+    lines = semi(t.lineitem, t.partsupp, pair, unique=True).select(
         "l_orderkey", "l_partkey", charged().alias("charge"), money("l_extendedprice").alias("price")
     )
     brands = t.part.select("p_partkey", "p_brand")
@@ -108,8 +108,9 @@ def one_big_table(t: Tables) -> DataFrame:
     """lineitem with its order, customer, part, supplier and stock data, under unique names.
 
     Part and supplier join through the stock keys, so they are null where the stock row is missing.
-    All joins are left joins from the fact: adaptive execution broadcasts the small sides and
-    splits the fact's skewed partitions.
+    Later keys come from the right sides, so those are joined among themselves first and the fact
+    moves twice, by order and by stock pair. Both are left joins whose right side is set apart, so
+    adaptive execution can split the fact's skewed partitions.
     """
     orders = t.orders_x.select(
         F.col("o_orderkey").alias("orderkey"), F.col("o_custkey").alias("ordercustomerkey"),
@@ -124,7 +125,7 @@ def one_big_table(t: Tables) -> DataFrame:
         F.col("c_acctbal").alias("customeraccountbal"),
         F.col("c_mktsegment").alias("customermktsegment"),
     )
-    stock = apart(t.partsupp).select(
+    stock = t.partsupp.select(
         "ps_partkey", "ps_suppkey", F.col("ps_availqty").alias("availqty"),
         F.col("ps_supplycost").alias("supplycost"),
     )
@@ -139,15 +140,13 @@ def one_big_table(t: Tables) -> DataFrame:
         F.col("s_nationkey").alias("suppliernationkey"), F.col("s_acctbal").alias("supplieracctbal"),
         F.col("s_comment").alias("suppliercomment"),
     )
+    bought = orders.join(customers, F.col("ordercustomerkey") == F.col("customerkey"), "left")
+    stocked = stock.join(parts, F.col("ps_partkey") == F.col("partkey"), "left").join(
+        suppliers, F.col("ps_suppkey") == F.col("suppkey"), "left"
+    )
+    pair = (F.col("l_partkey") == F.col("ps_partkey")) & (F.col("l_suppkey") == F.col("ps_suppkey"))
     return (
-        t.lineitem_x.join(orders, F.col("l_orderkey") == F.col("orderkey"), "left")
-        .join(customers, F.col("ordercustomerkey") == F.col("customerkey"), "left")
-        .join(
-            stock,
-            (F.col("l_partkey") == F.col("ps_partkey")) & (F.col("l_suppkey") == F.col("ps_suppkey")),
-            "left",
-        )
-        .join(parts, F.col("ps_partkey") == F.col("partkey"), "left")
-        .join(suppliers, F.col("ps_suppkey") == F.col("suppkey"), "left")
+        t.lineitem_x.join(apart(bought), F.col("l_orderkey") == F.col("orderkey"), "left")
+        .join(apart(stocked), pair, "left")
         .drop("ps_partkey", "ps_suppkey")
     )

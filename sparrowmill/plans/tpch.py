@@ -497,7 +497,7 @@ def q22(
     ).filter(F.col("cntrycode").isin(list(codes)))
     average = customers.filter(F.col("bal") > 0).agg(mean(F.col("bal")).alias("average")).scalar()
     return (
-        anti(customers.filter(F.col("bal").cast("double") > average), t.orders, {"c_custkey": "o_custkey"})
+        anti(customers.filter(F.col("bal").cast("double") > average), t.orders_x, {"c_custkey": "o_buyerkey"})
         .groupBy("cntrycode")
         .agg(F.count(F.lit(1)).alias("numcust"), F.sum("bal").alias("totacctbal"))
         .orderBy("cntrycode")

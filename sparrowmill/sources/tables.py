@@ -93,13 +93,15 @@ class Tables:
 
     @cached_property
     def orders_x(self) -> DataFrame:
-        """orders with ship priority, clerk and comment."""
+        """orders with ship priority, clerk, comment and a buyer that some customers never are."""
         clerk = F.concat(F.lit("Clerk#"), F.lpad((F.col("o_custkey") % 1000).cast("string"), 9, "0"))
         comment = F.when(F.col("o_orderkey") % 50 == 0, "special packages requests").otherwise(
             "regular deposits"
         )
+        # As in the benchmark, no customer whose key divides by three has orders.
+        buyer = F.when(F.col("o_custkey") % 3 == 0, F.col("o_custkey") + 1).otherwise(F.col("o_custkey"))
         return self.orders.withColumns(
-            {"o_shippriority": F.lit(0), "o_clerk": clerk, "o_comment": comment}
+            {"o_shippriority": F.lit(0), "o_clerk": clerk, "o_comment": comment, "o_buyerkey": buyer}
         )
 
     @cached_property

@@ -228,14 +228,3 @@ def test_merge_inserts_every_null_key(spark):
     got = dml.merge_upsert(target, source, ["k"], {"v": F.col("s_v")}, new).collect()
     assert sorted(map(tuple, got), key=repr) == sorted([(1, "A"), (None, "t"), (None, "x"), (None, "y")], key=repr)
 
-
-def test_customers_without_orders(spark, small):
-    from types import SimpleNamespace
-
-    from sparrowmill.plans import tpch
-    from sparrowmill.sources.tables import Tables
-
-    t = Tables(spark, small)
-    some = SimpleNamespace(customer_x=t.customer_x, orders=t.orders.where("o_custkey % 2 = 0"))
-    rows = tpch.q22(some).collect()
-    assert rows and sum(r["numcust"] for r in rows) < t.customer.count() / 2
