@@ -14,6 +14,7 @@ import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -35,21 +36,34 @@ HIDDEN = 32
 SEED = 20240601
 
 _RUNS = re.compile(r"(.)\1+", re.S)
+_NOT_WORD = re.compile(r"[\W_]+")
+
+
+class _Kinds(dict):
+    """Translates a code point to its kind."""
+
+    def __missing__(self, point: int) -> str:
+        c = chr(point)
+        self[point] = ("A" if c.isupper() else "a") if c.isalpha() else "0" if c.isdigit() else c
+        return self[point]
+
+
+_KINDS = _Kinds()
 
 
 def shape(word: str) -> str:
     """A for capitals, a for other letters, 0 for digits, other characters as they are; runs as one."""
-    kinds = "".join(
-        ("A" if c.isupper() else "a") if c.isalpha() else "0" if c.isdigit() else c for c in word[:256]
-    )
-    return _RUNS.sub(r"\1", kinds)
+    if word.islower() and word.isalpha():
+        return "a"
+    return _RUNS.sub(r"\1", word[:256].translate(_KINDS))
 
 
 class Units(dict):
     """A word's two units, packed as lexical | shape << 32."""
 
     def __missing__(self, word: str) -> int:
-        core = "".join(c for c in word.lower() if c.isalnum()) or word
+        lower = word.lower()
+        core = lower if lower.isalnum() else _NOT_WORD.sub("", lower) or word
         lexical = zlib.crc32(core.encode()) % LEXICAL
         form = LEXICAL + 1 + zlib.crc32(shape(word).encode()) % (SHAPES - 1)
         if len(self) >= CACHE_WORDS:
@@ -75,9 +89,7 @@ def read_units(texts: list[str], known: Units) -> tuple[np.ndarray, np.ndarray,
     words = [t.split() for t in texts]
     sizes = np.fromiter(map(len, words), np.int64, len(words))
     before = np.append(0, np.cumsum(sizes))
-    packed = np.fromiter(
-        map(known.__getitem__, (w for some in words for w in some)), np.int64, int(before[-1])
-    )
+    packed = np.fromiter(map(known.__getitem__, chain.from_iterable(words)), np.int64, int(before[-1]))
     lexical, form = packed & 0xFFFFFFFF, packed >> 32
     again = np.append(False, lexical[1:] == lexical[:-1])[: len(lexical)]
     again[before[:-1][before[:-1] < len(again)]] = False
@@ -135,12 +147,11 @@ def pooled(texts: list[str], vectors: np.ndarray, known: Units) -> np.ndarray:
     """(texts, 2 * DIMS) means of the words' lexical and shape vectors; zeros without words."""
     lexical, form, before = read_units(texts, known)
     out = np.zeros((len(texts), 2 * DIMS))
-    sizes = np.diff(before)
-    full = np.flatnonzero(sizes)
-    if len(full):
-        for part, units in enumerate((lexical, form)):
-            sums = np.add.reduceat(vectors[units].astype(np.float64), before[:-1][full], axis=0)
-            out[full, part * DIMS : (part + 1) * DIMS] = sums / sizes[full, None]
+    cuts = before.tolist()
+    for row, (start, stop) in enumerate(zip(cuts, cuts[1:])):
+        if stop > start:
+            out[row, :DIMS] = vectors[lexical[start:stop]].sum(axis=0) / (stop - start)
+            out[row, DIMS:] = vectors[form[start:stop]].sum(axis=0) / (stop - start)
     return out
 
 
