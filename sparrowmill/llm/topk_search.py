@@ -17,13 +17,15 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from sparrowmill.llm.common import stored
 
 DATA_LEAF, QUERY_LEAF = 64, 8  # a node of so few points keeps them as a list
-FANOUT = 64
+FANOUT = 64  # children of a node, before the points left over become one more
+SPARSE = 4  # children that cover fewer points than this on average do not divide a node
 CHUNK_ROWS = 8192  # data points indexed together in a task
 QUERY_BLOCK = 16_384  # queries broadcast together
 EXACT = float(1 << 52)
@@ -42,7 +44,12 @@ def cover_tree(
 ) -> Node:
     """A node's children halve its covering radius: each child's centre is a member that no earlier
     child covers, so centres are separated and every member is in the first child that covers it.
-    The node's own centre is its first child's."""
+    The node's own centre is its first child's.
+
+    Points without structure, as in many dimensions, are about equally far from each other, and
+    nearly every child would be a single point. Such a node stays a leaf, whose points are compared
+    by one matrix product.
+    """
     if members is None:
         members = np.arange(len(points))
     if centre is None:
@@ -51,20 +58,20 @@ def cover_tree(
     node = Node(points[centre], float(away.max()) * (1 + 1e-9), members)
     if len(members) <= leaf or node.radius == 0:
         return node
-    half, left, chosen = node.radius / 2, members, centre
+    half, left, chosen, parts = node.radius / 2, members, centre, []
     while len(left):
-        near = _distances(points, left, chosen) <= half
-        near |= left == chosen
-        node.children.append(cover_tree(points, leaf, left[near], chosen))
+        near = (_distances(points, left, chosen) <= half) | (left == chosen)
+        parts.append((left[near], chosen))
         left = left[~near]
-        if len(left):
-            # Where few points are near each other, splitting goes on only until leaves are small.
-            if len(node.children) >= FANOUT and len(left) > leaf:
-                node.children.append(cover_tree(points, leaf, left))
-                break
-            chosen = int(left[0])
-    if len(node.children) == 1:
-        node.children = []
+        if not len(left):
+            break
+        chosen = int(left[0])
+        if len(parts) == FANOUT:
+            parts.append((left, chosen))
+            break
+    covered = len(members) - (len(parts[-1][0]) if len(parts) > FANOUT else 0)
+    if 1 < len(parts) and covered >= SPARSE * min(len(parts), FANOUT):
+        node.children = [cover_tree(points, leaf, some, at) for some, at in parts]
     return node
 
 
@@ -87,15 +94,20 @@ class Best:
     def add(self, rows: np.ndarray, ids: np.ndarray, scores: np.ndarray) -> None:
         """``scores[i, j]`` of query ``rows[i]`` and data ``ids[j]``; a query is not its own answer."""
         scores = np.where(self.ids[rows][:, None] == ids[None, :], -np.inf, scores)
-        better = (scores >= self.worst(rows)[:, None]).any(axis=1)
-        rows, scores = rows[better], scores[better]
-        if not len(rows):
+        least = self.worst(rows)
+        if scores.shape[1] > self.k:
+            least = np.maximum(least, -np.partition(-scores, self.k - 1, axis=1)[:, self.k - 1])
+        row, column = np.nonzero((scores >= least[:, None]) & (scores > -np.inf))
+        if not len(row):
             return
-        all_scores = np.concatenate([self.scores[rows], scores], axis=1)
-        all_ids = np.concatenate([self.found[rows], np.broadcast_to(ids, scores.shape)], axis=1)
-        order = np.lexsort((all_ids, -all_scores), axis=1)[:, : self.k]
-        self.scores[rows] = np.take_along_axis(all_scores, order, 1)
-        self.found[rows] = np.take_along_axis(all_ids, order, 1)
+        touched = np.unique(row)
+        place = np.append(row, np.repeat(touched, self.k))
+        found = np.append(ids[column], self.found[rows[touched]].ravel())
+        score = np.append(scores[row, column], self.scores[rows[touched]].ravel())
+        order = np.lexsort((found, -score, place))
+        place, found, score = place[order], found[order], score[order]
+        first = np.searchsorted(place, touched)[:, None] + np.arange(self.k)
+        self.scores[rows[touched]], self.found[rows[touched]] = score[first], found[first]
 
 
 def products(queries: np.ndarray, data: np.ndarray) -> np.ndarray:
@@ -166,21 +178,24 @@ def _partial(data: DataFrame, queries, k: int) -> DataFrame:
         }
 
         def search(ids: list, vectors: list) -> None:
-            widths = np.fromiter(map(len, vectors), np.int64, len(vectors))
+            flat = np.concatenate([v.flatten().to_numpy() for v in vectors])
+            widths = np.concatenate([pc.list_value_length(v).to_numpy() for v in vectors]).astype(np.int64)
+            starts, names = np.cumsum(widths) - widths, np.concatenate(ids)
             for width in set(widths.tolist()) & set(state):
                 at = np.flatnonzero(widths == width)
-                points = np.array([vectors[i] for i in at]).reshape(len(at), width)
+                points = flat[starts[at][:, None] + np.arange(width)]
                 tree, rows, best = state[width]
-                dual_search(tree, rows, cover_tree(points, DATA_LEAF), points, np.array([ids[i] for i in at], np.int64), best)
+                dual_search(tree, rows, cover_tree(points, DATA_LEAF), points, names[at], best)
 
-        held_ids, held = [], []
+        held_ids, held, count = [], [], 0
         for batch in batches:
-            held_ids += batch.column(0).to_pylist()
-            flat = batch.column(1)
-            held += [v.as_py() for v in flat]
-            if len(held) >= CHUNK_ROWS:
+            if batch.num_rows:
+                held_ids.append(batch.column(0).to_numpy())
+                held.append(batch.column(1))
+                count += batch.num_rows
+            if count >= CHUNK_ROWS:
                 search(held_ids, held)
-                held_ids, held = [], []
+                held_ids, held, count = [], [], 0
         if held:
             search(held_ids, held)
         for _, _, best in state.values():
@@ -233,10 +248,12 @@ def top_k(
     Queries are broadcast in blocks of QUERY_BLOCK, each with its cover tree; every task indexes its
     own rows, CHUNK_ROWS at a time, and keeps k rows a query. A first round among the query rows
     themselves gives each query a kth score to prune by from the start, and bounds what tasks return.
+    Of query rows that repeat an id the least vector is asked.
     """
     spark = embeddings.sparkSession
     data = stored(integer_vectors(embeddings, id_column, vector, scale))
-    asked = stored(integer_vectors(queries, id_column, vector, scale).dropDuplicates(["id"]))
+    asked = integer_vectors(queries, id_column, vector, scale)
+    asked = stored(asked.groupBy("id").agg(F.min("vector").alias("vector")))
     blocks = max(1, -(-asked.count() // QUERY_BLOCK))
     found = None
     for block in range(blocks):
