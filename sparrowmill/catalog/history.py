@@ -85,6 +85,22 @@ def scd2_apply(t):
     return scd2.scd2_apply(first_history(t), snapshot(t, SECOND), KEY, TRACKED, TS)
 
 
+@query("scd2_rejected", "D01 D03", _snaps(f"""
+    SELECT id, s3.name, s3.age, {iso_ts('s3.updated_at')} AS updated_at
+    FROM (SELECT id, name, age, CASE WHEN id % 5 = 0 THEN NULL WHEN id % 5 = 1 THEN
+        updated_at - INTERVAL 400 DAY ELSE updated_at END AS updated_at FROM s2) s3
+      JOIN s1 USING (id)
+    WHERE (s1.name IS DISTINCT FROM s3.name OR s1.age IS DISTINCT FROM s3.age)
+      AND (s3.updated_at IS NULL OR s3.updated_at <= s1.updated_at)"""))
+def scd2_rejected(t):
+    """Changed rows without a time, or no newer than the active version: handed back, not applied."""
+    when = F.when(F.col("id") % 5 == 0, None).when(
+        F.col("id") % 5 == 1, F.col(TS) - F.expr("INTERVAL 400 DAY")
+    )
+    incoming = snapshot(t, SECOND).withColumn(TS, when.otherwise(F.col(TS)))
+    return scd2.scd2_late(first_history(t), incoming, KEY, TRACKED, TS)
+
+
 _HISTORY = {
     "log": _LOG,
     "marked": """SELECT *, row_number() OVER w = 1

@@ -6,7 +6,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sparrowmill.catalog.sql import dbl, iso
+from sparrowmill.catalog.sql import dbl, iso, with_ctes
 from sparrowmill.operators import dml, layout
 from sparrowmill.operators.stats import profile
 from sparrowmill.registry import query
@@ -74,17 +74,21 @@ def csv_table_insert(t):
     return read_csv(t.spark, path, schema).groupBy("l_suppkey").agg(F.sum("l_quantity").alias("quantity"))
 
 
-@query("delimited_table", "S06", f"""
-    SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, {iso('o_orderdate')} AS o_orderdate,
-      o_orderpriority FROM orders""")
+@query("delimited_table", "S06", with_ctes("orders_x", f"""
+    SELECT * EXCLUDE (o_buyerkey) REPLACE ({iso('o_orderdate')} AS o_orderdate,
+      CASE o_orderkey % 6 WHEN 0 THEN 'say "hi"|x' WHEN 1 THEN ' pad ' WHEN 2 THEN ''
+        WHEN 3 THEN 'two' || chr(10) || 'lines' WHEN 4 THEN 'back' || chr(92) || 'n' END
+        AS o_comment) FROM orders_x"""))
 def delimited_table(t):
-    """Orders as separated text, read back into a typed table."""
+    """Orders as separated text, with a text column that needs care, read back into a typed table."""
     path = shared_folder(t.spark)
-    write_csv(t.orders, path, sep="|")
-    return read_delimited(t.spark, path, t.orders.schema).select(
-        "o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice",
-        F.to_date("o_orderdate").alias("o_orderdate"), "o_orderpriority",
-    )
+    kind = F.col("o_orderkey") % 6
+    hard = F.when(kind == 0, 'say "hi"|x').when(kind == 1, " pad ").when(kind == 2, "")
+    hard = hard.when(kind == 3, "two\nlines").when(kind == 4, "back\\n").otherwise(F.lit(None))
+    rows = t.orders_x.drop("o_buyerkey").withColumn("o_comment", hard)
+    write_csv(rows, path, sep="|", escape_breaks=True)
+    stored = read_delimited(t.spark, path, rows.schema, escaped_breaks=True)
+    return stored.withColumn("o_orderdate", F.to_date("o_orderdate"))
 
 
 @query("sorted_write_group", "L04 O03", _QUANTITY_SQL)

@@ -4,8 +4,10 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
@@ -24,27 +26,60 @@ def write_parquet(df: DataFrame, path: str, mode: str = "errorifexists") -> None
 
 def read_delimited(
     spark: SparkSession, path: str, schema: T.StructType | str, sep: str = "|", escape: str = '"',
-    line_breaks: bool = False,
+    line_breaks: bool = False, escaped_breaks: bool = False,
 ) -> DataFrame:
-    """Delimited text without a header into a typed table; a trailing separator is ignored."""
+    """Delimited text without a header into a typed table; a trailing separator is ignored.
+
+    ``line_breaks`` and ``escaped_breaks`` as in ``read_csv``.
+    """
     reader = spark.read.schema(schema).option("sep", sep).option("nullValue", NO_TEXT)
-    return reader.option("escape", escape).option("multiLine", line_breaks).csv(path)
+    rows = reader.option("escape", escape).option("multiLine", line_breaks).csv(path)
+    return restored_breaks(rows) if escaped_breaks else rows
 
 
 def read_csv(
-    spark: SparkSession, path: str, schema: T.StructType | str | None = None, line_breaks: bool = False
+    spark: SparkSession, path: str, schema: T.StructType | str | None = None,
+    line_breaks: bool = False, escaped_breaks: bool = False,
 ) -> DataFrame:
     """CSV without a header; columns are text (_c0, _c1, ...) unless a schema types them.
 
-    Texts with line breaks need ``line_breaks``, which reads each file whole, in one task.
+    Texts with line breaks need ``line_breaks``, which reads each file whole, in one task, or files
+    that were written with ``escape_breaks``, which ``escaped_breaks`` reads in splits.
     """
     reader = spark.read.option("nullValue", NO_TEXT).option("escape", '"').option("multiLine", line_breaks)
-    return (reader.schema(schema) if schema is not None else reader).csv(path)
+    rows = (reader.schema(schema) if schema is not None else reader).csv(path)
+    return restored_breaks(rows) if escaped_breaks else rows
+
+
+def _texts(df: DataFrame, change: Callable[[Column], Column]) -> DataFrame:
+    return df.select(*[
+        change(F.col(f"`{f.name}`")).alias(f.name) if isinstance(f.dataType, T.StringType) else F.col(f"`{f.name}`")
+        for f in df.schema.fields
+    ])
+
+
+def escaped_breaks_of(df: DataFrame) -> DataFrame:
+    """Line breaks in texts as \\n and \\r, backslashes doubled."""
+    return _texts(df, lambda c: F.replace(
+        F.replace(F.replace(c, F.lit("\\"), F.lit("\\\\")), F.lit("\n"), F.lit("\\n")), F.lit("\r"), F.lit("\\r")))
+
+
+def restored_breaks(df: DataFrame) -> DataFrame:
+    """The reverse. Between doubled backslashes, read from the left, a backslash opens a break."""
+    def part(text: Column) -> Column:
+        return F.replace(F.replace(text, F.lit("\\n"), F.lit("\n")), F.lit("\\r"), F.lit("\r"))
+
+    pair = r"\\\\"  # as a pattern: two backslashes
+    return _texts(df, lambda c: F.array_join(F.transform(F.split(c, pair, -1), part), "\\"))
 
 
-def write_csv(df: DataFrame, path: str, sep: str = ",", mode: str = "errorifexists") -> None:
+def write_csv(
+    df: DataFrame, path: str, sep: str = ",", mode: str = "errorifexists", escape_breaks: bool = False
+) -> None:
     """Separated text that ``read_csv`` and ``read_delimited`` give back as it was: spaces stay,
-    quotes are doubled, empty text is quoted and null is not."""
+    quotes are doubled, empty text is quoted and null is not. ``escape_breaks`` keeps a row in one
+    line, so that large files stay splittable."""
+    df = escaped_breaks_of(df) if escape_breaks else df
     writer = df.write.mode(mode).option("sep", sep).option("escape", '"').option("emptyValue", '""')
     for side in ("ignoreLeadingWhiteSpace", "ignoreTrailingWhiteSpace"):
         writer = writer.option(side, "false")

@@ -92,6 +92,17 @@ def test_partitioned_write_prunes(spark, tables, where):
     assert read.count() == tables.lineitem.filter(F.year("l_shipdate") == 1997).count()
 
 
+@pytest.mark.parametrize("buckets", [8, 1000])
+def test_quantity_buckets_spare_the_shuffle(spark, tables, where, buckets):
+    """Fifty values in any number of buckets: bucketed is what the caller gets."""
+    name = f"by_quantity_{buckets}"
+    table = layout.write_bucketed(tables.lineitem, name, where, ["l_quantity"], buckets=buckets)
+    counts = table.read(spark).groupBy("l_quantity").count()
+    plan = counts._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and "Bucketed: true" in plan and counts.count() == 50
+    spark.sql(f"DROP TABLE {name}")
+
+
 def test_buckets_spare_the_shuffle(spark, tables, where):
     table = layout.write_bucketed(tables.lineitem, "by_order", where, ["l_orderkey"], buckets=8, sort=["l_orderkey"])
     assert table.even
@@ -150,6 +161,11 @@ def test_text_comes_back_as_it_was(spark, where):
         path = f"{where}-{ord(sep)}"
         files.write_csv(spark.createDataFrame(rows, "i int, s string"), path, sep=sep)
         assert sorted(map(tuple, read(spark, path, "i int, s string", line_breaks=True).collect())) == rows
+    rows += [(8, "\\n"), (9, "\\\n"), (10, "\n\\\\\r"), (11, "\\\\n\\"), (12, "a\r\nb")]
+    for sep, read in (("|", files.read_delimited), (",", files.read_csv)):
+        path = f"{where}-escaped-{ord(sep)}"
+        files.write_csv(spark.createDataFrame(rows, "i int, s string"), path, sep=sep, escape_breaks=True)
+        assert sorted(map(tuple, read(spark, path, "i int, s string", escaped_breaks=True).collect())) == rows
 
 
 def test_versions_compare_by_kind(spark, where):
