@@ -8,6 +8,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -15,7 +16,7 @@ from pyspark.sql import functions as F
 from sparrowmill.llm.common import chunks, stored, text_of
 
 END_ID = 0
-OPEN_BINS = 1024
+OPEN_BINS = 2048
 PIECES_PER_TASK = 250_000
 
 
@@ -101,6 +102,22 @@ class Bins:
         return number, self.size - space
 
 
+def blocks(batches: Iterator[pa.RecordBatch], rows: int) -> Iterator[pa.RecordBatch]:
+    """The rows again, ``rows`` of them in a batch."""
+    held, count = [], 0
+    for batch in batches:
+        start = 0
+        while start < batch.num_rows:
+            part = batch.slice(start, rows - count)
+            held.append(part)
+            count, start = count + part.num_rows, start + part.num_rows
+            if count == rows:
+                yield pa.concat_batches(held)
+                held, count = [], 0
+    if held:
+        yield pa.concat_batches(held)
+
+
 def tokenized_pieces(documents: DataFrame, path: str, size: int) -> DataFrame:
     """doc_id, piece, start, length, ids_crc32 and ids (packed) of every document's pieces."""
 
@@ -139,9 +156,9 @@ def pack(
     not read; an empty table gives an empty table.
 
     Pieces are dealt evenly over one task per PIECES_PER_TASK pieces, which the tables' keys do not
-    influence, and each task packs its stream with ``open_bins`` open sequences. Memory is bounded
-    by them. What is lost against packing all pieces in one go is at most the free space of
-    ``open_bins`` sequences a task.
+    influence, and each task packs its stream with ``open_bins`` open sequences, twice as many pieces
+    at a time, the longest first. Memory is bounded by them. What is lost against packing all pieces
+    in one go is at most the free space of ``open_bins`` sequences a task.
     """
     pieces = tokenized_pieces(documents, path, size)
     pieces = stored(pieces if with_ids else pieces.drop("ids"))
@@ -150,13 +167,13 @@ def pack(
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bins = Bins(size, open_bins)
         lane = TaskContext.get().partitionId() << 40
-        for batch in batches:
-            lengths = batch.column(batch.schema.get_field_index("length")).to_pylist()
-            placed = [bins.put(length) for length in lengths]
+        for block in blocks(batches, 2 * open_bins):
+            block = block.take(pc.sort_indices(block, [("length", "descending")]))
+            placed = [bins.put(length) for length in block.column("length").to_pylist()]
             yield pa.RecordBatch.from_arrays(
-                [*batch.columns, pa.array([lane + n for n, _ in placed], pa.int64()),
+                [*block.columns, pa.array([lane + n for n, _ in placed], pa.int64()),
                  pa.array([at for _, at in placed], pa.int64())],
-                [*batch.schema.names, "sequence_id", "offset"],
+                [*block.schema.names, "sequence_id", "offset"],
             )
 
     schema = ", ".join(f"{n} {t}" for n, t in pieces.dtypes) + ", sequence_id long, offset long"
