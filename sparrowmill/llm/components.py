@@ -28,8 +28,8 @@ def components(links: DataFrame) -> DataFrame:
         state = now
         both = graph.unionByName(graph.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        large = both.where("v > u").join(apart(least), "u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
-        large = stored(large)
+        large = both.where("v > u").join(apart(least), "u")
+        large = stored(large.select(F.col("v").alias("u"), F.col("m").alias("v")).distinct())
         least = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(apart(least), "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
         graph = stored(small.unionByName(least.select("u", F.col("m").alias("v"))).distinct())
