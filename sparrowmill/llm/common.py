@@ -12,8 +12,8 @@ from pyspark.sql import functions as F
 
 from sparrowmill.sources.files import shared_folder
 
-# Python works on at most this many characters at a time, or on one text if that is longer.
-CHUNK_CHARS = 1_000_000
+# Python works on at most this many bytes of text at a time, or on one text if that is longer.
+CHUNK_CHARS = 500_000
 
 
 def text_of(column: str = "text") -> Column:
@@ -48,11 +48,30 @@ def merge_slabs(
 ) -> dict[int, bytes]:
     """A table cut into slabs, merged over all tasks: rows are (slab int, part binary).
 
-    ``merge`` must be associative and commutative. It runs map-side first, and a reducer holds two
-    parts of a slab at a time. The caller bounds number and size of the slabs, and so the result.
+    ``merge`` must be associative and commutative. A task gives each slab once; the parts of a slab
+    then meet sorted, so that two of them at a time are in memory. The caller bounds number and size
+    of the slabs, and so the result.
     """
-    merged = rows.rdd.map(lambda r: (r[0], bytes(r[1]))).reduceByKey(merge, partitions)
-    return dict(merged.collect())
+
+    def fold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        slab, held = None, b""
+        for batch in batches:
+            for number, part in zip(batch.column(0).to_pylist(), batch.column(1)):
+                if number == slab:
+                    held = merge(held, part.as_py())
+                    continue
+                if slab is not None:
+                    yield _slab_row(slab, held)
+                slab, held = number, part.as_py()
+        if slab is not None:
+            yield _slab_row(slab, held)
+
+    dealt = rows.repartition(partitions, "slab").sortWithinPartitions("slab")
+    return {r[0]: bytes(r[1]) for r in dealt.mapInArrow(fold, "slab int, part binary").collect()}
+
+
+def _slab_row(slab: int, part: bytes) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array([slab], pa.int32()), pa.array([part])], ["slab", "part"])
 
 
 def positions(df: DataFrame, order: list[Column]) -> DataFrame:

@@ -31,7 +31,7 @@ SHINGLE = 5
 TREES, DEPTH = 24, 6
 BUCKET_ROWS = 1024  # members of a bucket compared in one tile's side
 FAMILY_ROWS, FAMILY_SHINGLES = 512, 1 << 20  # one side of a family's tile
-CACHE_WORDS = 300_000
+CACHE_WORDS = 150_000
 SEED = 20240602
 
 _WORD = re.compile(r"[^\W_]+")

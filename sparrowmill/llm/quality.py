@@ -30,7 +30,7 @@ NONZERO = 4  # entries of an index vector that are not zero
 WINDOW = 2  # neighbours on either side
 REPEAT = 0  # the shape unit of a word that repeats the one before it
 SLAB_UNITS = 256
-CACHE_WORDS = 300_000
+CACHE_WORDS = 150_000
 MAX_LABELLED = 20_000  # labelled rows that the network is fitted on, at most
 HIDDEN = 32
 SEED = 20240601
@@ -98,7 +98,8 @@ def read_units(texts: list[str], known: Units) -> tuple[np.ndarray, np.ndarray,
 
 
 def add_contexts(sums: np.ndarray, lexical: np.ndarray, form: np.ndarray, before: np.ndarray) -> None:
-    """Add each word's neighbours' index vectors to its units' sums, (DIMS, UNITS)."""
+    """Add each word's neighbours' index vectors to its units' sums, (DIMS, UNITS) doubles, which
+    are exact: whole numbers below 2**53."""
     n = len(lexical)
     if not n:
         return
@@ -110,10 +111,10 @@ def add_contexts(sums: np.ndarray, lexical: np.ndarray, form: np.ndarray, before
             same = (text[gap:] == text[:-gap])[:, None]
             around[gap:] += own[:-gap] * same
             around[:-gap] += own[gap:] * same
+    units = np.concatenate([lexical, form])
     for d in range(DIMS):
-        column = around[:, d].astype(np.float64)  # exact: sums of small integers
-        for units in (lexical, form):
-            sums[d] += np.bincount(units, column, UNITS).astype(np.int64)
+        column = around[:, d].astype(np.float64)
+        sums[d] += np.bincount(units, np.concatenate([column, column]), UNITS)
 
 
 def word_vectors(documents: DataFrame) -> np.ndarray:
@@ -121,10 +122,10 @@ def word_vectors(documents: DataFrame) -> np.ndarray:
     direction of the index vector."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known, sums = Units(), np.zeros((DIMS, UNITS), np.int64)
+        known, sums = Units(), np.zeros((DIMS, UNITS))
         for batch in chunks(batches):
             add_contexts(sums, *read_units(batch.column(0).to_pylist(), known))
-        slabs = np.ascontiguousarray(sums.T).reshape(-1, SLAB_UNITS * DIMS)
+        slabs = np.ascontiguousarray(sums.T).astype(np.int64).reshape(-1, SLAB_UNITS * DIMS)
         used = np.flatnonzero(slabs.any(axis=1))
         yield pa.RecordBatch.from_arrays(
             [pa.array(used, pa.int32()), pa.array([slabs[s].tobytes() for s in used], pa.binary())],

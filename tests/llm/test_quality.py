@@ -56,7 +56,7 @@ def test_equal_texts_get_equal_scores(spark, labels, documents):
 def test_context_sums_against_a_plain_loop():
     texts = ["a b c a", "", "Solo", "x x y. Z!"]
     lexical, form, before = quality.read_units(texts, quality.Units())
-    sums = np.zeros((quality.DIMS, quality.UNITS), np.int64)
+    sums = np.zeros((quality.DIMS, quality.UNITS))
     quality.add_contexts(sums, lexical, form, before)
     index, want = quality.index_vectors().astype(int), {}
     for t in range(len(texts)):
