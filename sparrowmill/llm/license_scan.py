@@ -25,15 +25,24 @@ BANDS, ROWS = 40, 2
 # Notices by which works state their license.
 NOTICES = (
     ("Apache-2.0", "Licensed under the Apache License, Version 2.0."),
-    ("BSD-3-Clause", "Use of this source code is governed by a BSD-style license that can be found in the LICENSE file."),
+    ("BSD-3-Clause", "Use of this source code is governed by a BSD-style license that can be found in "
+     "the LICENSE file."),
     ("CC-BY-4.0", "This work is licensed under a Creative Commons Attribution 4.0 International License."),
     ("CC-BY-NC-4.0", "Licensed under CC BY-NC 4.0."),
-    ("CC-BY-SA-4.0", "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License."),
-    ("CC0-1.0", "To the extent possible under law, the author has dedicated all copyright and related and neighboring rights to this work to the public domain worldwide."),
+    ("CC-BY-SA-4.0", "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 "
+     "International License."),
+    ("CC0-1.0", "To the extent possible under law, the author has dedicated all copyright and related "
+     "and neighboring rights to this work to the public domain worldwide."),
     ("GPL-3.0", "This work is licensed under the GNU General Public License, version 3."),
-    ("GPL-2.0-or-later", "This program is free software; you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation; either version 2 of the License, or (at your option) any later version."),
+    ("GPL-2.0-or-later", "This program is free software; you can redistribute it and/or modify it under "
+     "the terms of the GNU General Public License as published by the Free Software Foundation; either "
+     "version 2 of the License, or (at your option) any later version."),
     ("MIT", "Released under the MIT License."),
-    ("MIT-permission", "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the \"Software\"), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so."),
+    ("MIT-permission", "Permission is hereby granted, free of charge, to any person obtaining a copy of "
+     "this software and associated documentation files (the \"Software\"), to deal in the Software "
+     "without restriction, including without limitation the rights to use, copy, modify, merge, "
+     "publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to "
+     "whom the Software is furnished to do so."),
     ("MPL-2.0", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0."),
 )
 
@@ -111,7 +120,9 @@ def scan_licenses(
     shingles become a literal set. No text is shuffled, and a document's row is widened only by the
     templates whose shingles it has.
     """
-    listed = prepared(templates, bands, rows)
+    # The reference list comes to the driver once; the planner knows the size of what goes back.
+    found = prepared(templates, bands, rows)
+    listed = documents.sparkSession.createDataFrame(found.collect(), found.schema)
     anchors = listed.select(F.explode("anchors").alias("hash"), "template").groupBy("hash").agg(
         F.collect_set("template").alias("templates")
     ).collect()
