@@ -83,6 +83,25 @@ def fingerprint(text: str) -> np.ndarray:
     return parse.signature()
 
 
+class Edited:
+    """A text's signature, and its parse set back to where the edit begins."""
+
+    def __init__(self, text: str):
+        self.text, self.edit = text, len(text) - len(text) // 3
+        self.parse = Parse()
+        self.parse.feed(text[: self.edit].encode())
+        mark = self.parse.mark()
+        self.parse.feed(text[self.edit :].encode())
+        self.signature = self.parse.signature()
+        self.parse.back(mark)
+
+    def replaced(self, following: str) -> tuple[str, np.ndarray]:
+        """The edited text and its signature; once only, as the parse goes on."""
+        start = following[: len(self.text) // 3]
+        self.parse.feed(start.encode())
+        return self.text[: self.edit] + start, self.parse.signature()
+
+
 def with_successor(documents: DataFrame) -> DataFrame:
     """doc_id, text and order columns, dealt so that the next document is in the same task.
 
@@ -129,43 +148,29 @@ def compare_edited(documents: DataFrame) -> DataFrame:
     near_edited and near_next: likeness of the document's fingerprint to the edited text's and to the
     next document's. Empty texts have the fingerprint of no phrases and are like each other (1.0).
 
-    A document's parse is used twice: the edited text begins like it, so its parse goes on from the
-    place of the edit. Texts are shuffled once.
+    A document is parsed once: the edited text begins like it, so its parse goes on from the place of
+    the edit. Texts are shuffled once.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = ["doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint",
                  "near_edited", "near_next"]
         types = (pa.int64(), pa.int64(), pa.string(), pa.string(), pa.string(), pa.float64(), pa.float64())
-        held, print_of_held, task, out = None, None, None, []
+        held, task, whole, out = None, None, False, []
         for batch in chunks(batches):
-            columns = [batch.column(i).to_pylist() for i in range(4)]
-            for doc_id, text, at, guest in zip(*columns):
+            for doc_id, text, at, guest in zip(*(batch.column(i).to_pylist() for i in range(4))):
                 if at != task:
-                    held, task, open_ = None, at, True
-                if held is not None and open_:
-                    edit = len(held[1]) - len(held[1]) // 3
-                    parse = Parse()
-                    parse.feed(held[1][:edit].encode())
-                    mark = parse.mark()
-                    if print_of_held is None:
-                        parse.feed(held[1][edit:].encode())
-                        print_of_held = parse.signature()
-                        parse.back(mark)
-                    replaced = text[: len(held[1]) // 3]
-                    edited = held[1][:edit] + replaced
-                    parse.feed(replaced.encode())
-                    other = parse.signature()
-                    following = fingerprint(text)
-                    out.append((held[0], len(held[1]), hashlib.sha256(edited.encode()).hexdigest(),
-                                print_of_held.tobytes().hex(), other.tobytes().hex(),
-                                likeness(print_of_held, other), likeness(print_of_held, following)))
-                    print_of_held = following
-                else:
-                    print_of_held = None
-                if guest:
-                    open_ = False  # later guests are rows of the same id
-                held = (doc_id, text)
+                    held, task, whole = None, at, False
+                if whole:
+                    continue  # more guests: rows of the same id as the first
+                own = Edited(text)
+                if held is not None:
+                    last_id, last = held
+                    edited, other = last.replaced(text)
+                    out.append((last_id, len(last.text), hashlib.sha256(edited.encode()).hexdigest(),
+                                last.signature.tobytes().hex(), other.tobytes().hex(),
+                                likeness(last.signature, other), likeness(last.signature, own.signature)))
+                held, whole = (doc_id, own), guest
             if out:
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(c, t) for c, t in zip(zip(*out), types)], names
