@@ -5,6 +5,7 @@ from __future__ import annotations
 import base64
 import heapq
 from collections.abc import Iterator
+from functools import partial
 
 import numpy as np
 import pyarrow as pa
@@ -156,39 +157,66 @@ def encode_texts(texts: list[str], words: Words) -> list[bytes]:
     return [b"".join(pieces[a:b]) for a, b in zip(before.tolist(), before[1:].tolist())]
 
 
+def _encode(path: str, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """doc_id, text to doc_id, n_bytes, ids, offsets."""
+    ranks = read_ranks(path)
+    words = Words(ranks)
+    width = np.zeros(max(ranks.values(), default=0) + 1, np.int64)
+    for token, rank in ranks.items():
+        width[rank] = len(token)
+    for batch in chunks(batches):
+        ids = encode_texts(batch.column(1).to_pylist(), words)
+        offsets, sizes = [], []
+        for packed in ids:
+            lengths = width[np.frombuffer(packed, "<u4")]
+            ends = np.cumsum(lengths)
+            offsets.append((ends - lengths).astype("<u4").tobytes())
+            sizes.append(int(ends[-1]) if len(ends) else 0)
+        yield pa.RecordBatch.from_arrays(
+            [batch.column(0), pa.array(sizes, pa.int64()), pa.array(ids, pa.binary()),
+             pa.array(offsets, pa.binary())],
+            ["doc_id", "n_bytes", "ids", "offsets"],
+        )
+
+
+def _decode(path: str, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """What ``_encode`` gives, with the decoded bytes."""
+    ranks = read_ranks(path)
+    tokens = [b""] * (max(ranks.values(), default=0) + 1)
+    for token, rank in ranks.items():
+        tokens[rank] = token
+    width = np.fromiter(map(len, tokens), np.int64, len(tokens))
+    first = np.cumsum(width) - width
+    table = np.frombuffer(b"".join(tokens), np.uint8)
+    for batch in batches:
+        decoded = []
+        for size, packed, places in zip(*(batch.column(i).to_pylist() for i in (1, 2, 3))):
+            ids = np.frombuffer(packed, "<u4")
+            at = np.frombuffer(places, "<u4").astype(np.int64)
+            shift = np.repeat(first[ids] - at, width[ids])
+            decoded.append(table[shift + np.arange(size)].tobytes())
+        yield pa.RecordBatch.from_arrays(
+            [*batch.columns, pa.array(decoded, pa.binary())], [*batch.schema.names, "decoded"]
+        )
+
+
+ENCODED = "doc_id long, n_bytes long, ids binary, offsets binary"
+
+
+def _texts(documents: DataFrame) -> DataFrame:
+    return documents.select(F.col("doc_id").cast("long").alias("doc_id"), text_of().alias("text"))
+
+
 def encode(documents: DataFrame, path: str) -> DataFrame:
     """Token ids of every whole text under the vocabulary at ``path``, without special tokens.
 
     Returns doc_id, n_bytes (of the UTF-8 text), ids and offsets: both packed as little-endian
     unsigned 32-bit integers, ids of the tokens and the byte of the text at which each starts. A
     null or empty text has no ids. Rows stay as they are, repeated or not; other columns are not
-    read; an empty table gives an empty table. Each row is encoded alone, a million characters (or
-    one longer text) at a time. ``path`` must be readable on the executors.
+    read; an empty table gives an empty table. Each row is encoded alone, half a megabyte (or one
+    longer text) at a time. ``path`` must be readable on the executors.
     """
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ranks = read_ranks(path)
-        words = Words(ranks)
-        width = np.zeros(max(ranks.values(), default=0) + 1, np.int64)
-        for token, rank in ranks.items():
-            width[rank] = len(token)
-        for batch in chunks(batches):
-            texts = batch.column(1).to_pylist()
-            ids = encode_texts(texts, words)
-            offsets, sizes = [], []
-            for packed in ids:
-                lengths = width[np.frombuffer(packed, "<u4")]
-                ends = np.cumsum(lengths)
-                offsets.append((ends - lengths).astype("<u4").tobytes())
-                sizes.append(int(ends[-1]) if len(ends) else 0)
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(sizes, pa.int64()), pa.array(ids, pa.binary()),
-                 pa.array(offsets, pa.binary())],
-                ["doc_id", "n_bytes", "ids", "offsets"],
-            )
-
-    texts = documents.select(F.col("doc_id").cast("long").alias("doc_id"), text_of().alias("text"))
-    return texts.mapInArrow(run, "doc_id long, n_bytes long, ids binary, offsets binary")
+    return _texts(documents).mapInArrow(partial(_encode, path), ENCODED)
 
 
 def decode(encoded: DataFrame, path: str) -> DataFrame:
@@ -196,29 +224,12 @@ def decode(encoded: DataFrame, path: str) -> DataFrame:
 
     Takes and keeps what ``encode`` returns, and adds ``decoded`` (binary). No ids give no bytes.
     """
+    rows = encoded.select("doc_id", "n_bytes", "ids", "offsets")
+    return rows.mapInArrow(partial(_decode, path), f"{ENCODED}, decoded binary")
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ranks = read_ranks(path)
-        tokens = [b""] * (max(ranks.values(), default=0) + 1)
-        for token, rank in ranks.items():
-            tokens[rank] = token
-        width = np.fromiter(map(len, tokens), np.int64, len(tokens))
-        first = np.cumsum(width) - width
-        table = np.frombuffer(b"".join(tokens), np.uint8)
-        for batch in batches:
-            decoded = []
-            for packed, places, size in zip(
-                batch.column(2).to_pylist(), batch.column(3).to_pylist(),
-                batch.column(1).to_pylist(),
-            ):
-                ids = np.frombuffer(packed, "<u4")
-                at = np.frombuffer(places, "<u4").astype(np.int64)
-                shift = np.repeat(first[ids] - at, width[ids])
-                decoded.append(table[shift + np.arange(size)].tobytes())
-            yield pa.RecordBatch.from_arrays(
-                [*batch.columns, pa.array(decoded, pa.binary())], [*batch.schema.names, "decoded"]
-            )
-
-    return encoded.select("doc_id", "n_bytes", "ids", "offsets").mapInArrow(
-        run, "doc_id long, n_bytes long, ids binary, offsets binary, decoded binary"
+
+def round_trip(documents: DataFrame, path: str) -> DataFrame:
+    """``decode`` of ``encode`` in one pass over the texts, by one worker a task."""
+    return _texts(documents).mapInArrow(
+        lambda batches: _decode(path, _encode(path, batches)), f"{ENCODED}, decoded binary"
     )

@@ -84,8 +84,7 @@ def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op2_byte_bpe")
 def op2_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = vocabulary("byte_bpe_multi_50k.tiktoken")
-    encoded = byte_bpe.encode(table(spark, sf_dir, "documents"), path)
-    return byte_bpe.decode(encoded, path).select(
+    return byte_bpe.round_trip(table(spark, sf_dir, "documents"), path).select(
         "doc_id", (F.length("ids") / 4).cast("long").alias("n_tokens"),
         F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"),
     )

@@ -9,6 +9,7 @@ import regex
 import tiktoken
 from samples import MESSY
 
+from sparrowmill.llm import byte_bpe
 from sparrowmill.llm.byte_bpe import Words, decode, encode, encode_texts, merge_long, merge_words, read_ranks
 from sparrowmill.llm.pretokens import BLOCK, byte_slices
 
@@ -74,6 +75,11 @@ def test_edge_cases_and_round_trip(messy, nothing, library):
     assert decode(encode(nothing, PATH), PATH).collect() == []
 
 
+def test_one_pass_gives_the_same(messy):
+    one, two = byte_bpe.round_trip(messy, PATH), decode(encode(messy, PATH), PATH)
+    assert one.dtypes == two.dtypes and sorted(one.collect(), key=repr) == sorted(two.collect(), key=repr)
+
+
 def test_offsets_are_where_tokens_start(messy, library):
     for r in encode(messy.where("doc_id = 8"), PATH).collect():
         sizes = [len(library.decode_single_token_bytes(i)) for i in ids(r["ids"])]
