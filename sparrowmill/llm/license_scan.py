@@ -21,6 +21,7 @@ from sparrowmill.llm.common import text_of
 
 SHINGLE = 5
 BANDS, ROWS = 40, 2
+BROADCAST_TEMPLATES = 4096
 
 # Notices by which works state their license.
 NOTICES = (
@@ -120,9 +121,12 @@ def scan_licenses(
     shingles become a literal set. No text is shuffled, and a document's row is widened only by the
     templates whose shingles it has.
     """
-    # The reference list comes to the driver once; the planner knows the size of what goes back.
+    # The reference list comes to the driver once. Its counted rows bound the broadcast: most hits
+    # are of a few templates, which a shuffle by template would bring into as few tasks.
     found = prepared(templates, bands, rows)
-    listed = documents.sparkSession.createDataFrame(found.collect(), found.schema)
+    collected = found.collect()
+    listed = documents.sparkSession.createDataFrame(collected, found.schema)
+    listed = F.broadcast(listed) if len(collected) <= BROADCAST_TEMPLATES else listed
     anchors = listed.select(F.explode("anchors").alias("hash"), "template").groupBy("hash").agg(
         F.collect_set("template").alias("templates")
     ).collect()
