@@ -10,6 +10,9 @@ in a stretch of text, some window has a Jaccard similarity of at least (c - 1/32
 
 Only windows that hold a shingle which is one of the template's minimum hashes can meet in a band, so
 only those are hashed; this leaves out nothing.
+
+A template of one to four words is one shingle of its own length, which stands in a text or does not:
+it is compared wherever its first word stands.
 """
 
 from __future__ import annotations
@@ -48,8 +51,13 @@ NOTICES = (
 )
 
 
-def notices(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(list(NOTICES), "license string, text string")
+# Notices of fewer words than a shingle has, which the SQL of op9 cannot find.
+SHORT_NOTICES = (("All-rights-reserved", "All rights reserved."),)
+
+
+def notices(spark: SparkSession, short: bool = True) -> DataFrame:
+    listed = [*NOTICES, *(SHORT_NOTICES if short else ())]
+    return spark.createDataFrame(listed, "license string, text string")
 
 
 def let(value: Column, body) -> Column:
@@ -86,7 +94,7 @@ def minimum(values: Column, k) -> Column:
 
 
 def prepared(templates: DataFrame, bands: int, rows: int) -> DataFrame:
-    """template, license, size, step, minima, anchors and texts of every template that has a shingle.
+    """template, license, size, step, minima, anchors and texts of every template of five words or more.
 
     minima has one hash per band and row; anchors are the shingle hashes that give them.
     """
@@ -105,6 +113,35 @@ def prepared(templates: DataFrame, bands: int, rows: int) -> DataFrame:
     )
 
 
+def scan_short(documents: DataFrame, templates: DataFrame, containment: float) -> DataFrame | None:
+    """scan_licenses for the templates of one to four words; None if there are none."""
+    found = templates.select("license", words(text_of()).alias("words"))
+    listed = found.where(F.size("words").between(1, SHINGLE - 1)).dropDuplicates(["license", "words"]).collect()
+    if not listed:
+        return None
+    kind = templates.schema["license"].dataType
+    begin: dict[str, list[Column]] = {}
+    for r in listed:
+        begin.setdefault(r["words"][0], []).append(F.struct(
+            F.lit(r["license"]).cast(kind).alias("license"), F.array(*[F.lit(w) for w in r["words"]]).alias("t")))
+    owners = F.create_map(*[c for w, some in begin.items() for c in (F.lit(w), F.array(*some))])
+
+    def stands(found: Column, i: Column, t: Column) -> Column:
+        return F.slice(found, i + 1, F.size(t)) == t
+
+    def look(found: Column) -> Column:
+        at = F.filter(steps(F.lit(0), F.size(found) - 1), lambda i: F.get(found, i).isin(list(begin)))
+        return let(at, lambda at: F.transform(
+            F.array_distinct(F.flatten(F.transform(at, lambda i: F.filter(
+                F.element_at(owners, F.get(found, i)), lambda t: stands(found, i, t["t"]))))),
+            lambda t: F.struct(
+                t["license"].alias("license"), F.lit(1.0).alias("containment"),
+                F.array_min(F.filter(at, lambda i: stands(found, i, t["t"]))).alias("word_at"))))
+
+    one = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.inline(let(words(text_of()), look)))
+    return one.where(F.col("containment") >= containment)
+
+
 def scan_licenses(
     documents: DataFrame, templates: DataFrame, containment: float = 0.8, bands: int = BANDS, rows: int = ROWS
 ) -> DataFrame:
@@ -112,15 +149,30 @@ def scan_licenses(
 
     Returns doc_id, license, containment (largest share of a template's distinct five-word shingles
     that stand in one window of its length, at least ``containment``) and word_at (the first word of
-    the first such window), one row per document row and wording found. Words are runs of letters and digits in lower case. Null, empty and
-    short texts contain nothing, nor does a template of fewer than five words match. Rows without
-    doc_id or with a repeated one are scanned like any other; extra columns are not read; an empty
-    table gives an empty table.
+    the first such window), one row per document row and wording found. Words are runs of letters and
+    digits in lower case. A template of one to four words is one shingle of its own length, found where
+    all its words stand in order; one without words matches nothing. Null and empty texts contain
+    nothing. Rows without doc_id or with a repeated one are scanned like any other; extra columns are
+    not read; an empty table gives an empty table.
 
     ``templates`` (license, text) is a reference list: up to a few thousand wordings, whose minimum
     shingles become a literal set. No text is shuffled, and a document's row is widened only by the
-    templates whose shingles it has.
+    templates whose shingles it has. Templates of both kinds take a pass over the documents each.
     """
+    parts = [scan_long(documents, templates, containment, bands, rows), scan_short(documents, templates, containment)]
+    parts = [p for p in parts if p is not None]
+    if not parts:
+        kind = templates.schema["license"].dataType.simpleString()
+        return documents.sparkSession.createDataFrame(
+            [], f"doc_id long, license {kind}, containment double, word_at int"
+        )
+    return parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
+
+
+def scan_long(
+    documents: DataFrame, templates: DataFrame, containment: float, bands: int, rows: int
+) -> DataFrame | None:
+    """scan_licenses for the templates of five words or more; None if there are none."""
     # The reference list comes to the driver once. Its counted rows bound the broadcast: most hits
     # are of a few templates, which a shuffle by template would bring into as few tasks.
     found = prepared(templates, bands, rows)
@@ -131,9 +183,7 @@ def scan_licenses(
         F.collect_set("template").alias("templates")
     ).collect()
     if not anchors:
-        return documents.sparkSession.createDataFrame(
-            [], "doc_id long, license string, containment double, word_at int"
-        )
+        return None
     wanted = [r["hash"] for r in anchors]
     owners = F.create_map(
         *[c for r in anchors for c in (F.lit(r["hash"]), F.array(*[F.lit(t) for t in sorted(r["templates"])]))]

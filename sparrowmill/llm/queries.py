@@ -210,7 +210,8 @@ def _notice_rows() -> str:
     """,
 )
 def op9_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = license_scan.scan_licenses(table(spark, sf_dir, "documents"), license_scan.notices(spark))
+    listed = license_scan.notices(spark, short=False)  # as the SQL has them
+    found = license_scan.scan_licenses(table(spark, sf_dir, "documents"), listed)
     return found.select("doc_id", "license", "containment")
 
 

@@ -70,3 +70,25 @@ def test_edge_cases(spark, messy, nothing):
 def test_plan_is_native(spark, documents):
     plan = scan_licenses(documents, notices(spark))._jdf.queryExecution().executedPlan().toString()
     assert not re.search("Python|Arrow|Pandas", plan)
+
+
+def test_short_templates_are_found_word_for_word(spark, messy):
+    templates = [("arr", "All rights reserved."), ("one", "Copyleft"), ("four", "no rights reserved here"),
+                 ("arr", "ALL rights  reserved"), ("two", "rights reserved"), ("none", "..."),
+                 ("long", "equal TEXT of a few words")]
+    listed = spark.createDataFrame(templates, "license string, text string")
+    df = frame(spark, [(1, "x (c) ALL RIGHTS\nreserved, all rights reserved"), (2, "all rights are reserved"),
+                       (3, "all rights"), (4, "copyleft; no rights reserved here"), (5, "all rights all rights reserved"),
+                       (6, None), (None, "Copyleft"), (7, "Equal text of a few words")])
+    got = sorted((tuple(r) for r in scan_licenses(df, listed).collect()), key=repr)
+    want = [(1, "arr", 1.0, 2), (1, "two", 1.0, 3), (4, "four", 1.0, 1), (4, "one", 1.0, 0), (4, "two", 1.0, 2),
+            (5, "arr", 1.0, 2), (5, "two", 1.0, 3), (7, "long", 1.0, 0), (None, "one", 1.0, 0)]
+    assert got == sorted(want, key=repr)
+    plan = scan_licenses(df, listed)._jdf.queryExecution().executedPlan().toString()
+    assert not re.search("Python|Arrow|Pandas", plan)
+
+
+def test_the_planted_short_notice_is_listed(spark, documents, texts):
+    have = {i for i, t in texts.items() if "all rights reserved" in " ".join(words(t))}
+    found = scan_licenses(documents, notices(spark)).where("license = 'All-rights-reserved'").collect()
+    assert have and {r["doc_id"] for r in found} == have
