@@ -80,7 +80,7 @@ def _distances(points: np.ndarray, members: np.ndarray, centre: int) -> np.ndarr
 
 
 class Best:
-    """The k best (score, id) of each query so far, ties to the smaller id."""
+    """The k best (score, id) of each query so far, each pair once, ties to the smaller id."""
 
     def __init__(self, ids: np.ndarray, k: int, floor: np.ndarray):
         self.ids, self.k = ids, k
@@ -95,8 +95,15 @@ class Best:
         """``scores[i, j]`` of query ``rows[i]`` and data ``ids[j]``; a query is not its own answer."""
         scores = np.where(self.ids[rows][:, None] == ids[None, :], -np.inf, scores)
         least = self.worst(rows)
-        if scores.shape[1] > self.k:
-            least = np.maximum(least, -np.partition(-scores, self.k - 1, axis=1)[:, self.k - 1])
+        # A bound from this block counts an id once, by its best row.
+        names, place = np.unique(ids, return_inverse=True)
+        if len(names) > self.k:
+            tops = scores
+            if len(names) < len(ids):
+                order = np.argsort(place, kind="stable")
+                starts = np.searchsorted(place[order], np.arange(len(names)))
+                tops = np.maximum.reduceat(scores[:, order], starts, axis=1)
+            least = np.maximum(least, -np.partition(-tops, self.k - 1, axis=1)[:, self.k - 1])
         row, column = np.nonzero((scores >= least[:, None]) & (scores > -np.inf))
         if not len(row):
             return
@@ -106,10 +113,23 @@ class Best:
         score = np.append(scores[row, column], self.scores[rows[touched]].ravel())
         order = np.lexsort((found, -score, place))
         place, found, score = place[order], found[order], score[order]
+        again = (place[1:] == place[:-1]) & (found[1:] == found[:-1]) & (score[1:] == score[:-1])
+        once = np.append(True, ~again | (score[1:] == -np.inf))
+        place, found, score = place[once], found[once], score[once]
         first = np.searchsorted(place, touched)[:, None] + np.arange(self.k)
         self.scores[rows[touched]], self.found[rows[touched]] = score[first], found[first]
 
 
+def distinct_rows(ids: np.ndarray, points: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The rows without those that repeat an id and its vector."""
+    if len(np.unique(ids)) == len(ids):
+        return ids, points
+    order = np.lexsort((*points.T, ids))
+    ids, points = ids[order], points[order]
+    new = np.append(True, (ids[1:] != ids[:-1]) | (points[1:] != points[:-1]).any(axis=1))
+    return ids[new], points[new]
+
+
 def products(queries: np.ndarray, data: np.ndarray) -> np.ndarray:
     """Inner products of integer vectors: exact while no partial sum can leave 2**52, else by Python
     integers, as the nearest double."""
@@ -184,8 +204,9 @@ def _partial(data: DataFrame, queries, k: int) -> DataFrame:
             for width in set(widths.tolist()) & set(state):
                 at = np.flatnonzero(widths == width)
                 points = flat[starts[at][:, None] + np.arange(width)]
+                own, points = distinct_rows(names[at], points)
                 tree, rows, best = state[width]
-                dual_search(tree, rows, cover_tree(points, DATA_LEAF), points, names[at], best)
+                dual_search(tree, rows, cover_tree(points, DATA_LEAF), points, own, best)
 
         held_ids, held, count = [], [], 0
         for batch in batches:

@@ -84,3 +84,25 @@ def test_pairs_are_pruned():
         scores[q, q] = -np.inf
         assert best.found[q].tolist() == sorted(range(4000), key=lambda i: (-scores[q, i], i))[:3]
     assert sum(seen) < 0.5 * 40 * 4000
+
+
+@pytest.mark.parametrize("copies", [2, 7])
+def test_repeated_rows_are_one_answer(spark, copies):
+    rng = np.random.default_rng(11)
+    rows = [(i, np.round(rng.normal(size=4), 1).astype(np.float32).tolist()) for i in range(300)]
+    rows += [(i, np.round(rng.normal(size=4), 1).astype(np.float32).tolist()) for i in range(1, 40)]  # other vectors
+    rows = [r for r in rows for _ in range(copies)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
+    for parts in (1, 5):
+        dealt = df.repartitionByRange(parts, "vec_id")
+        found = top_k(dealt, dealt.where("vec_id % 50 = 0"), 5).collect()
+        assert sorted(tuple(r) for r in found) == sorted(set(brute(rows[::copies], lambda i: i % 50 == 0, 5)))
+
+
+def test_best_keeps_ids_not_rows():
+    best = Best(np.array([100, 101]), 3, np.full(2, -np.inf))
+    ids = np.array([7, 7, 7, 7, 7, 1, 2, 3])
+    scores = np.array([[9.0, 9, 9, 9, 8, 3, 2, 1], [0.0, 0, 0, 0, 0, 0, 0, 0]])
+    best.add(np.arange(2), ids, scores)
+    best.add(np.arange(2), ids, scores)
+    assert best.found.tolist() == [[7, 7, 1], [1, 2, 3]] and best.scores.tolist() == [[9, 8, 3], [0, 0, 0]]
