@@ -267,8 +267,9 @@ def top_k(
     an empty table gives an empty table.
 
     Queries are broadcast in blocks of QUERY_BLOCK, each with its cover tree; every task indexes its
-    own rows, CHUNK_ROWS at a time, and keeps k rows a query. A first round among the query rows
-    themselves gives each query a kth score to prune by from the start, and bounds what tasks return.
+    own rows, CHUNK_ROWS at a time, and keeps k rows a query. A first round among the rows of
+    ``embeddings`` that have a query's id gives each query a kth score to prune by from the start, and
+    bounds what tasks return; queries may come from elsewhere, whose ids no row has.
     Of query rows that repeat an id the least vector is asked.
     """
     spark = embeddings.sparkSession
@@ -280,8 +281,11 @@ def top_k(
     for block in range(blocks):
         some = asked.where(F.pmod(F.xxhash64("id"), F.lit(blocks)) == block) if blocks > 1 else asked
         rows = [(r[0], r[1]) for r in some.select("id", "vector").collect()]
-        first = best_of(_partial(some, _broadcast(spark, rows, {}), k), k).where(F.col("rank") == k)
-        floors = {r[0]: float(r[1]) for r in first.select("query_id", "score").collect()}
+        # Floors are scores of rows that can be answers. The ids of a block bound the broadcast.
+        near = data.join(F.broadcast(some.select("id")), "id", "left_semi")
+        first = best_of(_partial(near, _broadcast(spark, rows, {}), k), k).where(F.col("rank") == k)
+        # At a long's lower end the score may be below it.
+        floors = {r[0]: float(r[1]) for r in first.select("query_id", "score").collect() if r[1] > -(2**63)}
         part = _partial(data, _broadcast(spark, rows, floors), k)
         found = part if found is None else found.unionByName(part)
     return best_of(found, k).select("query_id", "rank", F.col("id").alias(id_column), "score")

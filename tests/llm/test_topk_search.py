@@ -106,3 +106,23 @@ def test_best_keeps_ids_not_rows():
     best.add(np.arange(2), ids, scores)
     best.add(np.arange(2), ids, scores)
     assert best.found.tolist() == [[7, 7, 1], [1, 2, 3]] and best.scores.tolist() == [[9, 8, 3], [0, 0, 0]]
+
+
+@pytest.mark.parametrize("first_id", [5000, 0])
+def test_queries_from_elsewhere(spark, first_id):
+    """Queries that are like each other and unlike the data, under ids of their own or of other rows."""
+    rng = np.random.default_rng(13)
+    data = [(i, np.round(rng.normal(size=4), 1).astype(np.float32).tolist()) for i in range(200)]
+    asked = [(first_id + i, (np.round(rng.normal(size=4), 1) + 50).astype(np.float32).tolist()) for i in range(20)]
+    frames = [spark.createDataFrame(rows, "vec_id long, embedding array<float>") for rows in (data, asked)]
+    want = []
+    for q, a in asked:
+        scores = sorted((-sum(math.floor(256 * x) * math.floor(256 * y) for x, y in zip(a, b)), i)
+                        for i, b in data if i != q)
+        want += [(q, n + 1, i, -s) for n, (s, i) in enumerate(scores[:5])]
+    assert sorted(tuple(r) for r in top_k(*frames, 5).collect()) == sorted(want)
+
+
+def test_scores_below_a_long_are_answers(spark):
+    rows = [(0, [1e30, 1.0])] + [(i, [-1e6 * i, 0.0]) for i in range(1, 8)]
+    assert len(run(spark, with_extras(rows), "vec_id < 8")) == 8 * 5
