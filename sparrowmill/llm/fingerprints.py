@@ -57,16 +57,26 @@ class Parse:
         del self.hashes[known + 1 :]
 
     def signature(self) -> np.ndarray:
-        """The least hash in each of SLOTS classes of hashes, 16 bits of it; EMPTY without one."""
+        """The least hash in each of SLOTS classes of hashes, mixed and cut to 16 bits; EMPTY without one.
+
+        Of many phrases the least hash is small, so its own upper bits would tell little.
+        """
         h = np.array(self.hashes[1:], np.uint64)
         h ^= h >> np.uint64(31)
         h *= np.uint64(0xD6E8FEB86659FD93)
         h ^= h >> np.uint64(32)
-        # Scaled to 0 .. EMPTY - 1 from the upper 24 bits; the class comes from the lower ones.
-        value = (h >> np.uint64(40)) * np.uint64(EMPTY) >> np.uint64(24)
-        least = np.full(SLOTS, EMPTY, np.int64)
-        np.minimum.at(least, (h % np.uint64(SLOTS)).astype(np.int64), value.astype(np.int64))
-        return least.astype(">u2")
+        slot = (h % np.uint64(SLOTS)).astype(np.int64)
+        least = np.full(SLOTS, MASK, np.uint64)
+        np.minimum.at(least, slot, h)
+        least ^= least >> np.uint64(33)
+        least *= np.uint64(0xFF51AFD7ED558CCD)
+        least ^= least >> np.uint64(33)
+        least *= np.uint64(0xC4CEB9FE1A85EC53)
+        # Scaled to 0 .. EMPTY - 1 from the upper 24 bits.
+        value = (least >> np.uint64(40)) * np.uint64(EMPTY) >> np.uint64(24)
+        filled = np.zeros(SLOTS, bool)
+        filled[slot] = True
+        return np.where(filled, value, np.uint64(EMPTY)).astype(">u2")
 
 
 def likeness(a: np.ndarray, b: np.ndarray) -> float:

@@ -75,3 +75,23 @@ def test_edge_cases(spark, messy, nothing, monkeypatch, part_bytes):
     assert compare_edited(nothing).collect() == []
     one = compare_edited(frame(spark, [(3, "abcdef")])).collect()
     assert [tuple(r) for r in one] == brute([(3, "abcdef")])
+
+
+def test_very_long_texts_are_not_alike_by_chance():
+    """As many phrases as about 17 MB of text have."""
+    rng = np.random.default_rng(5)
+    signatures = []
+    for _ in range(3):
+        parse = Parse()
+        parse.hashes += rng.integers(0, 1 << 64, 2_000_000, dtype=np.uint64).tolist()
+        signatures.append(parse.signature())
+        assert (signatures[-1] != fingerprints.EMPTY).all()
+    pairs = [(0, 1), (0, 2), (1, 2)]
+    assert np.mean([likeness(signatures[i], signatures[j]) for i, j in pairs]) < 0.01
+
+
+def test_slots_without_a_phrase_are_empty():
+    parse = Parse()
+    parse.feed(b"abcabc")
+    assert (parse.signature() != fingerprints.EMPTY).sum() == len({*parse.signature().tolist()} - {fingerprints.EMPTY})
+    assert (Parse().signature() == fingerprints.EMPTY).all()
