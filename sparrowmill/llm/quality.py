@@ -55,7 +55,7 @@ def shape(word: str) -> str:
     """A for capitals, a for other letters, 0 for digits, other characters as they are; runs as one."""
     if word.islower() and word.isalpha():
         return "a"
-    return _RUNS.sub(r"\1", word[:256].translate(_KINDS))
+    return _RUNS.sub(r"\1", word.translate(_KINDS))
 
 
 class Units(dict):

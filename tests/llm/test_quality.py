@@ -84,3 +84,11 @@ def test_temperature_does_not_change_the_order():
     assert net.temperature >= 1
     assert ((net.probabilities(x) >= 0.5) == (y == 1)).mean() > 0.8
     assert (np.argsort(net.logits(x)) == np.argsort(net.probabilities(x), kind="stable")).mean() > 0.99
+
+
+def test_shapes_of_very_long_words_are_whole():
+    head = "A1" * 200
+    assert quality.shape(head + "-x") == "A0" * 200 + "-a"
+    known = quality.Units()
+    assert known[head + "-"] >> 32 != known[head + "+"] >> 32
+    assert quality.shape("中" * 1_000_000 + "。") == "a。"
