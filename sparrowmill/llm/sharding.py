@@ -49,11 +49,10 @@ def hilbert_index(axes: Sequence[np.ndarray], bits: int) -> np.ndarray:
     return index
 
 
-def _number(df: DataFrame, name: str) -> Column:
-    """A column as a number that keeps its order: text by its first six bytes, null first."""
+def _ordered(df: DataFrame, name: str) -> Column:
+    """A column as a number or whole text that keeps its order, null first."""
     if dict(df.dtypes)[name] == "string":
-        prefix = F.rpad(F.hex(F.substring(F.encode(F.col(name), "UTF-8"), 1, 6)), 12, "0")
-        return F.coalesce(F.conv(prefix, 16, 10).cast("double"), F.lit(-1.0))
+        return F.coalesce(F.concat(F.lit("+"), F.col(name)), F.lit(""))
     return F.coalesce(F.col(name).cast("double"), F.lit(-1.0))
 
 
@@ -61,16 +60,29 @@ def _at_or_below(edges: Column, value: Column) -> Column:
     return F.size(F.filter(edges, lambda edge: edge <= value))
 
 
+def _text_cuts(df: DataFrame, name: str, cells: int) -> list[str]:
+    """The least value of each cell but the first, when values are cut by their rank: a value goes to
+    the cell that the middle of its rows, in the order of all values, falls into."""
+    values = df.groupBy(F.col(name).alias("value")).agg(F.count("*").alias("size"))
+    placed, number = _by_bytes(positions(values, [F.col("value")]), cells)
+    least = placed.groupBy(number.alias("cell")).agg(F.min("value").alias("value")).collect()
+    return sorted(r["value"] for r in least)[1:]
+
+
 def quantised(df: DataFrame, dimensions: Sequence[str], bits: int) -> list[Column]:
-    """Each dimension's cell, 0 to 2**bits - 1, between quantiles over the whole table."""
+    """Each dimension's cell, 0 to 2**bits - 1, between quantiles over the whole table. Text is
+    compared whole, by its bytes."""
     cells = 1 << bits
     shares = [i / cells for i in range(1, cells)]
-    cuts = df.select(
-        *[F.percentile_approx(F.col(d), shares, 2000).alias(f"cut{i}") for i, d in enumerate(dimensions)]
-    ).head()
+    kinds = dict(df.dtypes)
+    numbers = [d for d in dimensions if kinds[d] != "string"]
+    cuts = df.select(*[F.percentile_approx(F.col(d), shares, 2000).alias(d) for d in numbers]).head() if numbers else {}
     out = []
-    for i, d in enumerate(dimensions):
-        edges = F.array(*[F.lit(float(c)) for c in sorted(set(cuts[i] or []))]).cast("array<double>")
+    for d in dimensions:
+        if kinds[d] == "string":
+            edges = F.array(*[F.lit(c) for c in _text_cuts(df, d, cells)]).cast("array<string>")
+        else:
+            edges = F.array(*[F.lit(float(c)) for c in sorted(set(cuts[d] or []))]).cast("array<double>")
         out.append(_at_or_below(edges, F.col(d)))
     return out
 
@@ -106,7 +118,7 @@ def shard(
         (F.octet_length(text) + ROW_BYTES).cast("long").alias("size"),
         F.crc32(text).alias("text_crc32"),
         F.md5(text).alias("same"),
-        *[_number(documents, d).alias(f"dim{i}") for i, d in enumerate(have)],
+        *[_ordered(documents, d).alias(f"dim{i}") for i, d in enumerate(have)],
     )
     dims = [f"dim{i}" for i in range(len(have))]
     narrow = stored(narrow)
@@ -117,10 +129,12 @@ def shard(
         return pd.Series(hilbert_index([points[c].to_numpy() for c in points.columns], bits))
 
     # A group of copies enters the shuffle once per task and its rows are joined back by their text.
-    lead = narrow.groupBy("same").agg(
-        F.min(F.struct(F.col("doc_id").isNull(), "doc_id", *dims)).alias("lead")
-    ).select("same", *[F.col(f"lead.{d}").alias(d) for d in dims])
-    lead = stored(lead.select("same", on_curve(F.struct(*[c.alias(f"c{i}") for i, c in enumerate(cells)])).alias("cell")))
+    names = [f"c{i}" for i in range(len(cells))]
+    boxes = narrow.select("same", "doc_id", *[c.alias(n) for c, n in zip(cells, names)])
+    lead = boxes.groupBy("same").agg(
+        F.min(F.struct(F.col("doc_id").isNull(), "doc_id", *names)).alias("lead")
+    ).select("same", *[F.col(f"lead.{n}").alias(n) for n in names])
+    lead = stored(lead.select("same", on_curve(F.struct(*names)).alias("cell")))
     placed = positions(
         narrow.select("doc_id", "size", "text_crc32", "same").join(lead, "same"),
         [F.col("cell"), F.col("same"), F.col("doc_id")],

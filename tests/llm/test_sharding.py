@@ -75,3 +75,19 @@ def test_written_shards(spark, documents, tmp_path):
     write_shards(some, shard(some, 5), str(tmp_path / "out"))
     assert spark.read.parquet(str(tmp_path / "out")).count() == 100
     assert len(list((tmp_path / "out").glob("shard=*"))) == 5
+
+
+def test_text_with_a_common_beginning_is_told_apart(spark):
+    rows = [(i, f"text {i}", f"https://example.org/{i * 7919 % 64:02d}" if i % 65 else None) for i in range(6500)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    placed = shard(df, 32, "rows", ["source"]).join(df.select("doc_id", "source"), "doc_id").collect()
+    by = {}
+    for r in placed:
+        by.setdefault(r["source"], set()).add(r["cell"])
+    assert all(len(c) == 1 for c in by.values())
+    order = [min(by[s]) for s in sorted(by, key=lambda s: s or "")]
+    assert order == sorted(order) and len(set(order)) == 32  # the curve of one dimension is its order
+    held = {}
+    for r in placed:
+        held.setdefault(r["shard"], set()).add(r["source"])
+    assert max(len(s) for s in held.values()) <= 5
