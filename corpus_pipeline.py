@@ -28,8 +28,8 @@ def jaccard_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """A row per piece of a document, with its place in a sequence of 2048 tokens."""
-    return pack(docs, vocabulary("byte_bpe_50k.json"), size=2048, with_ids=False)
+    """A row per piece of a document, with its token ids and its place in a sequence of 2048 tokens."""
+    return pack(docs, vocabulary("byte_bpe_50k.json"), size=2048, with_ids=True)
 
 
 STAGES = [

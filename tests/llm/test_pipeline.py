@@ -1,5 +1,7 @@
 """Each stage of the pipeline against a plain version of itself."""
 
+import zlib
+
 import numpy as np
 import pytest
 from test_jaccard_join import brute as classes_of
@@ -58,3 +60,9 @@ def test_run_applies_all_stages(spark, tiny, passed):
     assert got.dtypes == passed[4].dtypes
     columns = ["doc_id", "piece", "start", "length", "ids_crc32"]
     assert sorted(got.select(columns).collect()) == sorted(passed[4].select(columns).collect())
+
+
+def test_packed_rows_have_their_ids(passed):
+    rows = passed[4].collect()
+    assert rows and all(len(r["ids"]) == 4 * r["length"] for r in rows)
+    assert all(zlib.crc32(bytes(r["ids"])) == r["ids_crc32"] for r in rows)
