@@ -20,12 +20,12 @@ def text_of(column: str = "text") -> Column:
     return F.coalesce(F.col(column).cast("string"), F.lit(""))
 
 
-def stored(df: DataFrame) -> DataFrame:
+def stored(df: DataFrame, **options: str) -> DataFrame:
     """``df`` written to the shared folder and read again: computed once, and with no lineage that
     a lost executor could force back to the start."""
     spark = df.sparkSession
     path = shared_folder(spark)
-    df.write.parquet(path)
+    df.write.options(**options).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

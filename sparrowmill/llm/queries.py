@@ -16,6 +16,7 @@ from sparrowmill.llm import (
     packing,
     quality,
     sharding,
+    token_alignment,
     topk_search,
     url_filters,
 )
@@ -247,3 +248,12 @@ def op9_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.near_classes(table(spark, sf_dir, "documents"), threshold=0.8)
+
+
+@query("op12_token_alignment")
+def op12_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    aligned = token_alignment.align(
+        table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"),
+        vocabulary("piece_bpe_32k.model"), with_groups=False,
+    )
+    return aligned.drop("groups", "a_ids", "b_ids")

@@ -22,6 +22,8 @@ def test_matches_sql(name, spark, small):
 
 
 COLUMNS = {
+    "op12_token_alignment": "doc_id long, n_a long, n_b long, n_groups long, n_links long, n_best long, "
+    "count_sum long, groups_sha256 string",
     "op1_line_dedup": "doc_id long, n_lines long, n_dropped long, kept_sha256 string",
     "op2_byte_bpe": "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string",
     "op3_hilbert_shards": "doc_id long, size long, text_crc32 long, law string, shard int, slot long, "
