@@ -192,8 +192,7 @@ class Batch:
         """Runs of whole groups, so that a very long text is not merged in one go."""
         last_a = last_b = 0
         while last_a < len(self.ids_a):
-            least = min(last_a, last_b) + BLOCK_TOKENS
-            at = min(np.searchsorted(self.group_a, max(least, last_a + 1)), len(self.group_a) - 1)
+            at = min(np.searchsorted(self.group_a, last_a + BLOCK_TOKENS), len(self.group_a) - 1)
             next_a, next_b = int(self.group_a[at]), int(self.group_b[at])
             yield slice(last_a, next_a), slice(last_b, next_b)
             last_a, last_b = next_a, next_b
