@@ -9,18 +9,20 @@ from pyspark.sql import functions as F
 
 from sparrowmill.llm import (
     byte_bpe,
+    conversation_trie,
     fingerprints,
     jaccard_join,
     license_scan,
     line_dedup,
     packing,
     quality,
+    secret_scan,
     sharding,
     token_alignment,
     topk_search,
     url_filters,
 )
-from sparrowmill.llm.common import table
+from sparrowmill.llm.common import stored, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -250,6 +252,58 @@ def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.near_classes(table(spark, sf_dir, "documents"), threshold=0.8)
 
 
+@query(
+    "op11_conversation_trie",
+    r"""
+    WITH turns AS (
+        SELECT conv_id, sha256(length(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, ''))
+                AS turn_key,
+            len([w FOR w IN regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+') IF w <> '']) AS words,
+            turn
+        FROM conversations WHERE conv_id IS NOT NULL
+    ), whole AS (
+        SELECT conv_id, list({'k': turn_key, 'w': words} ORDER BY turn NULLS FIRST, turn_key) AS turns,
+            -- crc32 of the decimal id, bit by bit
+            xor(list_reduce([4294967295] || flatten([[ord(c), -1, -1, -1, -1, -1, -1, -1, -1]
+                    FOR c IN string_split(conv_id::VARCHAR, '')]), lambda a, x: CASE WHEN x >= 0 THEN xor(a, x)
+                ELSE xor(a >> 1, (a & 1) * 3988292384) END), 4294967295) % 4 AS h
+        FROM turns GROUP BY conv_id
+    ), rebuilt AS (
+        SELECT c.conv_id, list_concat(coalesce(b.turns[1 : c.h], []), c.turns[c.h + 1 :]) AS turns
+        FROM whole c LEFT JOIN whole b ON b.conv_id = c.conv_id - c.conv_id % 20
+    ), starts AS (
+        SELECT conv_id, turns, d, array_to_string([t.k FOR t IN turns[1 : d]], ',') AS path
+        FROM (SELECT *, unnest(range(0, len(turns) + 1)) AS d FROM rebuilt)
+    ), nodes AS (
+        SELECT path, min(d) AS depth, min(conv_id) AS conv_id, count(*) AS n_convs,
+            min_by(turns[1 : d], conv_id) AS turns,
+            sha256(coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (WHERE d = len(turns)), ''))
+                AS ends_sha256
+        FROM starts GROUP BY path
+    ), shares AS (
+        SELECT *, array_to_string([t.k FOR t IN turns[1 : depth - 1]], ',') AS parent_path,
+            CASE WHEN depth = 0 THEN 0 ELSE (n_convs - 1) * turns[depth].w END AS share
+        FROM nodes
+    ), counted AS (
+        SELECT s.*, p.conv_id AS parent_conv_id,
+            (SELECT count(*) FROM shares c WHERE c.parent_path = s.path AND c.depth = s.depth + 1) AS n_children
+        FROM shares s LEFT JOIN shares p ON s.depth > 0 AND p.path = s.parent_path AND p.depth = s.depth - 1
+    ), below AS (
+        SELECT array_to_string([t.k FOR t IN turns[1 : d]], ',') AS path,
+            count(*) FILTER (WHERE n_children = 0) AS n_leaves, sum(share) AS saved_tokens
+        FROM (SELECT *, unnest(range(0, depth + 1)) AS d FROM counted) GROUP BY 1
+    )
+    SELECT conv_id, CAST(depth AS BIGINT) AS depth, parent_conv_id, n_convs, n_children, n_leaves,
+        CAST(saved_tokens AS BIGINT) AS saved_tokens, ends_sha256
+    FROM counted JOIN below USING (path)
+    """,
+)
+def op11_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = stored(conversation_trie.numbered_turns(table(spark, sf_dir, "conversations")))
+    trie = conversation_trie.prefix_trie(conversation_trie.with_borrowed_starts(turns))
+    return trie.drop("node", "parent")
+
+
 @query("op12_token_alignment")
 def op12_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     aligned = token_alignment.align(
@@ -257,3 +311,58 @@ def op12_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
         vocabulary("piece_bpe_32k.model"), with_groups=False,
     )
     return aligned.drop("groups", "a_ids", "b_ids")
+
+
+def _rule_rows() -> str:
+    def quoted(text: str) -> str:
+        return "'" + text.replace("'", "''") + "'"
+
+    return ", ".join(
+        f"({quoted(r.kind)}, {place}, {quoted(r.pattern)}, {r.group}, {r.least})"
+        for place, r in enumerate(secret_scan.RULES)
+    )
+
+
+@query(
+    "op13_secret_scan",
+    rf"""
+    WITH rules(kind, place, pattern, part, least) AS (VALUES {_rule_rows()}
+    ), texts AS (
+        SELECT row_number() OVER () AS path, doc_id, coalesce(text, '') AS text FROM documents
+    ), pieces AS (
+        SELECT path, kind, place, least, regexp_split_to_array(text, pattern) AS gaps,
+            regexp_extract_all(text, pattern, 0) AS found,
+            CASE part WHEN 0 THEN regexp_extract_all(text, pattern, 0)
+                ELSE regexp_extract_all(text, pattern, 2) END AS held
+        FROM texts, rules
+    ), matches AS (
+        SELECT path, kind, place, least, unnest(range(1, len(found) + 1)) AS nth,
+            unnest(gaps[1 : len(found)]) AS gap, unnest(found) AS match, unnest(held) AS held
+        FROM pieces
+    ), placed AS (
+        SELECT *, CAST(sum(length(gap) + length(match)) OVER (PARTITION BY path, kind ORDER BY nth) AS BIGINT)
+            AS ending
+        FROM matches
+    ), listed AS (
+        SELECT path, count(*) FILTER (WHERE kind = 'assign') AS n_assign,
+            count(*) FILTER (WHERE kind = 'access') AS n_access, count(*) FILTER (WHERE kind = 'hex') AS n_hex,
+            string_agg(kind || ':' || (ending - length(match)) || ':' || ending, ','
+                ORDER BY ending - length(match), place) AS spans
+        FROM placed WHERE length(held) >= least GROUP BY path
+    )
+    SELECT doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access,
+        coalesce(n_hex, 0) AS n_hex, sha256(coalesce(spans, '')) AS base_sha256, coalesce(spans, '') AS spans
+    FROM texts LEFT JOIN listed USING (path)
+    """,
+)
+def op13_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secret_scan.scan_secrets(table(spark, sf_dir, "documents"))
+
+    def number(kind: str):
+        return F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+    listed = secret_scan.listed(F.col("spans"))
+    return found.select(
+        "doc_id", *[number(r.kind) for r in secret_scan.RULES],
+        F.sha2(listed, 256).alias("base_sha256"), listed.alias("spans"),
+    )

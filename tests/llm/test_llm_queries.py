@@ -22,6 +22,9 @@ def test_matches_sql(name, spark, small):
 
 
 COLUMNS = {
+    "op11_conversation_trie": "conv_id long, depth long, parent_conv_id long, n_convs long, n_children long, "
+    "n_leaves long, saved_tokens long, ends_sha256 string",
+    "op13_secret_scan": "doc_id long, n_assign long, n_access long, n_hex long, base_sha256 string, spans string",
     "op12_token_alignment": "doc_id long, n_a long, n_b long, n_groups long, n_links long, n_best long, "
     "count_sum long, groups_sha256 string",
     "op1_line_dedup": "doc_id long, n_lines long, n_dropped long, kept_sha256 string",
