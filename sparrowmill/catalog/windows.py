@@ -14,16 +14,6 @@ LINE_ORDER = [(c, "asc") for c in ("l_linenumber", "l_partkey", "l_suppkey", "l_
 _LINE_SQL = "l_linenumber, l_partkey, l_suppkey, l_shipdate"
 
 
-def _line_bands():
-    return [
-        (F.floor(F.col("l_linenumber") / F.lit(1000)), "asc"),
-        (F.col("l_linenumber"), "asc"),
-        (F.floor(F.col("l_partkey") / F.lit(1000)), "asc"),
-        (F.col("l_partkey"), "asc"),
-        (F.floor(F.col("l_suppkey") / F.lit(100)), "asc"),
-    ]
-
-
 def _lines(t):
     keys = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_shipdate"]
     return t.lineitem.select(*keys, money("l_extendedprice").alias("price"))
@@ -36,9 +26,7 @@ def _lines(t):
 def win_running_sum(t):
     lines = t.lineitem.select("l_orderkey", "l_linenumber", money("l_extendedprice").alias("price"))
     return windows.ranked_and_running(
-        lines, ["l_orderkey"], [("l_linenumber", "asc")],
-        [(F.floor(F.col("l_linenumber") / F.lit(1000)), "asc")],
-        sums={"total_extendedprice": "price"},
+        lines, ["l_orderkey"], [("l_linenumber", "asc")], sums={"total_extendedprice": "price"},
     )
 
 
@@ -48,7 +36,7 @@ def win_running_sum(t):
         ROWS BETWEEN 1 PRECEDING AND CURRENT ROW)''')} AS total_prev_2_lineitems FROM lineitem""")
 def win_prev2_sum(t):
     return windows.moving(
-        _lines(t), ["l_orderkey"], LINE_ORDER, _line_bands(), (-1, 0),
+        _lines(t), ["l_orderkey"], LINE_ORDER, (-1, 0),
         {"total_prev_2_lineitems": F.sum("price")},
     ).select("l_orderkey", "l_linenumber", "price", "total_prev_2_lineitems")
 
@@ -118,8 +106,7 @@ def win_range_month(t):
 def win_rank(t):
     orders = t.orders.select("o_custkey", "o_orderkey", "o_orderdate", "o_totalprice")
     ranked = windows.ranked_and_running(
-        orders, ["o_custkey"], [("o_totalprice", "desc")],
-        [(F.floor(F.col("o_totalprice") / F.lit(1000)), "desc")], rank="rnk",
+        orders, ["o_custkey"], [("o_totalprice", "desc")], rank="rnk",
     )
     return ranked.select(
         "o_custkey", "o_orderkey", F.to_date("o_orderdate").alias("o_orderdate"),
@@ -138,11 +125,9 @@ def win_rank_trio(t):
     lines = t.lineitem.select(
         "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_shipdate", "l_discount"
     )
-    by_discount = (F.col("l_discount"), "desc")
     return windows.ranked_and_running(
-        lines, ["l_orderkey"], [("l_discount", "desc")], [by_discount],
-        rank="rnk", dense_rank="dense_rnk",
-        row_number=("row_num", [("l_discount", "desc"), *LINE_ORDER], [by_discount, *_line_bands()]),
+        lines, ["l_orderkey"], [("l_discount", "desc")], rank="rnk", dense_rank="dense_rnk",
+        row_number=("row_num", [("l_discount", "desc"), *LINE_ORDER]),
     ).drop("l_shipdate")
 
 

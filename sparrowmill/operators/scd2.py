@@ -2,23 +2,16 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from sparrowmill.operators.skew import HOT_ROWS, assert_unique, split_hot
-from sparrowmill.operators.windows import chunked_moving, plain_moving, shifted
-
-
-# A hot key's rows are cut at these; a chunk is one second of one key.
-TIME_UNITS = ("day", "minute", "second")
-
-
-def _bands(units: Sequence[str]) -> list[tuple[Column, str]]:
-    return [(F.date_trunc(unit, "start_date"), "asc") for unit in units]
+from sparrowmill.operators.ranges import GUEST, PART, by_range, range_count, sorted_ranges, with_guests
+from sparrowmill.operators.skew import HOT_ROWS, assert_unique, has_hot_key, occurs_again
+from sparrowmill.operators.windows import shifted
 
 
 def history_schema(snapshot: DataFrame, key: str, tracked: Sequence[str], ts: str) -> T.StructType:
@@ -183,49 +176,51 @@ def scd2_apply(
 
 
 def scd2_from_log(
-    log: DataFrame,
-    key: str,
-    tracked: Sequence[str],
-    ts: str,
-    units: Sequence[str] = TIME_UNITS,
-    hot_rows: int = HOT_ROWS,
+    log: DataFrame, key: str, tracked: Sequence[str], ts: str, hot_rows: int = HOT_ROWS
 ) -> DataFrame:
     """The whole history in one pass over a change log, one row per (key, time), which is checked.
 
-    Rows that repeat the version before them are dropped, then each version ends where the next
-    one starts. A key with very many log rows is split by the time ``units``, coarse to fine.
+    Rows that repeat the version before them are dropped, then each version ends where the next one
+    starts. Both look at one neighbour in the same sort, which also shows a (key, time) that occurs
+    twice. Where a key has more than ``hot_rows`` rows, the log is sorted in ranges by key and time
+    instead: each range gets the row before its first one, and the start of the next version behind it.
     """
     rows = log.select(F.col(key), *[F.col(c) for c in tracked], F.col(ts).alias("start_date"))
-    rows = assert_unique(rows, [key, "start_date"], "change log")
-    order, bands = [("start_date", "asc")], _bands(units)
-
-    def versions(frame: DataFrame, neighbour: Callable[..., DataFrame]) -> DataFrame:
-        earlier = {**{f"p_{c}": F.first(c) for c in tracked}, "p_start": F.first("start_date")}
-        kept = (
-            neighbour(frame, (-1, -1), earlier)
-            .filter(F.col("p_start").isNull() | _differs(tracked, "p_"))
-            .select(*rows.columns)
+    hot = has_hot_key(rows, [key], hot_rows)
+    frame, by = rows.withColumn(GUEST, F.lit(False)), [key]
+    if hot:
+        cut = sorted_ranges(rows, [F.col(key).asc(), F.col("start_date").asc()])
+        frame, by = by_range(with_guests(cut, 1, 0), range_count(cut)), [PART, key]
+    along = Window.partitionBy(*by).orderBy("start_date")
+    beside = frame.withColumns(
+        {"p_has": F.lag(F.lit(True)).over(along), "p_start": F.lag("start_date").over(along),
+         **{f"p_{c}": F.lag(c).over(along) for c in tracked}}
+    )
+    twice = F.col("p_has").isNotNull() & F.col("start_date").eqNullSafe(F.col("p_start"))
+    again = occurs_again("change log", [key, "start_date"]).cast("boolean")
+    changed = F.col("p_start").isNull() | _differs(tracked, "p_")
+    kept = beside.filter(F.when(twice, again).otherwise(~F.col(GUEST) & changed))
+    end = F.lead("start_date").over(along)
+    if hot:
+        version = F.struct(F.col(key).alias("key"), F.col("start_date").alias("start"))
+        behind = Window.orderBy(PART).rowsBetween(1, Window.unboundedFollowing)
+        later = kept.groupBy(PART).agg(F.min(version).alias("least")).select(
+            F.col(PART).alias("__at"), F.first("least").over(behind).alias("next")
         )
-        return neighbour(kept, (1, 1), {"end_date": F.first("start_date")})
-
-    # One split for both steps: ordinary keys take one shuffle for the two windows.
-    ordinary, hot = split_hot(rows, [key], hot_rows)
-    plain = versions(ordinary, lambda df, at, aggs: plain_moving(df, [key], order, at, aggs))
-    chunked = versions(
-        hot, lambda df, at, aggs: chunked_moving(df, [key], order, bands, at, aggs)
+        kept = kept.join(F.broadcast(later), F.col(PART) == F.col("__at"))  # a row per range
+        goes_on = F.col("next.key").eqNullSafe(F.col(key))
+        end = F.coalesce(end, F.when(goes_on, F.col("next.start")))
+    return kept.withColumn("end_date", end).select(
+        *rows.columns, "end_date", F.col("end_date").isNull().alias("is_active")
     )
-    return plain.unionByName(chunked).withColumn("is_active", F.col("end_date").isNull())
 
 
-def scd2_violations(
-    history: DataFrame, key: str, units: Sequence[str] = TIME_UNITS, hot_rows: int = HOT_ROWS
-) -> DataFrame:
+def scd2_violations(history: DataFrame, key: str, hot_rows: int = HOT_ROWS) -> DataFrame:
     """One row per rule with the number of rows (or keys) that break it."""
     ordered = shifted(
         history.select(key, "start_date", "end_date", "is_active"),
         [key],
         [("start_date", "asc")],
-        _bands(units),
         {"next_start": "start_date"},
         1,
         hot_rows=hot_rows,

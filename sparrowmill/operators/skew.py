@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 # A group up to this many rows fits one task. Beyond it the key is hot and its rows are split.
@@ -31,13 +31,12 @@ def hot_keys(df: DataFrame, keys: Sequence[str], hot_rows: int = HOT_ROWS) -> Da
     )
 
 
-def split_hot(
-    df: DataFrame, keys: Sequence[str], hot_rows: int = HOT_ROWS
-) -> tuple[DataFrame, DataFrame]:
-    """(rows of ordinary keys, rows of hot keys); together they are exactly ``df``."""
-    hot = F.broadcast(hot_keys(df, keys, hot_rows))
-    on = same(df, hot, keys, "__hot_")
-    return df.join(hot, on, "left_anti"), df.join(hot, on, "left_semi")
+def has_hot_key(df: DataFrame, keys: Sequence[str], hot_rows: int = HOT_ROWS) -> bool:
+    """Whether some key has more than ``hot_rows`` rows; one value comes back.
+
+    A table of no more rows than that is only counted, which Parquet footers tell.
+    """
+    return df.count() > hot_rows and bool(hot_keys(df, keys, hot_rows).head(1))
 
 
 def apart(df: DataFrame) -> DataFrame:
@@ -50,16 +49,21 @@ def apart(df: DataFrame) -> DataFrame:
     return df.hint("rebalance")
 
 
-def assert_unique(df: DataFrame, keys: Sequence[str], what: str) -> DataFrame:
-    """``df`` again, failing the job when a key occurs twice. One row per key, no hot groups left."""
-    rest = [c for c in df.columns if c not in set(keys)]
-    grouped = df.groupBy(*keys).agg(
-        F.count(F.lit(1)).alias("__rows"), *[F.first(c).alias(c) for c in rest]
+def occurs_again(what: str, keys: Sequence[str]) -> Column:
+    """An expression that fails the job and names the key of the row at hand."""
+    return F.raise_error(
+        F.concat(
+            F.lit(f"{what}: key "), F.to_json(F.struct(*[F.col(k) for k in keys])),
+            F.lit(" occurs more than once"),
+        )
     )
-    message = F.concat(
-        F.lit(f"{what}: key "),
-        F.to_json(F.struct(*[F.col(k) for k in keys])),
-        F.lit(" occurs more than once"),
-    )
-    checked = F.when(F.col("__rows") == 1, F.col("__rows")).otherwise(F.raise_error(message))
-    return grouped.filter(checked == 1).select(*df.columns)
+
+
+def assert_unique(df: DataFrame, keys: Sequence[str], what: str) -> DataFrame:
+    """``df`` again, failing the job when a key occurs twice. One row per key, no hot groups left.
+
+    Rows are numbered per key, in one shuffle and one sort that a join on the keys can go on with.
+    """
+    number = F.row_number().over(Window.partitionBy(*keys).orderBy(*keys))
+    checked = F.when(F.col("__copy") == 1, True).otherwise(occurs_again(what, keys).cast("boolean"))
+    return df.withColumn("__copy", number).filter(checked).select(*df.columns)

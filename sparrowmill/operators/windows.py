@@ -1,17 +1,16 @@
 """Window operators that stay exact when one partition key holds a large share of all rows.
 
 A plain ``Window.partitionBy(key)`` sorts each key inside one task. That is right for ordinary
-keys and is what they get here. The rows of hot keys take another road to the same values:
+keys and is what a table without hot keys gets. A table with a hot key is sorted in ranges once, by
+key and order together (see ``ranges``), and windows run per range and key:
 
-* Rows that tie in the sort order share their rank and their running sum, so ties are summed
-  into one row (a map-side combine) and only the distinct order values are windowed.
-* What is left is cut into chunks along the sort order. Each chunk is one window partition, and a
-  table with one row per chunk carries over what the earlier chunks add.
-* Frames of a few ROWS number the rows that way first, then cut them into runs of equal length
-  that overlap by the few rows a frame reaches.
+* Ranks, row numbers and running sums are associative, so what a range lacks are the totals of the
+  key and of the tie that its first rows continue, and the sums of the tie that its last rows open.
+  One row per range carries them over.
+* Frames of a few ROWS get as many neighbours as they reach from the ranges next to them.
 
-``bands`` is the coarse sort order that cuts the chunks: expressions that grow with the order
-columns, for example ``floor(price / 1000)``. A chunk is one value of all bands.
+``cumulative`` is for input that is cut by ``bands`` known beforehand: expressions that grow with the
+order columns, for example ``floor(price / 1000)``. A chunk is one value of all bands.
 """
 
 from __future__ import annotations
@@ -21,7 +20,8 @@ from collections.abc import Callable, Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from sparrowmill.operators.skew import HOT_ROWS, same, split_hot
+from sparrowmill.operators.ranges import GUEST, INDEX, PART, by_range, range_count, sorted_ranges, with_guests
+from sparrowmill.operators.skew import HOT_ROWS, has_hot_key, same
 
 Order = Sequence[tuple[str, str]]
 Bands = Sequence[tuple[Column, str]]
@@ -81,68 +81,134 @@ def cumulative(
     return joined.select(*df.columns, *filled)
 
 
-def _numbered(df: DataFrame, by: Sequence[str], order: Order, bands: Bands, name: str) -> DataFrame:
-    """row_number along a total order, chunk by chunk."""
-    ones = df.withColumn("__one", F.lit(1))
-    counted = cumulative(ones, by, order, bands, {name: "__one"})
-    return counted.withColumn(name, F.col(name).cast("bigint")).drop("__one")
+def _carried(rows: DataFrame, sums: Sequence[str]) -> DataFrame:
+    """One row per range: what its first rows continue from the ranges before, and what its last tie
+    goes on with in the ranges behind. As many rows as ranges, so one task can window them.
+
+    ``rows`` has the local values of each range: ``__n`` (rows of the key up to the end of the tie),
+    ``__rank``, ``__dense`` and the running sums.
+    """
+    edge = F.struct(
+        "__key", "__tie", "__n", "__rank", "__dense", *[F.col(c) for c in sums]
+    )
+    parts = rows.groupBy(PART).agg(
+        F.min_by(edge, INDEX).alias("first"), F.max_by(edge, INDEX).alias("last")
+    )
+    along = Window.orderBy(PART)
+    behind = along.rowsBetween(Window.unboundedPreceding, -1)
+    of_key = Window.partitionBy("last.__key").orderBy(PART)
+    of_tie = Window.partitionBy("first.__tie").orderBy(F.desc(PART))
+
+    def same_as(a: str, b: str) -> Column:
+        return F.coalesce(F.col(a).eqNullSafe(F.col(b)), F.lit(False))
+
+    parts = parts.withColumns({"before": F.lag("last").over(along), "after": F.lead("first").over(along)})
+    parts = parts.withColumns(
+        {
+            "key_on": same_as("first.__key", "before.__key"),
+            "tie_on": same_as("first.__tie", "before.__tie"),
+            "tie_goes_on": same_as("last.__tie", "after.__tie"),
+            "one_key": same_as("first.__key", "last.__key"),
+            "one_tie": same_as("first.__tie", "last.__tie"),
+        }
+    )
+    # A tie that goes on from the range before is counted there.
+    opened = F.col("last.__dense") - (F.col("one_key") & F.col("tie_on")).cast("int")
+    parts = parts.withColumns(
+        {
+            "run_n": F.sum("last.__n").over(of_key),
+            "run_dense": F.sum(opened).over(of_key),
+            **{f"run{c}": F.sum(f"last.{c}").over(of_key) for c in sums},
+            **{f"rest{c}": F.sum(f"first.{c}").over(of_tie) for c in sums},
+        }
+    )
+    earlier = F.when(F.col("key_on"), F.lag("run_n").over(along)).otherwise(0)
+    parts = parts.withColumn("rows_before", earlier)
+    # The rank of the tie that is open at a range's end, where the tie starts in that range.
+    started = F.when(
+        ~(F.col("one_tie") & F.col("tie_on")),
+        F.col("last.__rank") + F.when(F.col("one_key"), F.col("rows_before")).otherwise(0),
+    )
+    parts = parts.withColumn("started", started)
+    return parts.select(
+        F.col(PART).alias("__at"),
+        F.when(F.col("key_on"), F.col("first.__key")).alias("__on_key"),
+        F.when(F.col("tie_on"), F.col("first.__tie")).alias("__on_tie"),
+        F.when(F.col("tie_goes_on"), F.col("last.__tie")).alias("__open_tie"),
+        F.col("rows_before").alias("__rows_before"),
+        (F.lag("run_dense").over(along) - F.col("tie_on").cast("int")).alias("__dense_before"),
+        F.last("started", ignorenulls=True).over(behind).alias("__tie_rank"),
+        *[F.lag(f"run{c}").over(along).alias(f"__before{c}") for c in sums],
+        *[F.lead(f"rest{c}").over(along).alias(f"__behind{c}") for c in sums],
+    )
 
 
 def ranked_and_running(
     df: DataFrame,
     by: Sequence[str],
     order: Order,
-    bands: Bands,
     *,
     sums: Mapping[str, str] | None = None,
     rank: str | None = None,
     dense_rank: str | None = None,
-    row_number: tuple[str, Order, Bands] | None = None,
+    row_number: tuple[str, Order] | None = None,
     hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """Running sums and rankings per ``by`` along ``order``; ties share rank and sum.
 
-    ``sums`` maps a new column to the column it adds up. ``row_number`` names its column and a
-    total order of its own, so the numbering is the same on every run.
+    ``sums`` maps a new column to the column it adds up. ``row_number`` names its column and a total
+    order that begins with ``order``, so the numbering is the same on every run. Whether a key has more
+    than ``hot_rows`` rows is looked up first; then the table is read once.
     """
     sums = dict(sums or {})
-    ordinary, hot = split_hot(df, by, hot_rows)
-
-    window = Window.partitionBy(*by).orderBy(*_sorted(order))
-    added = {new: F.sum(col).over(window) for new, col in sums.items()}
-    if rank:
-        added[rank] = F.rank().over(window).cast("bigint")
-    if dense_rank:
-        added[dense_rank] = F.dense_rank().over(window).cast("bigint")
-    if row_number:
-        name, total, _ = row_number
-        numbers = F.row_number().over(Window.partitionBy(*by).orderBy(*_sorted(total)))
-        added[name] = numbers.cast("bigint")
-    done = ordinary.withColumns(added)
+    total = list(row_number[1]) if row_number else list(order)
+    if total[: len(order)] != list(order):
+        raise ValueError("the order of the row numbers must begin with the order of the ranks")
+
+    def along(keys: Sequence[str]) -> dict[str, Column]:
+        keyed = Window.partitionBy(*keys)
+        ties = keyed.orderBy(*_sorted(order))
+        added = {f"__s{i}": F.sum(c).over(ties) for i, c in enumerate(sums.values())}
+        added |= {"__rank": F.rank().over(ties), "__dense": F.dense_rank().over(ties)}
+        if row_number:
+            added["__row"] = F.row_number().over(keyed.orderBy(*_sorted(total)))
+        return added
+
+    names = {"__rank": rank, "__dense": dense_rank, "__row": row_number and row_number[0]}
+    names = {**{f"__s{i}": new for i, new in enumerate(sums)}, **{c: n for c, n in names.items() if n}}
+    ranked = ("__rank", "__dense", "__row")
+    if not has_hot_key(df, by, hot_rows):
+        return df.withColumns(
+            {names[c]: v.cast("bigint") if c in ranked else v for c, v in along(by).items() if c in names}
+        )
 
+    # Where ties have no order of their own, a hash of the whole row spreads a large one over ranges.
+    spread = [] if row_number else [F.xxhash64(*[F.col(f"`{c}`") for c in df.columns])]
+    cut = sorted_ranges(df, [*[F.col(c).asc() for c in by], *_sorted(total), *spread])
     ties = [*by, *[c for c, _ in order]]
-    distinct = hot.groupBy(*ties).agg(
-        F.count(F.lit(1)).alias("__n"),
-        F.lit(1).alias("__peer"),
-        *[F.sum(col).alias(f"__s_{new}") for new, col in sums.items()],
-    )
-    along = cumulative(
-        distinct, by, order, bands,
-        {"__run_n": "__n", "__run_peer": "__peer", **{new: f"__s_{new}" for new in sums}},
-    )
-    values = [F.col(new) for new in sums]
-    if rank:
-        values.append((F.col("__run_n") - F.col("__n") + 1).cast("bigint").alias(rank))
-    if dense_rank:
-        values.append(F.col("__run_peer").cast("bigint").alias(dense_rank))
-    looked_up = along.select(*[F.col(c).alias(f"__t_{c}") for c in ties], *values)
-    split = hot.join(looked_up, same(hot, looked_up, ties, "__t_"), "left").drop(
-        *[f"__t_{c}" for c in ties]
-    )
+    ranges = range_count(cut)
+    up_to = Window.partitionBy(PART, *by).orderBy(*_sorted(order))
+    rows = by_range(cut, ranges).withColumns({**along([PART, *by]), "__n": F.count(F.lit(1)).over(up_to)})
+    rows = rows.withColumns({"__key": F.struct(*by), "__tie": F.struct(*ties)})
+    added = [f"__s{i}" for i in range(len(sums))]
+    carried = F.broadcast(_carried(rows, added))  # a row per range
+    joined = rows.join(carried, F.col(PART) == F.col("__at"))
+    on_key = F.coalesce(F.col("__key") == F.col("__on_key"), F.lit(False))
+    on_tie = F.coalesce(F.col("__tie") == F.col("__on_tie"), F.lit(False))
+    open_tie = F.coalesce(F.col("__tie") == F.col("__open_tie"), F.lit(False))
+    values = {
+        "__rank": F.when(on_tie, F.col("__tie_rank")).otherwise(
+            F.col("__rank") + F.when(on_key, F.col("__rows_before")).otherwise(0)
+        ),
+        "__dense": F.col("__dense") + F.when(on_key, F.col("__dense_before")).otherwise(0),
+    }
     if row_number:
-        name, total, total_bands = row_number
-        split = _numbered(split, by, total, total_bands, name)
-    return done.unionByName(split.select(*done.columns))
+        values["__row"] = F.col("__row") + F.when(on_key, F.col("__rows_before")).otherwise(0)
+    for c in added:
+        so_far = _add(F.when(on_key, F.col(f"__before{c}")), F.col(c))
+        values[c] = _add(so_far, F.when(open_tie, F.col(f"__behind{c}")))
+    kinds = {c: "bigint" if c in ranked else rows.schema[c].dataType for c in values}
+    return joined.select(*df.columns, *[values[c].cast(kinds[c]).alias(n) for c, n in names.items()])
 
 
 def plain_moving(
@@ -153,67 +219,45 @@ def plain_moving(
     return df.withColumns({new: agg.over(window) for new, agg in aggs.items()})
 
 
-def chunked_moving(
-    df: DataFrame,
-    by: Sequence[str],
-    order: Order,
-    bands: Bands,
-    rows: tuple[int, int],
-    aggs: Mapping[str, Column],
-    chunk_rows: int = 100_000,
+def ranged_moving(
+    df: DataFrame, by: Sequence[str], order: Order, rows: tuple[int, int], aggs: Mapping[str, Column]
 ) -> DataFrame:
-    """The ROWS frame over numbered rows cut into overlapping runs, for keys of any size."""
-    back, ahead = max(0, -rows[0]), max(0, rows[1])
-    chunk_rows = max(chunk_rows, back, ahead)  # a frame reaches at most into the next run
-    numbered = _numbered(df, by, order, bands, "__pos")
-    slot = (F.col("__pos") - 1) % chunk_rows
-    home = F.floor((F.col("__pos") - 1) / F.lit(chunk_rows))
-    # A row near the end of its run also goes to the next one, and near the start to the one before.
-    runs = F.array_compact(
-        F.array(
-            home,
-            F.when(slot >= chunk_rows - back, home + 1),
-            F.when(slot < ahead, home - 1),
-        )
-    )
-    spread = numbered.withColumn("__home", home).withColumn("__run", F.explode(runs))
-    widened = plain_moving(spread, [*by, "__run"], [("__pos", "asc")], rows, aggs)
-    return widened.filter(F.col("__run") == F.col("__home")).select(*df.columns, *aggs)
+    """The ROWS frame per range and key, each range with the neighbours that its frames reach."""
+    cut = sorted_ranges(df, [*[F.col(c).asc() for c in by], *_sorted(order)])
+    met = by_range(with_guests(cut, max(0, -rows[0]), max(0, rows[1])), range_count(cut))
+    widened = plain_moving(met, [PART, *by], order, rows, aggs)
+    return widened.where(~F.col(GUEST)).select(*df.columns, *aggs)
 
 
 def moving(
     df: DataFrame,
     by: Sequence[str],
     order: Order,
-    bands: Bands,
     rows: tuple[int, int],
     aggs: Mapping[str, Column],
     *,
     hot_rows: int = HOT_ROWS,
-    chunk_rows: int = 100_000,
 ) -> DataFrame:
     """Aggregates over ROWS BETWEEN ``rows[0]`` AND ``rows[1]`` around the current row.
 
-    ``order`` must be total (end in a unique column).
+    ``order`` must be total (end in a unique column). Frames reach a few rows: that many rows of each
+    range meet in one task.
     """
-    ordinary, hot = split_hot(df, by, hot_rows)
-    return plain_moving(ordinary, by, order, rows, aggs).unionByName(
-        chunked_moving(hot, by, order, bands, rows, aggs, chunk_rows)
-    )
+    way = ranged_moving if has_hot_key(df, by, hot_rows) else plain_moving
+    return way(df, by, order, rows, aggs)
 
 
 def shifted(
     df: DataFrame,
     by: Sequence[str],
     order: Order,
-    bands: Bands,
     columns: Mapping[str, str],
     offset: int,
     **options,
 ) -> DataFrame:
     """Values ``offset`` rows away: -1 is the previous row (lag), 1 the next (lead)."""
     aggs = {new: F.first(col) for new, col in columns.items()}
-    return moving(df, by, order, bands, (offset, offset), aggs, **options)
+    return moving(df, by, order, (offset, offset), aggs, **options)
 
 
 def moving_months(

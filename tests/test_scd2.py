@@ -91,6 +91,7 @@ def test_repeated_keys_are_refused(spark, first):
 
 @pytest.mark.parametrize("hot_rows", [1_000_000, 3])
 def test_one_pass_equals_step_by_step(spark, hot_rows):
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", str(hot_rows > 3))  # a range per partition
     rng = random.Random(11)
     names, ages = ["a", "b", None], [1, 2, None]
     log = [
@@ -110,6 +111,25 @@ def test_one_pass_equals_step_by_step(spark, hot_rows):
     assert broken == dict.fromkeys(
         ["active_with_end_date", "closed_without_end_date", "several_active", "overlapping"], 0
     )
+    spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+
+
+def test_a_hot_user_is_cut_into_ranges(spark):
+    """One user with most of the log, repeated values and a version that starts ranges later."""
+    rng = random.Random(12)
+    log = [(1, "a" if d < 150 else rng.choice("ab"), 1, f"2024-01-01 00:{d // 60:02d}:{d % 60:02d}") for d in range(240)]
+    log += [(i, rng.choice("ab"), None, day(d)) for i in range(2, 20) for d in range(1, 5)]
+    frame = snap(spark, *log).repartition(3)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        cut = scd2.scd2_from_log(frame, *ARGS, hot_rows=50)
+        assert "__part" in cut._jdf.queryExecution().analyzed().toString()
+        plain = scd2.scd2_from_log(frame, *ARGS)
+        rows = lambda df: sorted(map(tuple, df.collect()), key=repr)
+        assert rows(cut) == rows(plain)
+        assert rows(scd2.scd2_violations(cut, "id", hot_rows=50)) == rows(scd2.scd2_violations(plain, "id"))
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
 
 
 def test_violations_are_found(spark):

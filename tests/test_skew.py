@@ -7,7 +7,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from sparrowmill.operators import joins, sets, skew, windows
+from sparrowmill.operators import joins, ranges, sets, skew, windows
 
 HOT = 50
 
@@ -29,19 +29,42 @@ def skewed(spark):
     return df.repartition(6)
 
 
-def test_split_is_a_partition_of_the_rows(skewed):
-    ordinary, hot = skew.split_hot(skewed, ["k"], HOT)
-    assert rows_of(ordinary.unionByName(hot), "id") == rows_of(skewed, "id")
-    assert {r.k for r in hot.select("k").distinct().collect()} == {1, None}
+@pytest.fixture
+def many_ranges(spark):
+    """Every shuffle partition is a range of its own, however few rows it has."""
+    name = "spark.sql.adaptive.coalescePartitions.enabled"
+    spark.conf.set(name, "false")
+    yield
+    spark.conf.unset(name)
+
+
+def test_hot_keys_are_seen(skewed):
+    assert {r[0] for r in skew.hot_keys(skewed, ["k"], HOT).collect()} == {1, None}
+    assert skew.has_hot_key(skewed, ["k"], HOT) and not skew.has_hot_key(skewed, ["k"], 900)
+    assert not skew.has_hot_key(skewed.filter("k > 1"), ["k"], HOT)
+
+
+def test_ranges_and_their_guests(skewed, many_ranges):
+    cut = ranges.sorted_ranges(skewed, [F.col("k").asc(), F.col("id").asc()])
+    rows = sorted(cut.collect(), key=lambda r: (r["__part"], r["__index"]))
+    assert [r["id"] for r in rows] == [r["id"] for r in skewed.orderBy("k", "id").collect()]
+    assert ranges.range_count(cut) == rows[-1]["__part"] + 1 > 4
+    for back, ahead in ((1, 0), (0, 2), (3, 3), (400, 1)):  # further than a range is long
+        met = ranges.with_guests(cut, back, ahead).collect()
+        for part in {r["__part"] for r in rows}:
+            here = [i for i, r in enumerate(rows) if r["__part"] == part]
+            want = {*range(max(0, here[0] - back), here[0]), *range(here[-1] + 1, here[-1] + ahead + 1)}
+            guests = {r["id"] for r in met if r["__part"] == part and r["__guest"]}
+            assert guests == {rows[i]["id"] for i in want if i < len(rows)}
+        assert sum(not r["__guest"] for r in met) == len(rows)
 
 
 @pytest.mark.parametrize("way", ["asc", "desc"])
-def test_rankings_and_running_sums(skewed, way):
+def test_rankings_and_running_sums(skewed, many_ranges, way):
     total = [("v", way), ("id", "asc")]
     split = windows.ranked_and_running(
-        skewed, ["k"], [("v", way)], [(F.floor(F.col("v") / 7), way)],
-        sums={"run": "x"}, rank="r", dense_rank="d",
-        row_number=("n", total, [(F.floor(F.col("v") / 7), way)]), hot_rows=HOT,
+        skewed, ["k"], [("v", way)], sums={"run": "x"}, rank="r", dense_rank="d",
+        row_number=("n", total), hot_rows=HOT,
     )
     order = F.col("v").asc() if way == "asc" else F.col("v").desc()
     w = Window.partitionBy("k").orderBy(order)
@@ -56,28 +79,37 @@ def test_rankings_and_running_sums(skewed, way):
     assert split.schema["r"].dataType == T.LongType()  # a hot key may have more rows than an int
 
 
-@pytest.mark.parametrize("frame", [(-1, 0), (-1, 1), (-3, 2), (1, 1), (-1, -1), (0, 0)])
-def test_row_frames(skewed, frame):
+@pytest.mark.parametrize("values", [1, 2, 5])
+def test_ties_that_fill_whole_ranges(spark, many_ranges, values):
+    """One key and few values: ties start, go on through and end in ranges of other keys' rows."""
+    rows = [(i // 400, i * 7 % 400 // (400 // values + 1), i % 5 or None, i) for i in range(1200)]
+    df = spark.createDataFrame(rows, "k int, v int, x int, id int").repartition(5)
+    split = windows.ranked_and_running(
+        df, ["k"], [("v", "desc")], sums={"run": "x"}, rank="r", dense_rank="d", hot_rows=100
+    )
+    w = Window.partitionBy("k").orderBy(F.desc("v"))
+    plain = df.withColumns({"run": F.sum("x").over(w), "r": F.rank().over(w), "d": F.dense_rank().over(w)})
+    assert rows_of(split, "id", "run", "r", "d") == rows_of(plain, "id", "run", "r", "d")
+    numbered = windows.ranked_and_running(
+        df, ["k"], [("v", "desc")], rank="r", dense_rank="d", hot_rows=100,
+        row_number=("n", [("v", "desc"), ("id", "asc")]),
+    )
+    plain = plain.withColumn("n", F.row_number().over(Window.partitionBy("k").orderBy(F.desc("v"), "id")))
+    assert rows_of(numbered, "id", "r", "d", "n") == rows_of(plain, "id", "r", "d", "n")
+    with pytest.raises(ValueError):
+        windows.ranked_and_running(df, ["k"], [("v", "desc")], row_number=("n", [("id", "asc")]))
+
+
+@pytest.mark.parametrize("frame", [(-1, 0), (-1, 1), (-3, 2), (1, 1), (-1, -1), (0, 0), (-200, 0)])
+def test_row_frames(skewed, many_ranges, frame):
     aggs = {"s": F.sum("x"), "f": F.first("id"), "c": F.count("x")}
     order = [("v", "asc"), ("id", "asc")]
-    split = windows.moving(
-        skewed, ["k"], order, [(F.floor(F.col("v") / 5), "asc")], frame, aggs,
-        hot_rows=HOT, chunk_rows=7,
-    )
+    split = windows.moving(skewed, ["k"], order, frame, aggs, hot_rows=HOT)
     w = Window.partitionBy("k").orderBy("v", "id").rowsBetween(*frame)
     plain = skewed.withColumns({n: a.over(w) for n, a in aggs.items()})
     assert rows_of(split, "id", "s", "f", "c") == rows_of(plain, "id", "s", "f", "c")
 
 
-def test_frame_longer_than_a_chunk(skewed):
-    """Chunks grow to the frame's reach."""
-    split = windows.moving(
-        skewed, ["k"], [("id", "asc")], [], (-9, 0), {"s": F.sum("x")}, hot_rows=HOT, chunk_rows=5
-    )
-    w = Window.partitionBy("k").orderBy("id").rowsBetween(-9, 0)
-    assert rows_of(split, "id", "s") == rows_of(skewed.withColumn("s", F.sum("x").over(w)), "id", "s")
-
-
 def test_cumulative_without_a_key(spark):
     df = spark.range(1, 101).withColumn("one", F.lit(1))
     got = windows.cumulative(df, [], [("id", "desc")], [(F.floor(F.col("id") / 9), "desc")], {"c": "one"})
