@@ -9,6 +9,7 @@ from sparrowmill.catalog.sql import CHARGE, DISC, PRICE, dbl, iso, money as sql_
 from sparrowmill.functions.columns import in_year
 from sparrowmill.functions.exact import charged, discounted, mean, money, scaled
 from sparrowmill.operators.aggregates import grouping_sets, pivot_table
+from sparrowmill.operators.percentiles import percentile
 from sparrowmill.registry import query
 
 _TABLES = ("customer", "lineitem", "nation", "orders", "part", "region", "supplier")
@@ -198,10 +199,8 @@ def having_above_mean(t):
     SELECT {iso('CAST(o_orderdate AS DATE)')} AS day, quantile_disc(o_totalprice, 0.5) AS median
     FROM orders GROUP BY 1""")
 def approximate_median(t):
-    # The estimate is exact while a group has fewer rows than the accuracy.
-    return t.orders.groupBy(F.to_date("o_orderdate").alias("day")).agg(
-        F.percentile_approx("o_totalprice", 0.5, 10_000).alias("median")
-    )
+    daily = t.orders.select(F.to_date("o_orderdate").alias("day"), "o_totalprice")
+    return percentile(daily, ["day"], "o_totalprice", 0.5, "median")
 
 
 @query("count_distribution", "A19", """

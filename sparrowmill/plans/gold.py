@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sparrowmill.functions.exact import mean
+from sparrowmill.operators.percentiles import percentile
 from sparrowmill.operators.skew import apart
 from sparrowmill.plans.bronze import STAMP
 
@@ -77,23 +78,19 @@ def daily_order_metrics(wide_orders: DataFrame) -> DataFrame:
 
 
 def daily_category_metrics(wide_order_items: DataFrame) -> DataFrame:
-    """Mean and approximate median price per day and category, active sellers only.
+    """Mean and median price per day and category, active sellers only.
 
     Items without a category drop out, as explode drops empty arrays.
     """
-    return (
-        wide_order_items.filter("is_active")
-        .select(
-            F.to_date("created_ts").alias("order_date"),
-            "actual_price",
-            F.explode("categories").alias("category"),
-        )
-        .groupBy("order_date", "category")
-        .agg(
-            mean(F.col("actual_price")).alias("mean_actual_price"),
-            F.percentile_approx("actual_price", 0.5).alias("median_actual_price"),
-        )
+    items = wide_order_items.filter("is_active").select(
+        F.to_date("created_ts").alias("order_date"),
+        F.explode("categories").alias("category"),
+        "actual_price",
     )
+    return percentile(
+        items, ["order_date", "category"], "actual_price", 0.5, "median_actual_price",
+        mean="mean_actual_price",
+    ).select("order_date", "category", "mean_actual_price", "median_actual_price")
 
 
 def daily_order_report(metrics: DataFrame, view: str = "daily_order_report") -> DataFrame:

@@ -15,7 +15,7 @@ DEFAULTS = {
     # Split a skewed join partition even where that costs one more shuffle afterwards.
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.cbo.enabled": "true",
-    # Percentiles and collected lists keep hashing up to so many groups a task, instead of 128.
+    # Collected lists, a few entries each, keep hashing up to so many groups a task, instead of 128.
     "spark.sql.objectHashAggregate.sortBased.fallbackThreshold": "65536",
     "spark.ui.enabled": "false",
 }
