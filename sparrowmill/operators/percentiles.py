@@ -7,10 +7,18 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from sparrowmill.operators.skew import apart, same
+from sparrowmill.operators.skew import HOT_ROWS, apart, has_hot_key, same
 
 # A doubling of the value is cut into so many first bands, and a first band into so many second ones.
 FIRST, SECOND = 32, 1024
+# Input files up to so many bytes hold no group that one task could not sort, spilling.
+SORTED_BYTES = 1 << 30
+
+
+def input_bytes(df: DataFrame) -> int:
+    """Bytes of the tables that ``df`` is made from, as far as the file listing tells; no job."""
+    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
+    return sum(int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size()))
 
 
 def _renamed(df: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -29,12 +37,38 @@ def _reaching(counts: DataFrame, by: Sequence[str], order: str, need: Column) ->
 
 def percentile(
     df: DataFrame, by: Sequence[str], value: str, fraction: float = 0.5, name: str = "median",
-    mean: str | None = None,
+    mean: str | None = None, hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """Per group the least value that at least ``fraction`` of the group's non-null values do not exceed.
 
-    Returns ``by``, ``name`` and, where ``mean`` names it, the mean of the values, read off the same
-    counts (exact sums for decimals). Groups without values have nulls; null keys are keys.
+    Returns ``by``, ``name`` and, where ``mean`` names it, the mean of the values (exact sums for
+    decimals). Groups without values have nulls; null keys are keys.
+
+    Where no group can be large, because the input is not or because no group has more than ``hot_rows``
+    rows, each group is sorted in one task, which spills; otherwise ``selected_percentile`` is taken.
+    """
+    if input_bytes(df) <= SORTED_BYTES or not has_hot_key(df, by, hot_rows):
+        return sorted_percentile(df, by, value, fraction, name, mean)
+    return selected_percentile(df, by, value, fraction, name, mean)
+
+
+def sorted_percentile(
+    df: DataFrame, by: Sequence[str], value: str, fraction: float, name: str, mean: str | None = None
+) -> DataFrame:
+    """``percentile`` by numbering each group's values: one shuffle and one sort."""
+    along = Window.partitionBy(*by).orderBy(F.col(value).asc_nulls_last())
+    whole = along.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    held = F.count(value).over(whole)
+    means = {mean: F.when(held > 0, F.sum(value).over(whole).cast("double") / held)} if mean else {}
+    middle = F.greatest(F.ceil(held * F.lit(fraction)), F.lit(1))
+    numbered = df.select(*by, value).withColumns({"nth": F.row_number().over(along), "middle": middle, **means})
+    return numbered.where("nth = middle").select(*by, F.col(value).alias(name), *means)
+
+
+def selected_percentile(
+    df: DataFrame, by: Sequence[str], value: str, fraction: float, name: str, mean: str | None = None
+) -> DataFrame:
+    """``percentile`` by distributed selection, for groups of any size.
 
     Rows are first counted per group and value, combined map-side. Histograms over bands that grow with
     the value then tell in which band each group's percentile lies, first in bands of equal ratio, then

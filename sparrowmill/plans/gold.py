@@ -87,10 +87,11 @@ def daily_category_metrics(wide_order_items: DataFrame) -> DataFrame:
         F.explode("categories").alias("category"),
         "actual_price",
     )
-    return percentile(
+    found = percentile(
         items, ["order_date", "category"], "actual_price", 0.5, "median_actual_price",
         mean="mean_actual_price",
-    ).select("order_date", "category", "mean_actual_price", "median_actual_price")
+    )
+    return found.select("order_date", "category", "mean_actual_price", "median_actual_price")
 
 
 def daily_order_report(metrics: DataFrame, view: str = "daily_order_report") -> DataFrame:
