@@ -37,23 +37,25 @@ def _reaching(counts: DataFrame, by: Sequence[str], order: str, need: Column) ->
 
 def percentile(
     df: DataFrame, by: Sequence[str], value: str, fraction: float = 0.5, name: str = "median",
-    mean: str | None = None, hot_rows: int = HOT_ROWS,
+    mean: str | None = None, carried: Sequence[str] = (), hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """Per group the least value that at least ``fraction`` of the group's non-null values do not exceed.
 
     Returns ``by``, ``name`` and, where ``mean`` names it, the mean of the values (exact sums for
-    decimals). Groups without values have nulls; null keys are keys.
+    decimals). Groups without values have nulls; null keys are keys. ``carried`` columns, which ``by``
+    determines, come along without being compared.
 
     Where no group can be large, because the input is not or because no group has more than ``hot_rows``
     rows, each group is sorted in one task, which spills; otherwise ``selected_percentile`` is taken.
     """
     if input_bytes(df) <= SORTED_BYTES or not has_hot_key(df, by, hot_rows):
-        return sorted_percentile(df, by, value, fraction, name, mean)
-    return selected_percentile(df, by, value, fraction, name, mean)
+        return sorted_percentile(df, by, value, fraction, name, mean, carried)
+    return selected_percentile(df, by, value, fraction, name, mean, carried)
 
 
 def sorted_percentile(
-    df: DataFrame, by: Sequence[str], value: str, fraction: float, name: str, mean: str | None = None
+    df: DataFrame, by: Sequence[str], value: str, fraction: float, name: str, mean: str | None = None,
+    carried: Sequence[str] = (),
 ) -> DataFrame:
     """``percentile`` by numbering each group's values: one shuffle and one sort."""
     along = Window.partitionBy(*by).orderBy(F.col(value).asc_nulls_last())
@@ -61,12 +63,15 @@ def sorted_percentile(
     held = F.count(value).over(whole)
     means = {mean: F.when(held > 0, F.sum(value).over(whole).cast("double") / held)} if mean else {}
     middle = F.greatest(F.ceil(held * F.lit(fraction)), F.lit(1))
-    numbered = df.select(*by, value).withColumns({"nth": F.row_number().over(along), "middle": middle, **means})
-    return numbered.where("nth = middle").select(*by, F.col(value).alias(name), *means)
+    numbered = df.select(*by, *carried, value).withColumns(
+        {"nth": F.row_number().over(along), "middle": middle, **means}
+    )
+    return numbered.where("nth = middle").select(*by, *carried, F.col(value).alias(name), *means)
 
 
 def selected_percentile(
-    df: DataFrame, by: Sequence[str], value: str, fraction: float, name: str, mean: str | None = None
+    df: DataFrame, by: Sequence[str], value: str, fraction: float, name: str, mean: str | None = None,
+    carried: Sequence[str] = (),
 ) -> DataFrame:
     """``percentile`` by distributed selection, for groups of any size.
 
@@ -77,7 +82,7 @@ def selected_percentile(
     very many values needs memory for it.
     """
     by = list(by)
-    counted = df.groupBy(*by, F.col(value).alias("value")).agg(F.count(value).alias("n"))
+    counted = df.groupBy(*by, *carried, F.col(value).alias("value")).agg(F.count(value).alias("n"))
     number = F.col("value").cast("double")
     counted = counted.withColumn("band", F.signum(number) * F.floor(F.log2(F.abs(number) + 1) * FIRST))
     total = [F.sum(F.col("value") * F.col("n")).alias("sum")] if mean else []
@@ -100,7 +105,7 @@ def selected_percentile(
     inside = counted.join(apart(found), same(counted, found, [*by, "band"], "p_"))
     width = (F.col("high") - F.col("low")) / F.lit(SECOND)
     slot = F.when(width > 0, F.floor((number - F.col("low")) / width)).otherwise(0).cast("long")
-    inside = inside.select(*by, slot.alias("slot"), "value", "n", "rest", *means)
+    inside = inside.select(*by, *carried, slot.alias("slot"), "value", "n", "rest", *means)
 
     slots = inside.groupBy(*by, "slot").agg(F.sum("n").alias("n"), F.max("rest").alias("rest"))
     found = _reaching(slots, by, "slot", F.col("rest"))
@@ -108,5 +113,5 @@ def selected_percentile(
         found.select(*by, "slot", (F.col("need") - F.col("before")).alias("left")), [*by, "slot"]
     )
     last = inside.join(apart(found), same(inside, found, [*by, "slot"], "p_"))
-    last = _reaching(last.select(*by, "value", "n", "left", *means), by, "value", F.col("left"))
-    return last.select(*by, F.col("value").alias(name), *means)
+    last = _reaching(last.select(*by, *carried, "value", "n", "left", *means), by, "value", F.col("left"))
+    return last.select(*by, *carried, F.col("value").alias(name), *means)

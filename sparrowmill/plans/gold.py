@@ -87,9 +87,10 @@ def daily_category_metrics(wide_order_items: DataFrame) -> DataFrame:
         F.explode("categories").alias("category"),
         "actual_price",
     )
+    # Groups are told apart by the id; the name comes along.
     found = percentile(
-        items, ["order_date", "category"], "actual_price", 0.5, "median_actual_price",
-        mean="mean_actual_price",
+        items.withColumn("category_id", F.col("category.category_id")), ["order_date", "category_id"],
+        "actual_price", 0.5, "median_actual_price", "mean_actual_price", carried=["category"],
     )
     return found.select("order_date", "category", "mean_actual_price", "median_actual_price")
 
