@@ -174,7 +174,7 @@ def dml_table_cycle(t):
     seen.append((2, table.read().count()))
     table.insert_select(t.part.select("p_partkey", "p_name"))
     seen.append((3, table.read().count()))
-    table.drop()
+    table.drop(purge=True)
     return t.spark.createDataFrame(seen, "step long, table_rows long")
 
 

@@ -8,9 +8,18 @@ from pyspark.sql import functions as F
 
 from sparrowmill.catalog.sql import dbl, iso, with_ctes
 from sparrowmill.operators import dml, layout
+from sparrowmill.operators import plan_report as plans
+from sparrowmill.operators.joins import join_with_strategy
 from sparrowmill.operators.stats import profile
 from sparrowmill.registry import query
-from sparrowmill.sources.files import read_csv, read_delimited, shared_folder, write_csv
+from sparrowmill.sources.files import (
+    read_csv,
+    read_delimited,
+    shared_folder,
+    text_format,
+    write_csv,
+    write_parquet,
+)
 
 
 @query("partition_pruned_read", "L01 F14 F18", """
@@ -36,7 +45,11 @@ def _by_quantity(t, sort):
         ["l_quantity"],
         sort=sort,
     )
-    return table.read(t.spark).groupBy("l_quantity").agg(F.count(F.lit(1)).alias("cnt"))
+    # The counts, a row per quantity, outlive the table.
+    path = shared_folder(t.spark)
+    write_parquet(table.read(t.spark).groupBy("l_quantity").agg(F.count(F.lit(1)).alias("cnt")), path)
+    table.drop(t.spark)
+    return t.spark.read.parquet(path)
 
 
 _QUANTITY_SQL = "SELECT l_quantity, COUNT(*) AS cnt FROM lineitem GROUP BY l_quantity"
@@ -67,25 +80,43 @@ def suppkey_qty(t):
 def csv_table_insert(t):
     """The supplier sum over a typed CSV table that INSERT ... SELECT fills from the Parquet one."""
     name, path = f"lineitem_csv_{uuid.uuid4().hex}", shared_folder(t.spark)
-    schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in t.lineitem.schema.fields)
-    table = dml.CatalogTable(t.spark, name, schema, path, using="csv")
+    table = dml.CatalogTable(t.spark, name, t.lineitem.schema, path, using="csv")
     table.insert_select(t.lineitem)
-    table.drop()  # its files stay
-    return read_csv(t.spark, path, schema).groupBy("l_suppkey").agg(F.sum("l_quantity").alias("quantity"))
+    return t.spark.sql(f"SELECT l_suppkey, SUM(l_quantity) AS quantity FROM `{name}` GROUP BY l_suppkey")
+
+
+def hard_texts(t):
+    """Orders with a text column that needs care: quotes, spaces, empty, line breaks, a backslash, null."""
+    kind = F.col("o_orderkey") % 6
+    hard = F.when(kind == 0, 'say "hi"|x').when(kind == 1, " pad ").when(kind == 2, "")
+    hard = hard.when(kind == 3, "two\nlines").when(kind == 4, "back\\n").otherwise(F.lit(None))
+    return t.orders_x.drop("o_buyerkey").withColumn("o_comment", hard)
+
+
+_HARD_SQL = """CASE o_orderkey % 6 WHEN 0 THEN 'say "hi"|x' WHEN 1 THEN ' pad ' WHEN 2 THEN ''
+        WHEN 3 THEN 'two' || chr(10) || 'lines' WHEN 4 THEN 'back' || chr(92) || 'n' END"""
+
+
+@query("text_table_select", "S07", with_ctes("orders_x", f"""
+    SELECT o_comment IS NULL AS no_text, o_comment, length(o_comment) AS chars, COUNT(*) AS orders,
+      SUM(o_orderkey) AS keys FROM (SELECT o_orderkey, {_HARD_SQL} AS o_comment FROM orders_x) GROUP BY ALL"""))
+def text_table_select(t):
+    """SELECT through a typed text table, whose options give back the hard texts that INSERT wrote."""
+    name, rows = f"orders_text_{uuid.uuid4().hex}", hard_texts(t)
+    table = dml.CatalogTable(
+        t.spark, name, rows.schema, shared_folder(t.spark), using="csv", options=text_format("|", line_breaks=True)
+    )
+    table.insert_select(rows)
+    return t.spark.sql(f"""SELECT o_comment IS NULL AS no_text, o_comment, length(o_comment) AS chars,
+        COUNT(*) AS orders, SUM(o_orderkey) AS keys FROM `{name}` GROUP BY ALL""")
 
 
 @query("delimited_table", "S06", with_ctes("orders_x", f"""
     SELECT * EXCLUDE (o_buyerkey) REPLACE ({iso('o_orderdate')} AS o_orderdate,
-      CASE o_orderkey % 6 WHEN 0 THEN 'say "hi"|x' WHEN 1 THEN ' pad ' WHEN 2 THEN ''
-        WHEN 3 THEN 'two' || chr(10) || 'lines' WHEN 4 THEN 'back' || chr(92) || 'n' END
-        AS o_comment) FROM orders_x"""))
+      {_HARD_SQL} AS o_comment) FROM orders_x"""))
 def delimited_table(t):
     """Orders as separated text, with a text column that needs care, read back into a typed table."""
-    path = shared_folder(t.spark)
-    kind = F.col("o_orderkey") % 6
-    hard = F.when(kind == 0, 'say "hi"|x').when(kind == 1, " pad ").when(kind == 2, "")
-    hard = hard.when(kind == 3, "two\nlines").when(kind == 4, "back\\n").otherwise(F.lit(None))
-    rows = t.orders_x.drop("o_buyerkey").withColumn("o_comment", hard)
+    path, rows = shared_folder(t.spark), hard_texts(t)
     write_csv(rows, path, sep="|", escape_breaks=True)
     stored = read_delimited(t.spark, path, rows.schema, escaped_breaks=True)
     return stored.withColumn("o_orderdate", F.to_date("o_orderdate"))
@@ -114,7 +145,7 @@ def sized_write(t):
     return files.agg(F.sum("n").alias("rows"), (F.max("n") <= most).alias("within_size"))
 
 
-_PROFILED = ("o_orderkey", "o_custkey", "o_orderstatus", "o_orderdate", "o_orderpriority")
+_PROFILED = ("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority")
 
 
 @query("table_profile", "L07", " UNION ALL ".join(f"""
@@ -124,7 +155,7 @@ _PROFILED = ("o_orderkey", "o_custkey", "o_orderstatus", "o_orderdate", "o_order
       CAST(MAX(length(CAST({c} AS VARCHAR))) AS INTEGER) AS max_length, COUNT(DISTINCT {c}) AS distinct_values
     FROM orders""" for c in _PROFILED))
 def table_profile(t):
-    return profile(t.orders, _PROFILED, exact_distinct=True)
+    return profile(t.orders, exact_distinct=True)
 
 
 _LISTED = ("customer", "lineitem", "nation", "orders", "part", "region", "supplier")
@@ -158,3 +189,31 @@ def catalog_columns(t):
 def filter_after_agg(t):
     counts = t.lineitem.groupBy("l_linestatus").agg(F.count(F.lit(1)).alias("cnt"))
     return counts.filter(F.col("l_linestatus") != "O")
+
+
+@query("plan_report", "L09", """
+    SELECT 'pushed filter' AS query, 'lineitem' AS "table", 1 AS scans, 0 AS joins, 0 AS exchanges,
+      TRUE AS pushed, 2 AS columns, COUNT(*) AS rows_kept FROM lineitem WHERE l_quantity < 3
+    UNION ALL SELECT 'group', 'lineitem', 1, 0, 1, FALSE, 2, COUNT(DISTINCT l_suppkey) FROM lineitem
+    UNION ALL SELECT 'broadcast join', 'nation', 2, 1, 1, FALSE, 2, COUNT(*) FROM nation""")
+def plan_report(t):
+    """What three queries really ran: scans, joins, exchanges, the first scan and the rows put out."""
+    few = t.lineitem.where("l_quantity < 3").select("l_orderkey")
+    sums = t.lineitem.groupBy("l_suppkey").agg(F.sum("l_quantity").alias("quantity"))
+    named = join_with_strategy(
+        t.nation.select("n_name", "n_regionkey"), t.region.select("r_regionkey", "r_name"),
+        F.col("n_regionkey") == F.col("r_regionkey"), strategy="broadcast",
+    )
+    report = plans.plan_report(t.spark, {"pushed filter": few, "group": sums, "broadcast join": named})
+    scan = F.col("operator").contains("Scan")
+    join = F.col("operator").endswith("Join")
+    exchange = F.col("operator").isin("ShuffleExchange", "BroadcastExchange")
+    first = F.min_by(F.struct("table", "columns", "pushed"), F.when(scan, F.col("step")))
+    put_out = F.min_by("rows", F.when(F.col("rows") >= 0, F.col("step")))
+    return report.groupBy("query").agg(
+        F.count_if(scan).cast("int").alias("scans"), F.count_if(join).cast("int").alias("joins"),
+        F.count_if(exchange).cast("int").alias("exchanges"), first.alias("first"), put_out.alias("rows_kept"),
+    ).select(
+        "query", "first.table", "scans", "joins", "exchanges", "first.columns",
+        F.col("first.pushed").contains("LessThan").alias("pushed"), "rows_kept",
+    )

@@ -7,23 +7,33 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from sparrowmill.operators.joins import anti
 from sparrowmill.operators.skew import apart, assert_unique
+from sparrowmill.sources.files import delete_folder, text_format, without_mark
 
 
 class CatalogTable:
     """A table of the session's catalog over files of its own: create, insert, delete all, drop.
 
-    The files are Parquet, or separated text with ``using="csv"``, under ``path``; dropping the table
-    removes it from the catalog and leaves the files.
+    The files are Parquet, or separated text with ``using="csv"``, under ``path``. ``options`` of the
+    format are kept with the table and hold for every INSERT and SELECT; those of a text table are
+    ``files.text_format`` unless given. Dropping the table removes it from the catalog and leaves the
+    files, unless ``purge`` is asked for.
     """
 
-    def __init__(self, spark: SparkSession, name: str, schema: str, path: str, using: str = "parquet"):
+    def __init__(
+        self, spark: SparkSession, name: str, schema: T.StructType | str, path: str, using: str = "parquet",
+        options: Mapping[str, str] | None = None,
+    ):
         if using not in ("parquet", "csv"):
             raise ValueError("using must be parquet or csv")
-        self.spark, self.name = spark, name
-        spark.sql(f"CREATE TABLE `{name}` ({schema}) USING {using} LOCATION '{path}'")
+        self.spark, self.name, self.path, self.using = spark, name, path, using
+        if options is None:
+            options = text_format() if using == "csv" else {}
+        typed = spark.createDataFrame([], schema).schema
+        spark.catalog.createTable(name, path=path, source=using, schema=typed, **options)
 
     def insert_values(self, *rows: Sequence[object]) -> None:
         """INSERT INTO ... VALUES; values travel as parameters."""
@@ -33,7 +43,7 @@ class CatalogTable:
     def insert_select(self, rows: DataFrame) -> None:
         """INSERT INTO ... SELECT; columns match by position and take the table's types."""
         typed = insert_into(self.read().limit(0), rows)
-        typed.write.insertInto(self.name)
+        (without_mark(typed) if self.using == "csv" else typed).write.insertInto(self.name)
 
     def delete_all(self) -> None:
         """DELETE without a condition, which plain files offer as INSERT OVERWRITE of no rows."""
@@ -43,8 +53,10 @@ class CatalogTable:
     def read(self) -> DataFrame:
         return self.spark.table(self.name)
 
-    def drop(self) -> None:
+    def drop(self, purge: bool = False) -> None:
         self.spark.sql(f"DROP TABLE IF EXISTS `{self.name}`")
+        if purge:
+            delete_folder(self.spark, self.path)
 
 
 def insert_into(target: DataFrame, rows: DataFrame) -> DataFrame:

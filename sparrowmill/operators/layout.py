@@ -9,8 +9,10 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sparrowmill.operators.joins import estimated_bytes
+from sparrowmill.sources.files import delete_folder
 
 FILE_ROWS = 20_000_000
+LEAST_BUCKETS = 8
 
 
 def write_partitioned(
@@ -49,28 +51,50 @@ def write_sorted(
     ranged.sortWithinPartitions(*ordered).write.mode(mode).parquet(path)
 
 
+SLICE = "bucket_slice"
+
+
 @dataclass(frozen=True)
 class Bucketed:
-    """A bucketed table and whether its buckets came out even enough to scan one per task."""
+    """A bucketed table, and whether its buckets came out even enough to scan one per task.
+
+    With ``slices`` above one the keys alone are too few for the data: buckets are then cut by the key
+    and the column ``bucket_slice``, so a key's rows lie in several buckets.
+    """
 
     table: str
     path: str
     even: bool
+    buckets: int
+    slices: int = 1
 
     def read(self, spark: SparkSession) -> DataFrame:
-        """Through the catalog: equal keys share a bucket and need no shuffle."""
-        return spark.table(self.table)
+        """Through the catalog. Equal keys share a bucket and need no shuffle; in a sliced table equal
+        (key, slice) do, and a grouping by key merges one row per key and slice."""
+        return spark.table(self.table).drop(SLICE)
 
     def read_files(self, spark: SparkSession) -> DataFrame:
         """As plain files, split by size. A bucket is scanned by one task, so this is the better
         read of a table with a hot bucket (``even`` is false)."""
-        return spark.read.parquet(self.path)
+        return spark.read.parquet(self.path).drop(SLICE)
 
+    def drop(self, spark: SparkSession) -> None:
+        """Remove the table and its files."""
+        spark.sql(f"DROP TABLE IF EXISTS `{self.table}`")
+        delete_folder(spark, self.path)
 
-def buckets_for(df: DataFrame, bucket_bytes: int = 512 << 20, least: int = 8) -> int:
+
+def buckets_for(df: DataFrame, bucket_bytes: int = 512 << 20, least: int = LEAST_BUCKETS) -> int:
     return max(least, -(-estimated_bytes(df) // bucket_bytes))
 
 
+def slices_for(df: DataFrame, by: Sequence[str], buckets: int) -> int:
+    """Into how many parts each key's rows must be cut for ``buckets`` buckets to fill: 1 where there are
+    as many keys. The keys are counted by a sketch, in one pass over their columns."""
+    keys = df.agg(F.approx_count_distinct(F.struct(*by))).head()[0]
+    return 1 if keys >= buckets else -(-buckets // max(keys, 1))
+
+
 def write_bucketed(
     df: DataFrame,
     table: str,
@@ -80,23 +104,32 @@ def write_bucketed(
     sort: Sequence[str] = (),
     uneven: float = 4.0,
     mode: str = "overwrite",
+    slices: int = 1,
 ) -> Bucketed:
     """Write a bucketed table (sorted within buckets when ``sort`` is given).
 
-    The bucket count follows the input's size. Rows are rebalanced by bucket first, so a task
-    writes few buckets and a large bucket is written by several tasks. The largest bucket is
-    compared with the mean (one row comes back) to tell callers how evenly the table reads.
+    The bucket count follows the input's size, unless it is given. Where that is more than the least
+    count and there are fewer keys than buckets, a hash of the whole row joins the key (as with
+    ``slices`` above one), so that no bucket must hold all of one key. Rows are rebalanced by bucket first, so a task writes few buckets and a large bucket is
+    written by several tasks. The largest bucket is compared with the mean (one row comes back) to tell
+    callers how evenly the table reads.
     """
     spark = df.sparkSession
-    buckets = buckets or buckets_for(df)
-    bucket = F.pmod(F.hash(*by), F.lit(buckets))
+    if buckets is None:
+        buckets = buckets_for(df)
+        slices = slices_for(df, by, buckets) if buckets > LEAST_BUCKETS else slices
+    keys = list(by)
+    if slices > 1:
+        df = df.withColumn(SLICE, F.pmod(F.xxhash64(*df.columns), F.lit(slices)).cast("int"))
+        keys.append(SLICE)
+    bucket = F.pmod(F.hash(*keys), F.lit(buckets))
     gathered = df.withColumn("__bucket", bucket).hint("rebalance", F.col("__bucket"))
     writer = (
         gathered.drop("__bucket")
         .write.mode(mode)
         .format("parquet")
         .option("path", path)
-        .bucketBy(buckets, *by)
+        .bucketBy(buckets, *keys)
     )
     if sort:
         writer = writer.sortBy(*sort)
@@ -109,7 +142,7 @@ def write_bucketed(
         .first()
     )
     even = not loads["total"] or loads["top"] <= uneven * loads["total"] / buckets
-    return Bucketed(table, path, even)
+    return Bucketed(table, path, even, buckets, slices)
 
 
 def write_sized(df: DataFrame, path: str, rows_per_file: int = FILE_ROWS, mode: str = "overwrite"):

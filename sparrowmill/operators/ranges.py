@@ -8,9 +8,12 @@ it (or behind it) add.
 
 from __future__ import annotations
 
+from bisect import bisect_right
 from collections.abc import Sequence
+from dataclasses import dataclass
+from itertools import accumulate
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sparrowmill.sources.files import shared_folder
@@ -18,11 +21,50 @@ from sparrowmill.sources.files import shared_folder
 PART, INDEX, GUEST = "__part", "__index", "__guest"
 
 
-def sorted_ranges(df: DataFrame, order: Sequence[Column]) -> DataFrame:
-    """``df`` sorted and stored, with each row's range (``__part``) and place in it (``__index``).
+@dataclass(frozen=True)
+class Ranges:
+    """Sorted rows with their range (``__part``) and place in it (``__index``), and the ranges' lengths."""
+
+    rows: DataFrame
+    lengths: tuple[int, ...]
+
+    def dealt(self, rows: DataFrame | None = None) -> DataFrame:
+        """The rows, or ``rows`` with ranges of these, one task per range: windows over (range, key) need
+        no further shuffle."""
+        rows = self.rows if rows is None else rows
+        return rows.repartitionById(max(len(self.lengths), 1), F.col(PART))
+
+    def with_guests(self, back: int, ahead: int) -> DataFrame:
+        """The rows, and in each range as guests the ``back`` rows before its first one and the ``ahead``
+        rows after its last one, whichever ranges they are in. Guests have ``__guest`` set.
+
+        Which rows those are follows from the lengths: ``back`` + ``ahead`` places per range.
+        """
+        starts = list(accumulate(self.lengths, initial=0))
+        wanted = []
+        for host, length in enumerate(self.lengths):
+            if length:
+                first, after = starts[host], starts[host + 1]
+                places = [*range(max(0, first - back), first), *range(after, min(after + ahead, starts[-1]))]
+                wanted += [(host, *self._at(starts, place)) for place in places]
+        listed = self.rows.sparkSession.createDataFrame(wanted, f"__host int, {PART} int, {INDEX} long")
+        guests = self.rows.join(F.broadcast(listed), [PART, INDEX])
+        guests = guests.withColumns({PART: F.col("__host"), GUEST: F.lit(True)})
+        hosts = self.rows.withColumn(GUEST, F.lit(False))
+        return hosts.unionByName(guests.select(*hosts.columns))
+
+    @staticmethod
+    def _at(starts: list[int], place: int) -> tuple[int, int]:
+        """(range, place in it) of a row by its place in the whole order."""
+        part = bisect_right(starts, place) - 1
+        return part, place - starts[part]
+
+
+def sorted_ranges(df: DataFrame, order: Sequence[Column]) -> Ranges:
+    """``df`` sorted over all executors and stored.
 
     The input is read once. It is stored because ranges are cut by a sample: a plan that computed them
-    twice could cut them differently.
+    twice could cut them differently. One small row per range comes back.
     """
     spark = df.sparkSession
     at = F.monotonically_increasing_id()
@@ -31,43 +73,6 @@ def sorted_ranges(df: DataFrame, order: Sequence[Column]) -> DataFrame:
     )
     path = shared_folder(spark)
     cut.write.parquet(path)
-    return spark.read.schema(cut.schema).parquet(path)
-
-
-def by_range(rows: DataFrame, ranges: int) -> DataFrame:
-    """One task per range, so that windows over (range, key) need no further shuffle."""
-    return rows.repartitionById(max(ranges, 1), F.col(PART))
-
-
-def range_count(rows: DataFrame) -> int:
-    """Number of ranges: one value comes back."""
-    last = rows.agg(F.max(PART)).head()[0]
-    return 0 if last is None else last + 1
-
-
-def with_guests(rows: DataFrame, back: int, ahead: int) -> DataFrame:
-    """The rows of sorted ranges, and in each range as guests the ``back`` rows before its first one and
-    the ``ahead`` rows after its last one, whichever ranges they are in. Guests have ``__guest`` set.
-
-    Only (``back`` + ``ahead``) rows per range are looked at for that, in one task.
-    """
-    sizes = rows.groupBy(PART).agg(F.count(F.lit(1)).alias("__rows"))
-    everyone = rows.withColumn(GUEST, F.lit(False))
-    along = Window.orderBy(PART)
-    for reach, before in ((back, True), (ahead, False)):
-        if not reach:
-            continue
-        held = F.least(F.col("__rows"), F.lit(reach))
-        # The edge rows that ranges offer are numbered over all ranges; a range takes those next to it.
-        offered = F.sum(held).over(along)
-        edge = F.col("__edge")
-        window = [edge - reach + 1, edge] if before else [edge + 1, edge + reach]
-        wanted = sizes.withColumn("__edge", offered - held if before else offered).select(
-            F.col(PART).alias("__host"), F.explode(F.sequence(*window)).alias("__nth")
-        )
-        place = F.col("__rows") - F.col(INDEX) if before else F.col(INDEX) + 1
-        ends = rows.join(F.broadcast(sizes), PART).where(place <= reach)
-        numbered = ends.withColumn("__nth", F.row_number().over(Window.orderBy(PART, INDEX)).cast("long"))
-        guests = numbered.join(F.broadcast(wanted), "__nth").withColumns({PART: F.col("__host"), GUEST: F.lit(True)})
-        everyone = everyone.unionByName(guests.select(*everyone.columns))
-    return everyone
+    rows = spark.read.schema(cut.schema).parquet(path)
+    counted = dict(map(tuple, rows.groupBy(PART).agg(F.count(F.lit(1))).collect()))
+    return Ranges(rows, tuple(counted.get(i, 0) for i in range(max(counted, default=-1) + 1)))

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from sparrowmill.operators.ranges import GUEST, PART, by_range, range_count, sorted_ranges, with_guests
+from sparrowmill.operators.ranges import GUEST, PART, sorted_ranges
 from sparrowmill.operators.skew import HOT_ROWS, assert_unique, has_hot_key, occurs_again
 from sparrowmill.operators.windows import shifted
 
@@ -190,7 +190,7 @@ def scd2_from_log(
     frame, by = rows.withColumn(GUEST, F.lit(False)), [key]
     if hot:
         cut = sorted_ranges(rows, [F.col(key).asc(), F.col("start_date").asc()])
-        frame, by = by_range(with_guests(cut, 1, 0), range_count(cut)), [PART, key]
+        frame, by = cut.dealt(cut.with_guests(1, 0)), [PART, key]
     along = Window.partitionBy(*by).orderBy("start_date")
     beside = frame.withColumns(
         {"p_has": F.lag(F.lit(True)).over(along), "p_start": F.lag("start_date").over(along),

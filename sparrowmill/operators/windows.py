@@ -20,7 +20,7 @@ from collections.abc import Callable, Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from sparrowmill.operators.ranges import GUEST, INDEX, PART, by_range, range_count, sorted_ranges, with_guests
+from sparrowmill.operators.ranges import GUEST, INDEX, PART, sorted_ranges
 from sparrowmill.operators.skew import HOT_ROWS, has_hot_key, same
 
 Order = Sequence[tuple[str, str]]
@@ -186,9 +186,8 @@ def ranked_and_running(
     spread = [] if row_number else [F.xxhash64(*[F.col(f"`{c}`") for c in df.columns])]
     cut = sorted_ranges(df, [*[F.col(c).asc() for c in by], *_sorted(total), *spread])
     ties = [*by, *[c for c, _ in order]]
-    ranges = range_count(cut)
     up_to = Window.partitionBy(PART, *by).orderBy(*_sorted(order))
-    rows = by_range(cut, ranges).withColumns({**along([PART, *by]), "__n": F.count(F.lit(1)).over(up_to)})
+    rows = cut.dealt().withColumns({**along([PART, *by]), "__n": F.count(F.lit(1)).over(up_to)})
     rows = rows.withColumns({"__key": F.struct(*by), "__tie": F.struct(*ties)})
     added = [f"__s{i}" for i in range(len(sums))]
     carried = F.broadcast(_carried(rows, added))  # a row per range
@@ -224,7 +223,7 @@ def ranged_moving(
 ) -> DataFrame:
     """The ROWS frame per range and key, each range with the neighbours that its frames reach."""
     cut = sorted_ranges(df, [*[F.col(c).asc() for c in by], *_sorted(order)])
-    met = by_range(with_guests(cut, max(0, -rows[0]), max(0, rows[1])), range_count(cut))
+    met = cut.dealt(cut.with_guests(max(0, -rows[0]), max(0, rows[1])))
     widened = plain_moving(met, [PART, *by], order, rows, aggs)
     return widened.where(~F.col(GUEST)).select(*df.columns, *aggs)
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sparrowmill.functions.exact import charged, money
@@ -56,40 +56,43 @@ def brand_metrics(t: Tables, fanout: bool = False) -> DataFrame:
     # The stock table adds no columns and holds each (part, supplier) pair once.
     pair = {"l_partkey": "ps_partkey", "l_suppkey": "ps_suppkey"}
     lines = semi(t.lineitem, t.partsupp, pair, unique=True).select(
-        "l_orderkey", "l_partkey", charged().alias("charge"), money("l_extendedprice").alias("price")
+        "l_orderkey", "l_partkey", "l_suppkey", charged().alias("charge"), money("l_extendedprice").alias("price")
     )
     brands = t.part.select("p_partkey", "p_brand")
-
-    def per(frame: DataFrame, key: str, count: str, spend: str) -> DataFrame:
-        """Round per (brand, key), then add up per brand."""
-        return (
-            frame.groupBy("p_brand", key)
-            .agg(F.round(F.sum("charge"), 2).alias("c"), F.round(F.sum("price"), 2).alias("p"))
-            .groupBy(F.col("p_brand").alias(f"brand_{key}"))
-            .agg(
-                F.count(key).alias(count),
-                F.sum("c").alias(spend),
-                F.sum("p").alias(f"{spend}_wo_tax_discounts"),
-            )
-        )
-
-    # Summed per pair before it meets the stock table: both sides then hold a pair once.
-    per_pair = t.lineitem.groupBy("l_partkey", "l_suppkey").agg(
-        F.sum(charged()).alias("charge"), F.sum(money("l_extendedprice")).alias("price")
-    )
-    stocked = (F.col("l_partkey") == F.col("ps_partkey")) & (F.col("l_suppkey") == F.col("ps_suppkey"))
-    by_supplier = per_pair.join(t.partsupp, stocked, "left_semi").join(
-        brands, F.col("l_partkey") == F.col("p_partkey")
-    )
-    suppliers = per(by_supplier, "l_suppkey", "num_suppliers", "supplier_total_sold")
-    by_customer = (
+    # Every line counts for its supplier and for its order, so that one sum per brand serves both.
+    sides = F.array(
+        F.struct(F.lit("supplier").alias("side"), F.col("l_suppkey").alias("key")),
+        F.struct(F.lit("order").alias("side"), F.col("l_orderkey").alias("key")),
+    )
+    summed = (
         lines.join(brands, F.col("l_partkey") == F.col("p_partkey"))
-        .groupBy("l_orderkey", "p_brand")
+        .select("p_brand", F.inline(sides), "charge", "price")
+        .groupBy("p_brand", "side", "key")
         .agg(F.sum("charge").alias("charge"), F.sum("price").alias("price"))
-        .join(t.orders.select("o_orderkey", "o_custkey"), F.col("l_orderkey") == F.col("o_orderkey"))
-        .join(t.customer.select("c_custkey"), F.col("o_custkey") == F.col("c_custkey"))
     )
-    customers = per(by_customer, "o_custkey", "num_customers", "cust_total_spend")
+    buyers = t.orders.select("o_orderkey", "o_custkey").join(
+        t.customer.select("c_custkey"), F.col("o_custkey") == F.col("c_custkey"), "left_semi"
+    )
+    of_order = F.col("side") == "order"
+    met = summed.join(buyers, of_order & (F.col("key") == F.col("o_orderkey")), "left").where(
+        ~of_order | F.col("o_custkey").isNotNull()
+    )
+    # Round per (brand, supplier or customer), then add up per brand.
+    rounded = met.groupBy("p_brand", "side", F.coalesce("o_custkey", "key").alias("who")).agg(
+        F.round(F.sum("charge"), 2).alias("charge"), F.round(F.sum("price"), 2).alias("price")
+    )
+
+    def of(side: str, column: str) -> Column:
+        return F.when(F.col("side") == side, F.col(column))
+
+    totals = rounded.groupBy(F.col("p_brand").alias("brand")).agg(
+        F.count(of("order", "who")).alias("num_customers"),
+        F.count(of("supplier", "who")).alias("num_suppliers"),
+        F.sum(of("supplier", "charge")).alias("supplier_total_sold"),
+        F.sum(of("supplier", "price")).alias("supplier_total_sold_wo_tax_discounts"),
+        F.sum(of("order", "charge")).alias("cust_total_spend"),
+        F.sum(of("order", "price")).alias("cust_total_spend_wo_tax_discounts"),
+    )
     parts = t.part.groupBy("p_brand").agg(F.count(F.lit(1)).alias("parts"))
     weight = F.col("parts") if fanout else F.lit(1)
     measures = (
@@ -97,10 +100,9 @@ def brand_metrics(t: Tables, fanout: bool = False) -> DataFrame:
         "supplier_total_sold_wo_tax_discounts", "cust_total_spend",
         "cust_total_spend_wo_tax_discounts",
     )
-    return (
-        parts.join(suppliers, F.col("p_brand") == F.col("brand_l_suppkey"))
-        .join(customers, F.col("p_brand") == F.col("brand_o_custkey"))
-        .select(F.col("p_brand").alias("brand"), *[(F.col(m) * weight).alias(m) for m in measures])
+    both = totals.where("num_customers > 0 AND num_suppliers > 0")
+    return parts.join(both, F.col("p_brand") == F.col("brand")).select(
+        "brand", *[(F.col(m) * weight).alias(m) for m in measures]
     )
 
 

@@ -4,12 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
-from functools import partial
 from graphlib import TopologicalSorter
 
 from pyspark.sql import DataFrame, SparkSession
 
-from sparrowmill.operators.quality import Expectation, enforce
+from sparrowmill.operators.quality import Expectation, Gate, enforce
 from sparrowmill.plans import gold, silver
 from sparrowmill.plans.bronze import BRONZE, STAMP, bronze, stamp
 from sparrowmill.sources.snapshots import read_snapshot, write_checked_snapshot, write_snapshot
@@ -110,7 +109,8 @@ class Pipeline:
     ) -> dict[str, Dataset]:
         """Build, check and, with a ``path``, write each table as this run's snapshot.
 
-        A stored table is computed once: its suite reads the written rows before they are shown.
+        A stored table is computed once: its suite is observed while the rows are written, and what
+        must be unique is counted on the written rows before they are shown.
         Without a path tables are handed on as lazy plans and Catalyst sees through all layers.
         ``sources`` gives the upstream table of a name. A failing suite raises ``InvalidData``.
         """
@@ -132,8 +132,8 @@ class Pipeline:
                 place, columns = f"{path}/{name}", frame.columns
                 rows = frame.drop(STAMP)
                 if suite:
-                    gate = partial(enforce, suite=suite, name=name)
-                    write_checked_snapshot(rows, place, STAMP, run_ts, gate)
+                    gate = Gate(suite, name)
+                    write_checked_snapshot(rows, place, STAMP, run_ts, gate.verdict, watch=gate.watch)
                 else:
                     write_snapshot(rows, place, STAMP, run_ts)
                 stored = read_snapshot(spark, place, STAMP, run_ts).drop(STAMP)

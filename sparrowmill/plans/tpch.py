@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from sparrowmill.functions.columns import in_year
@@ -66,11 +66,10 @@ def q02(
         t.partsupp.join(parts.select("p_partkey", "p_mfgr"), _eq("ps_partkey", "p_partkey"))
         .join(_suppliers(t, region=region), _eq("ps_suppkey", "s_suppkey"))
     )
-    cheapest = offers.groupBy(F.col("p_partkey").alias("m_partkey")).agg(
-        F.min("ps_supplycost").alias("m_cost")
-    )
+    # The filter on the rank also limits each part's rows before they are shuffled.
+    place = F.rank().over(Window.partitionBy("p_partkey").orderBy("ps_supplycost"))
     return (
-        offers.join(apart(cheapest), _eq("p_partkey", "m_partkey") & _eq("ps_supplycost", "m_cost"))
+        offers.withColumn("place", place).where("place = 1")
         .select("s_acctbal", "s_name", F.col("s_nation").alias("n_name"), "p_partkey", "p_mfgr", "s_comment")
         .orderBy(F.desc("s_acctbal"), "n_name", "s_name", "p_partkey")
         .limit(limit)
@@ -241,11 +240,11 @@ def q11(t: Tables, nation: str = "NATION_7", fraction: str = "0.0001") -> DataFr
     value = F.sum(F.col("ps_supplycost") * F.col("ps_availqty"))
     stock = t.partsupp.join(_suppliers(t, nations=[nation]), _eq("ps_suppkey", "s_suppkey"))
     share = F.lit(fraction).cast("decimal(12,10)")
-    total = stock.agg(value.alias("total")).scalar()
+    # The total adds up the parts' values, from the same shuffle.
+    parts = stock.groupBy("ps_partkey").agg(value.alias("value"))
+    total = parts.agg(F.sum("value").alias("total")).scalar()
     return (
-        stock.groupBy("ps_partkey")
-        .agg(value.alias("value"))
-        .filter(F.col("value") > total * share)
+        parts.filter(F.col("value") > total * share)
         .orderBy(F.desc("value"), "ps_partkey")
     )
 

@@ -51,6 +51,26 @@ def read_csv(
     return restored_breaks(rows) if escaped_breaks else rows
 
 
+def text_format(sep: str = ",", line_breaks: bool = False, rows_per_file: int = 1_000_000) -> dict[str, str]:
+    """The options of a text table that reads what was inserted: null by a mark of its own, empty text
+    quoted, quotes doubled, spaces kept.
+
+    With ``line_breaks`` texts may have them; a file is then read by one task, so files are kept short.
+    """
+    spaces = {f"ignore{side}WhiteSpace": "false" for side in ("Leading", "Trailing")}
+    short = {"maxRecordsPerFile": str(rows_per_file)} if line_breaks else {}
+    return {
+        "sep": sep, "quote": '"', "escape": '"', "nullValue": NO_TEXT, "multiLine": str(line_breaks).lower(),
+        "header": "false", **spaces, **short,
+    }
+
+
+def without_mark(df: DataFrame) -> DataFrame:
+    """``df``, failing the job where a text is the mark that stands for null in text files."""
+    refused = F.raise_error(F.lit("a text of one NUL character cannot be told from null in a text file"))
+    return _texts(df, lambda c: F.when(c == NO_TEXT, refused.cast("string")).otherwise(c))
+
+
 def _texts(df: DataFrame, change: Callable[[Column], Column]) -> DataFrame:
     return df.select(*[
         change(F.col(f"`{f.name}`")).alias(f.name) if isinstance(f.dataType, T.StringType) else F.col(f"`{f.name}`")
@@ -79,6 +99,7 @@ def write_csv(
     """Separated text that ``read_csv`` and ``read_delimited`` give back as it was: spaces stay,
     quotes are doubled, empty text is quoted and null is not. ``escape_breaks`` keeps a row in one
     line, so that large files stay splittable."""
+    df = without_mark(df)
     df = escaped_breaks_of(df) if escape_breaks else df
     writer = df.write.mode(mode).option("sep", sep).option("escape", '"').option("emptyValue", '""')
     for side in ("ignoreLeadingWhiteSpace", "ignoreTrailingWhiteSpace"):
@@ -86,6 +107,13 @@ def write_csv(
     writer.csv(path)
 
 
+def delete_folder(spark: SparkSession, path: str) -> bool:
+    """Delete a folder of the cluster's storage and all in it; whether there was one."""
+    location = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    fs = location.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return bool(fs.delete(location, True))
+
+
 def shared_folder(spark: SparkSession) -> str:
     """A new folder under the cluster's shared checkpoint folder.
 

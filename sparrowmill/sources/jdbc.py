@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import os
-from collections.abc import Callable, Mapping
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -77,6 +77,38 @@ def key_bounds(spark: SparkSession, table: str, column: str) -> tuple | None:
     return None if row is None or row["low"] is None else (row["low"], row["high"])
 
 
+# Tables whose range column is a foreign key, so that equal widths may hold unequal rows.
+BRIDGES = ("productcategory", "sellerproduct")
+
+
+def quantile_query(table: str, column: str, parts: int) -> str:
+    """SQL for the values that cut a column into ``parts`` runs of about as many rows."""
+    fractions = ", ".join(str(i / parts) for i in range(1, parts))
+    return (
+        f"(SELECT unnest(percentile_disc(ARRAY[{fractions}]) WITHIN GROUP (ORDER BY {column})) AS cut"
+        f" FROM {table}) AS cuts"
+    )
+
+
+def range_predicates(column: str, cuts: Sequence[object]) -> list[str]:
+    """Conditions that part all rows: up to the first cut (and null), between neighbours, above the last.
+
+    A value that fills several quantiles gets a range of its own, so it is read over one connection.
+    """
+    bounds = sorted({c for c in cuts if c is not None})
+    if not bounds:
+        return ["1 = 1"]
+    between = [f"{column} > {a} AND {column} <= {b}" for a, b in zip(bounds, bounds[1:])]
+    return [f"{column} <= {bounds[0]} OR {column} IS NULL", *between, f"{column} > {bounds[-1]}"]
+
+
+def read_by_quantiles(spark: SparkSession, table: str, column: str, parts: int) -> DataFrame:
+    """Read a table over ``parts`` connections with about as many rows each, cut by the database."""
+    cuts = [row["cut"] for row in read_jdbc(spark, quantile_query(table, column, parts)).collect()]
+    url, properties = connection()
+    return spark.read.jdbc(url, table, predicates=range_predicates(column, cuts), properties=properties)
+
+
 def upstream_tables(
     spark: SparkSession,
     partitions: Mapping[str, tuple[str, tuple, int]] | None = None,
@@ -84,13 +116,16 @@ def upstream_tables(
 ) -> Callable[[str], DataFrame]:
     """Tables by name for a pipeline run, each read over ``connections`` connections.
 
-    The ranges run over the table's key, between bounds that the database is asked for;
+    The ranges run over the table's key, between bounds that the database is asked for, or, where the
+    column is a foreign key, at its quantiles;
     ``partitions`` gives (column, bounds, count) of tables that should be read otherwise.
     """
 
     def table(name: str) -> DataFrame:
         if name in (partitions or {}):
             return read_jdbc(spark, name, *partitions[name])
+        if name in BRIDGES:
+            return read_by_quantiles(spark, name, KEYS[name], connections)
         bounds = key_bounds(spark, name, KEYS[name])
         if bounds is None:
             return read_jdbc(spark, name)

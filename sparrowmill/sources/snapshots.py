@@ -48,17 +48,18 @@ def write_checked_snapshot(
     snapshot: str,
     check: Callable[[DataFrame], None],
     partition_by: Sequence[str] = (),
+    watch: Callable[[DataFrame], DataFrame] | None = None,
 ) -> None:
     """Write the rows out of readers' sight, check what was written, then show it as the snapshot.
 
     The rows are computed once, and those checked are those published even where the source has
-    moved on. When ``check`` raises no reader ever sees them; they stay aside for inspection until
+    moved on. ``watch`` may add observations to the rows as they are written, for ``check`` to read. When ``check`` raises no reader ever sees them; they stay aside for inspection until
     ``clear_aside``. A snapshot that is replaced is moved aside first and deleted last, so that no
-    failure in between loses it.
+    failure in between loses it; between the two renames a reader of that one snapshot finds none.
     """
     spark = df.sparkSession
     aside = f"{path}/_unchecked-{uuid.uuid4().hex}"
-    df.write.partitionBy(*partition_by).parquet(aside)
+    (watch(df) if watch else df).write.partitionBy(*partition_by).parquet(aside)
     check(spark.read.parquet(aside))
     final, fs, _ = _hadoop(spark, _folder(spark, path, snapshot_col, snapshot))
     replaced = _hadoop(spark, f"{path}/_replaced-{uuid.uuid4().hex}")[0] if fs.exists(final) else None

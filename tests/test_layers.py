@@ -6,7 +6,7 @@ from decimal import Decimal
 import pytest
 from pyspark.sql import functions as F
 
-from sparrowmill.catalog.layers import RUN_TS, STAND_IN_SUITES, upstream
+from sparrowmill.catalog.layers import RUN_TS, upstream, upstream_in_tens
 from sparrowmill.operators.quality import InvalidData
 from sparrowmill.plans import gold, silver
 from sparrowmill.plans.bronze import BRONZE, STAMP, bronze
@@ -89,10 +89,10 @@ def test_each_node_once_and_upstream_first(spark, tables):
 
 def test_a_run_can_be_stored_and_read_again(spark, tables, tmp_path):
     path = str(tmp_path / "lake")
-    pipeline = Pipeline(suites=STAND_IN_SUITES)
-    lazy = pipeline.run(spark, ["daily_order_metrics"], upstream(tables), RUN_TS, validate=False)
-    first = pipeline.run(spark, ["daily_order_metrics"], upstream(tables), RUN_TS, path)
-    second = pipeline.run(spark, ["daily_order_metrics"], upstream(tables), "2024-06-02 00:00:00", path)
+    pipeline, sources = Pipeline(), upstream_in_tens(tables)
+    lazy = pipeline.run(spark, ["daily_order_metrics"], sources, RUN_TS, validate=False)
+    first = pipeline.run(spark, ["daily_order_metrics"], sources, RUN_TS, path)
+    second = pipeline.run(spark, ["daily_order_metrics"], sources, "2024-06-02 00:00:00", path)
     rows = lambda run: sorted(map(tuple, run["daily_order_metrics"].df.drop(STAMP).collect()))
     assert rows(first) == rows(second) == rows(lazy)
     assert {r[0].day for r in first["orders"].df.select(STAMP).distinct().collect()} == {1}
@@ -112,9 +112,8 @@ def test_rejected_rows_are_never_published(spark, tables, tmp_path):
         Pipeline().run(spark, ["daily_order_metrics"], upstream(tables), RUN_TS, path)
     assert list_snapshots(spark, f"{path}/wide_orders", STAMP) == [RUN_TS]
     assert list_snapshots(spark, f"{path}/daily_order_metrics", STAMP) == []
-    again = Pipeline(suites=STAND_IN_SUITES)
     for _ in range(2):
-        done = again.run(spark, ["daily_order_metrics"], upstream(tables), RUN_TS, path)
+        done = Pipeline().run(spark, ["daily_order_metrics"], upstream_in_tens(tables), RUN_TS, path)
     assert list_snapshots(spark, f"{path}/daily_order_metrics", STAMP) == [RUN_TS]
     assert done["daily_order_metrics"].df.count() > 0
 
@@ -145,7 +144,7 @@ def test_reports_are_global_views(spark, tables):
 def test_both_reports_from_one_run(spark, tables, tmp_path):
     from sparrowmill.plans.runner import run_reports
 
-    views = run_reports(spark, upstream(tables), RUN_TS, str(tmp_path / "lake"), STAND_IN_SUITES)
+    views = run_reports(spark, upstream_in_tens(tables), RUN_TS, str(tmp_path / "lake"))
     assert views["daily_category_report"].columns == ["Date", "Product Category", "Mean Revenue", "Median Revenue"]
     assert views["daily_order_report"].count() > 0 and views["daily_category_report"].count() > 0
 
@@ -170,3 +169,21 @@ def test_user_history_runs(spark, tmp_path):
     assert [r.success for r in sorted(done["checks"].collect(), key=lambda r: r["position"])] == [True, True, True, True, False]
     assert list_snapshots(spark, path, SNAPSHOT) == ["2024-01-02 00:00:00", "2024-01-06 00:00:00"]
     assert spark.sql("SELECT * FROM global_temp.scd_users_report").columns == ["id", "is_active", "start_date", "end_date", "name", "age"]
+
+
+def test_a_gate_watches_the_write(spark, tables, tmp_path):
+    """The aggregates come from the job that writes; uniqueness reads its own columns only."""
+    from sparrowmill.operators.quality import Expectation, Gate
+
+    suite = [
+        Expectation("unique", "o_orderkey"), Expectation("unique", "o_custkey"), Expectation("not_null", "o_orderdate"),
+        Expectation("max_between", "o_totalprice", {"max_value": 10}),
+    ]
+    gate, path = Gate(suite, "orders"), str(tmp_path / "orders")
+    gate.watch(tables.orders).write.parquet(path)
+    assert set(gate.observed.get) == {"seen2", "bad2", "seen3", "bad3"} and gate.observed.get["bad3"] == 1
+    with pytest.raises(InvalidData, match=r"unique\(o_custkey\): \d+ unexpected, max_between\(o_totalprice\): 1 "):
+        gate.verdict(spark.read.parquet(path))
+    Gate(suite[:1] + suite[2:3], "orders").enforce(tables.orders)
+    with pytest.raises(InvalidData, match="max_between"):
+        Gate(suite[3:], "orders").enforce(tables.orders)

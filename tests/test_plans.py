@@ -6,6 +6,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from sparrowmill.catalog import joins as published
+from sparrowmill.operators import scd2, windows
+from sparrowmill.operators.plan_report import counts, kind, plan_steps
 from sparrowmill.plans import tpch
 from sparrowmill.registry import all_queries
 
@@ -53,7 +55,9 @@ def test_nothing_is_multiplied_out(spark, tiny):
 
 def test_filters_and_columns_reach_the_scan(tables):
     text = plan(tpch.q06(tables))
-    assert "GreaterThanOrEqual(l_shipdate" in text and "LessThan(l_quantity,24.0)" in text
+    (scan,) = [s for s in plan_steps(tpch.q06(tables), run=False) if kind(s.operator) == "scan"]
+    assert "GreaterThanOrEqual(l_shipdate" in scan.pushed and "LessThan(l_quantity,24.0)" in scan.pushed
+    assert scan.table == "lineitem" and scan.columns == 4
     read = re.search(r"ReadSchema: struct<([^>]*)>", text).group(1)
     assert {c.split(":")[0] for c in read.split(",")} == {"l_quantity", "l_extendedprice", "l_discount", "l_shipdate"}
 
@@ -88,21 +92,95 @@ def test_top_k_is_not_a_full_sort(spark, small):
 
 
 def test_pivot_values_save_the_distinct_scan(spark, small):
-    assert plan(QUERIES["pivot_priority"](spark, small)).count("FileScan") == 1
+    assert counted(QUERIES["pivot_priority"](spark, small), "scan") == {"scan": 1}
 
 
 def test_a_suite_is_one_pass(spark, small):
     from sparrowmill.operators.quality import Expectation, evaluate
 
     suite = [Expectation("not_null", "o_orderkey"), Expectation("between", "o_totalprice", {"max_value": 1})]
-    assert plan(evaluate(spark.read.parquet(f"{small}/orders.parquet"), suite)).count("FileScan") == 1
+    orders = spark.read.parquet(f"{small}/orders.parquet")
+    assert plan(evaluate(orders, suite)).count("FileScan") == 1
+    # All uniqueness checks share another one.
+    suite += [Expectation("unique", c) for c in ("o_orderkey", "o_custkey", "o_orderdate")]
+    assert plan(evaluate(orders, suite)).count("FileScan") == 2
 
 
 def test_ordinary_keys_take_the_plain_window(spark, small):
-    frame = QUERIES["win_running_sum"](spark, small)
-    frame.collect()
-    final = plan(frame).split("== Initial Plan ==")[0]
-    assert final.count("FileScan") == 1 and "Join" not in final
+    for name in ("win_running_sum", "win_rank_trio", "win_prev2_sum", "scd2_from_log"):
+        assert counted(QUERIES[name](spark, small)) == {"scan": 1, "exchange": 1}, name
+
+
+def counted(df, *kinds):
+    """Scans, exchanges and joins of the plan that ran."""
+    found = counts(plan_steps(df))
+    return {k: found[k] for k in kinds or ("scan", "exchange", "join") if k in found}
+
+
+def test_a_hot_key_costs_one_sort_and_one_row_per_range(spark, small):
+    """The table is read once to be sorted; what is left runs over the stored ranges."""
+    lines = spark.read.parquet(f"{small}/lineitem.parquet").select(
+        F.when(F.col("l_orderkey") % 3 == 0, 3).otherwise(F.col("l_orderkey")).alias("k"), "l_partkey", "l_discount"
+    )
+    order = [("l_discount", "desc")]
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        ranked = windows.ranked_and_running(
+            lines, ["k"], order, rank="r", dense_rank="d", hot_rows=1000,
+            row_number=("n", [*order, ("l_partkey", "asc")]),
+        )
+        steps = plan_steps(ranked)
+        assert not [s for s in steps if s.table.startswith("lineitem")]
+        found = counts(steps)
+        # The range exchange (once more where it is not reused), the rows per range to one task, their broadcast.
+        assert found["exchange"] <= 4 and found["join"] == 1
+        assert not any("hashpartitioning(k" in line for line in plan(ranked).splitlines())
+        moved = windows.moving(lines, ["k"], [*order, ("l_partkey", "asc")], (-1, 0), {"s": F.sum("l_partkey")}, hot_rows=1000)
+        assert not [s for s in plan_steps(moved) if s.table.startswith("lineitem")]
+        log = spark.read.parquet(f"{small}/events.parquet").select(
+            F.when(F.col("user_id") % 3 == 0, 3).otherwise(F.col("user_id")).alias("id"), "event_type",
+            (F.col("ts") + F.make_dt_interval(secs=F.col("event_id") * F.lit(0.000001))).alias("at"),
+        )
+        history = scd2.scd2_from_log(log, "id", ["event_type"], "at", hot_rows=1000)
+        steps = plan_steps(history)
+        assert not [s for s in steps if s.table.startswith("events")]
+        assert "Window" in {s.operator for s in steps} and counts(steps)["exchange"] <= 6
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+
+
+def test_brand_metrics_joins_the_stock_once(spark, small):
+    steps = plan_steps(QUERIES["brand_metrics"](spark, small))
+    found = counts(steps)
+    assert found["scan"] <= 6 and found["exchange"] <= 12
+    assert sum(s.table == "lineitem" for s in steps) == 2  # the lines and the stock made from them
+
+
+def test_unique_checks_sort_nothing_twice(spark, small):
+    for name in ("scd2_from_log", "dml_merge"):
+        assert "SortAggregate" not in plan(QUERIES[name](spark, small)), name
+
+
+def test_report_of_a_skewed_join(spark):
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.advisoryPartitionSizeInBytes": "64k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "64k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2.0",
+    }
+    rows = spark.range(0, 60_000, 1, 12).select(
+        F.when(F.col("id") % 3 == 0, 7).otherwise(F.col("id")).alias("k"), F.uuid().alias("text")
+    )
+    for name, value in settings.items():
+        spark.conf.set(name, value)
+    try:
+        joined = rows.join(spark.range(0, 60_000, 2, 4).withColumnRenamed("id", "k"), "k")
+        steps = plan_steps(joined)
+        assert any(s.skewed for s in steps) and not any(s.skewed for s in plan_steps(rows))
+        top = next(s for s in steps if s.operator == "SortMergeJoin")
+        assert top.rows == joined.count()
+    finally:
+        for name in settings:
+            spark.conf.unset(name)
 
 
 def test_no_python_in_any_plan(spark, tiny):

@@ -46,11 +46,11 @@ def test_hot_keys_are_seen(skewed):
 
 def test_ranges_and_their_guests(skewed, many_ranges):
     cut = ranges.sorted_ranges(skewed, [F.col("k").asc(), F.col("id").asc()])
-    rows = sorted(cut.collect(), key=lambda r: (r["__part"], r["__index"]))
+    rows = sorted(cut.rows.collect(), key=lambda r: (r["__part"], r["__index"]))
     assert [r["id"] for r in rows] == [r["id"] for r in skewed.orderBy("k", "id").collect()]
-    assert ranges.range_count(cut) == rows[-1]["__part"] + 1 > 4
+    assert len(cut.lengths) == rows[-1]["__part"] + 1 > 4 and sum(cut.lengths) == len(rows)
     for back, ahead in ((1, 0), (0, 2), (3, 3), (400, 1)):  # further than a range is long
-        met = ranges.with_guests(cut, back, ahead).collect()
+        met = cut.with_guests(back, ahead).collect()
         for part in {r["__part"] for r in rows}:
             here = [i for i, r in enumerate(rows) if r["__part"] == part]
             want = {*range(max(0, here[0] - back), here[0]), *range(here[-1] + 1, here[-1] + ahead + 1)}

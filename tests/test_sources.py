@@ -55,6 +55,41 @@ def test_jdbc_options(monkeypatch):
         jdbc.partition_options("id", None, 4)
 
 
+def test_ranges_at_quantiles_part_all_rows(spark):
+    assert jdbc.quantile_query("t", "k", 4) == (
+        "(SELECT unnest(percentile_disc(ARRAY[0.25, 0.5, 0.75]) WITHIN GROUP (ORDER BY k)) AS cut FROM t) AS cuts"
+    )
+    values = [None, *[7] * 500, *range(1000)]
+    rows = spark.createDataFrame([(v,) for v in values], "k int")
+    for cuts in ([7, 7, 7, 300, 650], [5], [], [None]):
+        parts = [rows.where(p).count() for p in jdbc.range_predicates("k", cuts)]
+        assert sum(parts) == len(values) and len(parts) == len({c for c in cuts if c}) + 1
+    assert max(rows.where(p).count() for p in jdbc.range_predicates("k", [7, 300, 650])) < 600
+
+
+def test_the_null_mark_is_refused(spark, where):
+    rows = spark.createDataFrame([(1, "\0")], "i int, s string")
+    with pytest.raises(Exception, match="NUL character"):
+        files.write_csv(rows, where)
+
+
+def test_few_keys_are_sliced_over_buckets(spark, where):
+    rows = spark.range(20_000).select((F.col("id") % 3).alias("k"), "id")
+    table = layout.write_bucketed(rows, "sliced", where, ["k"], buckets=32, slices=layout.slices_for(rows, ["k"], 32))
+    assert table.slices == 11 and table.buckets == 32 and table.even
+    assert table.read(spark).columns == ["k", "id"]
+    counts = table.read(spark).groupBy("k").count()
+    assert sorted(map(tuple, counts.collect())) == [(0, 6667), (1, 6667), (2, 6666)]
+    whole = layout.write_bucketed(rows, "unsliced", where + "2", ["id"], buckets=32)
+    grouped = whole.read(spark).groupBy("id").count()
+    assert whole.slices == 1 and "Exchange hashpartitioning" not in grouped._jdf.queryExecution().executedPlan().toString()
+    for made in (table, whole):
+        made.drop(spark)
+        assert not spark.catalog.tableExists(made.table)
+        with pytest.raises(Exception, match="PATH_NOT_FOUND"):
+            made.read_files(spark)
+
+
 def test_snapshots(spark, where):
     for n, snapshot in ((2, "2024-01-01 10:00:00"), (5, "2024-02-01 10:00:00"), (3, "2024-01-01 10:00:00")):
         snapshots.write_snapshot(spark.range(n), where, "snap", snapshot)
