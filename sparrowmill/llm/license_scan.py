@@ -48,16 +48,13 @@ NOTICES = (
      "publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to "
      "whom the Software is furnished to do so."),
     ("MPL-2.0", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0."),
+    ("All-rights-reserved", "All rights reserved."),
 )
 
 
-# Notices of fewer words than a shingle has, which the SQL of op9 cannot find.
-SHORT_NOTICES = (("All-rights-reserved", "All rights reserved."),)
 
-
-def notices(spark: SparkSession, short: bool = True) -> DataFrame:
-    listed = [*NOTICES, *(SHORT_NOTICES if short else ())]
-    return spark.createDataFrame(listed, "license string, text string")
+def notices(spark: SparkSession) -> DataFrame:
+    return spark.createDataFrame(list(NOTICES), "license string, text string")
 
 
 def let(value: Column, body) -> Column:

@@ -188,8 +188,12 @@ def _notice_rows() -> str:
         SELECT license, [w FOR w IN regexp_split_to_array(lower(text), '[^\pL\pN]+') IF w <> ''] AS w
         FROM notices
     ), wanted AS (
-        SELECT DISTINCT license, len(w) - 4 AS size, array_to_string(w[i : i + 4], ' ') AS shingle
-        FROM (SELECT *, unnest(range(1, len(w) - 3)) AS i FROM notice_words)
+        -- a notice of less than five words is one shingle of its own length
+        SELECT DISTINCT license, n, greatest(len(w) - 4, 1) AS size, array_to_string(w[i : i + n - 1], ' ') AS shingle
+        FROM (
+            SELECT *, least(len(w), 5) AS n, unnest(range(1, greatest(len(w) - 4, 1) + 1)) AS i
+            FROM notice_words WHERE len(w) > 0
+        )
     ), counted AS (
         SELECT license, count(*) AS shingles FROM wanted GROUP BY license
     ), document_words AS (
@@ -198,9 +202,12 @@ def _notice_rows() -> str:
     ), found AS (
         SELECT doc_id, license, size, i, shingle
         FROM (
-            SELECT doc_id, i, array_to_string(w[i : i + 4], ' ') AS shingle
-            FROM (SELECT *, unnest(range(1, len(w) - 3)) AS i FROM document_words)
-        ) JOIN wanted USING (shingle)
+            SELECT doc_id, n, i, array_to_string(w[i : i + n - 1], ' ') AS shingle
+            FROM (
+                SELECT *, unnest(range(1, len(w) - n + 2)) AS i
+                FROM document_words, (SELECT DISTINCT n FROM wanted)
+            )
+        ) JOIN wanted USING (n, shingle)
     ), windows AS (
         SELECT a.doc_id, a.license, a.i, count(DISTINCT b.shingle) AS held
         FROM found a JOIN found b
@@ -213,8 +220,7 @@ def _notice_rows() -> str:
     """,
 )
 def op9_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    listed = license_scan.notices(spark, short=False)  # as the SQL has them
-    found = license_scan.scan_licenses(table(spark, sf_dir, "documents"), listed)
+    found = license_scan.scan_licenses(table(spark, sf_dir, "documents"), license_scan.notices(spark))
     return found.select("doc_id", "license", "containment")
 
 

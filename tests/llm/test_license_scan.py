@@ -11,18 +11,18 @@ def words(text):
     return [w for w in re.split(r"[\W_]+", (text or "").lower()) if w]
 
 
-def shingles(found):
-    return [" ".join(found[i : i + 5]) for i in range(len(found) - 4)]
+def shingles(found, n=5):
+    return [" ".join(found[i : i + n]) for i in range(len(found) - n + 1)]
 
 
 def brute(rows, templates):
     out = set()
     for doc_id, text in rows:
-        have = shingles(words(text))
         for name, template in templates:
-            want = shingles(words(template))
-            if not want:
+            n = min(5, len(words(template)))  # a template of less than five words is one shingle
+            if not n:
                 continue
+            have, want = shingles(words(text), n), shingles(words(template), n)
             share = max((len(set(want) & set(have[s : s + len(want)])) / len(set(want))
                          for s in range(len(have))), default=0)
             if share >= 0.8:
