@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from itertools import groupby
 
 import numpy as np
 import pyarrow as pa
@@ -20,6 +21,18 @@ def text_of(column: str = "text") -> Column:
     return F.coalesce(F.col(column).cast("string"), F.lit(""))
 
 
+def free(df: DataFrame, *names: str) -> list[str]:
+    """The names, each with as many underscores before it as no column of ``df`` has."""
+    taken = {c.lower() for c in df.columns}
+    out = []
+    for name in names:
+        while name.lower() in taken:
+            name = f"_{name}"
+        taken.add(name.lower())
+        out.append(name)
+    return out
+
+
 def stored(df: DataFrame, **options: str) -> DataFrame:
     """``df`` written to the shared folder and read again: computed once, and with no lineage that
     a lost executor could force back to the start."""
@@ -43,14 +56,17 @@ def chunks(batches: Iterator[pa.RecordBatch], text: str = "text") -> Iterator[pa
             yield batch.slice(start)
 
 
-def merge_slabs(
-    rows: DataFrame, merge: Callable[[bytes, bytes], bytes], partitions: int
-) -> dict[int, bytes]:
+# Parts of a slab meet in groups of so many tasks at each level before the last.
+LEVELS = (16, 256, 4096)
+
+
+def merge_slabs(rows: DataFrame, merge: Callable[[bytes, bytes], bytes]) -> dict[int, bytes]:
     """A table cut into slabs, merged over all tasks: rows are (slab int, part binary).
 
     ``merge`` must be associative and commutative. A task gives each slab once; the parts of a slab
-    then meet sorted, so that two of them at a time are in memory. The caller bounds number and size
-    of the slabs, and so the result.
+    then meet sorted, so that two of them at a time are in memory: first those of 16 tasks, then of 256,
+    then of 4,096, so that a merging task reads 16 parts, or one for 4,096 tasks in the last level. The
+    caller bounds number and size of the slabs, and so the result.
     """
 
     def fold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -66,10 +82,37 @@ def merge_slabs(
         if slab is not None:
             yield _slab_row(slab, held)
 
-    dealt = rows.repartition(partitions, "slab").sortWithinPartitions("slab")
+    rows = rows.withColumn("task", F.spark_partition_id())
+    for width in LEVELS:
+        group = F.floor(F.col("task") / F.lit(width)).cast("int")
+        dealt = rows.withColumn("group", group).repartition("slab", "group").sortWithinPartitions("group", "slab")
+        rows = dealt.select("group", "slab", "part").mapInArrow(
+            lambda batches, width=width: _grouped(fold, width, batches), "slab int, part binary, task int"
+        )
+    dealt = rows.select("slab", "part").repartition("slab").sortWithinPartitions("slab")
     return {r[0]: bytes(r[1]) for r in dealt.mapInArrow(fold, "slab int, part binary").collect()}
 
 
+def _grouped(fold, width: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows of (group, slab, part), sorted, folded per slab of each group; a group goes on as the task
+    number that it begins with."""
+    for group, run in groupby(_rows_by_group(batches), key=lambda b: b[0]):
+        for merged in fold(b for _, b in run):
+            yield pa.RecordBatch.from_arrays(
+                [*merged.columns, pa.array([group * width] * merged.num_rows, pa.int32())], ["slab", "part", "task"]
+            )
+
+
+def _rows_by_group(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, pa.RecordBatch]]:
+    for batch in batches:
+        groups = batch.column(0).to_pylist()
+        start = 0
+        for i in range(1, len(groups) + 1):
+            if i == len(groups) or groups[i] != groups[start]:
+                yield groups[start], batch.select(["slab", "part"]).slice(start, i - start)
+                start = i
+
+
 def _slab_row(slab: int, part: bytes) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array([slab], pa.int32()), pa.array([part])], ["slab", "part"])
 

@@ -24,8 +24,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sparrowmill.llm.common import chunks, runs, stored, text_of
+from sparrowmill.llm.common import chunks, free, runs, stored, text_of
 from sparrowmill.llm.components import components
+from sparrowmill.operators.skew import apart
 
 SHINGLE = 5
 TREES, DEPTH = 24, 6
@@ -203,7 +204,8 @@ def near_classes(
                 (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"))
     )
     named = rooted.groupBy("root").agg(F.min("first_id").alias("class_id"))
-    result = stored(rooted.join(named, "root").select("same", "class_id", "n_links"))
+    # One class may hold most of the texts; set apart, the least ids let its partition be split.
+    result = stored(rooted.join(apart(named), "root").select("same", "class_id", "n_links"))
     whole = docs.select("doc_id", F.when(F.col("doc_id").isNotNull(), F.col("same")).alias("same"))
     return whole.join(result, "same", "left").select(
         "doc_id", F.coalesce("class_id", "doc_id").alias("class_id"), F.coalesce("n_links", F.lit(0)).alias("n_links")
@@ -216,9 +218,10 @@ def one_of_each_class(documents: DataFrame, threshold: float = 0.8) -> DataFrame
     Rows that repeat both doc_id and text are one document. Rows without doc_id have no class and
     stay, as do texts without words.
     """
-    kept = near_classes(documents, threshold).where("doc_id = class_id").select(F.col("doc_id").alias("__id")).distinct()
+    kept = near_classes(documents, threshold).where("doc_id = class_id").select("class_id").distinct()
+    kept = kept.withColumnRenamed("class_id", (name := free(documents, "class_id")[0]))
     known = documents.where("doc_id IS NOT NULL").join(
-        kept, F.col("doc_id").cast("long") == F.col("__id"), "left_semi"
+        kept, F.col("doc_id").cast("long") == F.col(name), "left_semi"
     )
     return known.dropDuplicates(["doc_id", "text"]).unionByName(documents.where("doc_id IS NULL"))
 

@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from sparrowmill.llm.common import chunks, merge_slabs, stored, text_of, total
+from sparrowmill.llm.common import chunks, free, merge_slabs, stored, text_of, total
 
 HASHES = 4
 SLAB_BYTES = 1 << 14
@@ -94,10 +94,9 @@ def seen_twice(documents: DataFrame, min_chars: int, bits: int) -> np.ndarray:
             )
 
     rows = documents.select("text").mapInArrow(build, "slab int, part binary")
-    partitions = max(2, min(64, bits // (8 * SLAB_BYTES) // 16))
     result = np.zeros(bits // 8, np.uint8)
     width = min(SLAB_BYTES, bits // 8)
-    for slab, part in merge_slabs(rows, merge_filters, partitions).items():
+    for slab, part in merge_slabs(rows, merge_filters).items():
         result[slab * width : (slab + 1) * width] = np.frombuffer(
             zlib.decompress(part), np.uint8
         ).reshape(2, -1)[1]
@@ -153,20 +152,22 @@ def repeated_lines(documents: DataFrame, min_chars: int = 40, min_docs: int = 5)
 
 
 def _stripped(documents: DataFrame, min_chars: int, min_docs: int) -> DataFrame:
-    """All columns, the text without its shared lines last, then __lines and __dropped."""
+    """All columns, then the text without its shared lines, the number of its lines and of those that go,
+    under names of their own."""
+    rank, whole, drop, lines_, dropped_ = free(documents, "__id", "__text", "__drop", "__lines", "__dropped")
     drops = repeated_lines(documents, min_chars, min_docs).withColumnsRenamed(
-        {"doc_id": "__id", "digests": "__drop"}
+        {"doc_id": rank, "digests": drop}
     )
     base = documents.select(
-        "*", F.col("doc_id").cast("long").alias("__id"), text_of().alias("__text")
-    ).join(drops, "__id", "left")
-    columns = [*documents.columns, "__text", "__drop"]
+        "*", F.col("doc_id").cast("long").alias(rank), text_of().alias(whole)
+    ).join(drops, rank, "left")
+    columns = [*documents.columns, whole, drop]
 
     def strip(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in chunks(batches, "__text"):
+        for batch in chunks(batches, whole):
             kept, lines, dropped = [], [], []
-            texts, drop = (c.to_pylist() for c in batch.columns[-2:])
-            for text, gone in zip(texts, drop):
+            texts, digests = (c.to_pylist() for c in batch.columns[-2:])
+            for text, gone in zip(texts, digests):
                 if gone is None:
                     kept.append(text)
                     lines.append(text.count("\n") + 1)
@@ -184,12 +185,12 @@ def _stripped(documents: DataFrame, min_chars: int, min_docs: int) -> DataFrame:
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns[:-2], pa.array(kept, pa.string()),
                  pa.array(lines, pa.int64()), pa.array(dropped, pa.int64())],
-                [*batch.schema.names[:-2], "__text", "__lines", "__dropped"],
+                [*batch.schema.names[:-2], whole, lines_, dropped_],
             )
 
     schema = T.StructType([
-        *documents.schema.fields, T.StructField("__text", T.StringType()),
-        T.StructField("__lines", T.LongType()), T.StructField("__dropped", T.LongType()),
+        *documents.schema.fields, T.StructField(whole, T.StringType()),
+        T.StructField(lines_, T.LongType()), T.StructField(dropped_, T.LongType()),
     ])
     return base.select(*[f"`{c}`" for c in columns]).mapInArrow(strip, schema)
 
@@ -207,18 +208,22 @@ def dedup_lines(documents: DataFrame, min_chars: int = 40, min_docs: int = 5) ->
     stays whole. Rows that repeat a doc_id are one document. An empty table gives an empty table.
     A document's own line digests travel as one set, so it is bounded by that document's length.
     """
-    return _stripped(documents.select("doc_id", "text"), min_chars, min_docs).select(
-        F.col("doc_id").cast("long").alias("doc_id"), F.col("__text").alias("text"),
-        F.col("__lines").alias("n_lines"), F.col("__dropped").alias("n_dropped"),
+    stripped = _stripped(documents.select("doc_id", "text"), min_chars, min_docs)
+    text, lines, dropped = stripped.columns[-3:]
+    return stripped.select(
+        F.col("doc_id").cast("long").alias("doc_id"), F.col(text).alias("text"),
+        F.col(lines).alias("n_lines"), F.col(dropped).alias("n_dropped"),
     )
 
 
 def without_shared_lines(documents: DataFrame, min_chars: int = 40, min_docs: int = 5) -> DataFrame:
     """The documents with all their columns; ``text`` (and ``n_chars``, where there is one) of those
-    that ``dedup_lines`` changes is what it leaves. Null texts stay null."""
-    changed = F.col("__dropped") > 0
-    new = {"text": F.col("__text"), "n_chars": F.length("__text")}
-    return _stripped(documents, min_chars, min_docs).select(*[
+    that ``dedup_lines`` changes is what it leaves. Null texts stay null. Columns may have any names."""
+    stripped = _stripped(documents, min_chars, min_docs)
+    text, _, dropped = stripped.columns[-3:]
+    changed = F.col(dropped) > 0
+    new = {"text": F.col(text), "n_chars": F.length(text)}
+    return stripped.select(*[
         F.when(changed, new[f.name].cast(f.dataType)).otherwise(F.col(f"`{f.name}`")).alias(f.name)
         if f.name in new else F.col(f"`{f.name}`")
         for f in documents.schema.fields

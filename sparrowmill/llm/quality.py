@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from sparrowmill.llm.common import chunks, merge_slabs, text_of
+from sparrowmill.llm.common import chunks, free, merge_slabs, text_of
 
 LEXICAL, SHAPES, DIMS = 1 << 16, 1 << 12, 32
 UNITS = LEXICAL + SHAPES
@@ -137,7 +137,7 @@ def word_vectors(documents: DataFrame) -> np.ndarray:
 
     sums = np.zeros((UNITS // SLAB_UNITS, SLAB_UNITS * DIMS), np.int64)
     rows = documents.select(text_of().alias("text")).mapInArrow(run, "slab int, part binary")
-    for slab, part in merge_slabs(rows, add, 16).items():
+    for slab, part in merge_slabs(rows, add).items():
         sums[slab] = np.frombuffer(part, np.int64)
     context, index = sums.reshape(UNITS, DIMS).astype(np.float64), index_vectors().astype(np.float64)
     length = np.linalg.norm(context, axis=1, keepdims=True)
@@ -260,7 +260,8 @@ def fitted_network(base: DataFrame, labels: DataFrame, vectors, max_labelled: in
 
 
 def with_scores(documents: DataFrame, labels: DataFrame, max_labelled: int = MAX_LABELLED) -> DataFrame:
-    """Documents with all their columns and ``__score``, the probability of quality label 1.
+    """Documents with all their columns, whatever their names, and last the probability of quality
+    label 1, as ``__score`` or, where that is taken, with more underscores before it.
 
     The word vectors come from all documents. The network is fitted on at most ``max_labelled``
     labelled documents, those with the smallest hash of their id among rows of ``labels`` with
@@ -274,17 +275,18 @@ def with_scores(documents: DataFrame, labels: DataFrame, max_labelled: int = MAX
     # UNITS x DIMS floats: 9 MB at any size.
     vectors = documents.sparkSession.sparkContext.broadcast(word_vectors(base))
     network = fitted_network(base, labels, vectors, max_labelled)
+    text, score_ = free(documents, "__text", "__score")
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = Units()
-        for batch in chunks(batches, "__text"):
+        for batch in chunks(batches, text):
             x = pooled(batch.column(batch.num_columns - 1).to_pylist(), vectors.value, known)
             yield pa.RecordBatch.from_arrays(
-                [*batch.columns[:-1], pa.array(network.probabilities(x))], [*batch.schema.names[:-1], "__score"]
+                [*batch.columns[:-1], pa.array(network.probabilities(x))], [*batch.schema.names[:-1], score_]
             )
 
-    schema = T.StructType([*documents.schema.fields, T.StructField("__score", T.DoubleType())])
-    return documents.select("*", text_of().alias("__text")).mapInArrow(score, schema)
+    schema = T.StructType([*documents.schema.fields, T.StructField(score_, T.DoubleType())])
+    return documents.select("*", text_of().alias(text)).mapInArrow(score, schema)
 
 
 def score_quality(
@@ -304,4 +306,6 @@ def keep_quality(
     documents: DataFrame, labels: DataFrame, max_labelled: int = MAX_LABELLED, threshold: float = 0.7
 ) -> DataFrame:
     """The documents, with their columns, whose score is ``threshold`` or more."""
-    return with_scores(documents, labels, max_labelled).where(F.col("__score") >= threshold).drop("__score")
+    scored = with_scores(documents, labels, max_labelled)
+    score = scored.columns[-1]
+    return scored.where(F.col(score) >= threshold).drop(score)

@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sparrowmill.llm.common import merge_slabs
+from sparrowmill.operators.skew import apart
 
 BLOCK_BYTES = 64  # one cache line: all bits of a key are in one block
 KEY_BITS = 8
@@ -60,7 +61,7 @@ def build_filter(rules: DataFrame) -> np.ndarray:
 
     out = np.zeros(size, np.uint8)
     rows = rules.select("rule").mapInArrow(run, "slab int, part binary")
-    for slab, part in merge_slabs(rows, either, 2).items():
+    for slab, part in merge_slabs(rows, either).items():
         out[slab * SLAB_BYTES : (slab + 1) * SLAB_BYTES] = np.frombuffer(part, np.uint8)
     return out
 
@@ -137,6 +138,7 @@ def judge(pages: DataFrame, rules: DataFrame, default: str = "allow") -> DataFra
         .agg(F.max(F.struct(F.col("wide") + F.col("deep"), "wide", "rule", "verdict")).alias("best"))
         .select("host", "path", "best.rule", "best.verdict")
     )
-    return probed.drop("keys").join(decided, ["host", "path"], "left").select(
+    # Pages of one URL may be most of the rows; set apart, the verdicts let their partition be split.
+    return probed.drop("keys").join(apart(decided), ["host", "path"], "left").select(
         "page_id", "host", "path", "rule", F.coalesce("verdict", F.lit(default)).alias("verdict")
     )

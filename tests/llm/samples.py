@@ -20,3 +20,11 @@ MESSY = [
     (None, "Equal text of a few words, twice."), (None, None), (7, LONG), (8, "Ünïcode 😀 　 x" * 3),
     (9, "one\r\ntwo\x0b\x85three"), (10, "'s 're''ll can't"),
 ]
+
+
+def crowded(spark, rows):
+    """The same with the very names that operators use inside, so that they must choose others."""
+    df = frame(spark, rows)
+    for name in ("__id", "__text", "__drop", "__lines", "__dropped", "__score", "_class_id", "class_id", "__TEXT_", "___id"):
+        df = df.withColumn(name, df["lang"])
+    return df

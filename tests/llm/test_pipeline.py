@@ -4,6 +4,7 @@ import zlib
 
 import numpy as np
 import pytest
+from samples import MESSY, crowded, frame
 from test_jaccard_join import brute as classes_of
 from test_line_dedup import brute as lines_of
 from test_packing import check as check_packing
@@ -11,6 +12,9 @@ from test_packing import check as check_packing
 import corpus_pipeline
 from sparrowmill.llm import quality
 from sparrowmill.llm.common import stored
+from sparrowmill.llm.jaccard_join import one_of_each_class
+from sparrowmill.llm.line_dedup import without_shared_lines
+from sparrowmill.llm.quality import keep_quality
 
 
 @pytest.fixture(scope="module")
@@ -66,3 +70,20 @@ def test_packed_rows_have_their_ids(passed):
     rows = passed[4].collect()
     assert rows and all(len(r["ids"]) == 4 * r["length"] for r in rows)
     assert all(zlib.crc32(bytes(r["ids"])) == r["ids_crc32"] for r in rows)
+
+
+def test_stages_take_columns_of_any_name(spark):
+    """Columns named like what the stages add inside: same rows, all columns, no crash."""
+    docs = crowded(spark, MESSY)
+    labels = spark.createDataFrame([(1, 1, 0), (4, 0, 0)], "doc_id long, quality int, toxic int")
+    kept = [
+        without_shared_lines(docs), keep_quality(docs, labels, threshold=0.0), one_of_each_class(docs),
+    ]
+    plain = frame(spark, MESSY)
+    want = [
+        without_shared_lines(plain), keep_quality(plain, labels, threshold=0.0), one_of_each_class(plain),
+    ]
+    for got, same in zip(kept, want):
+        assert got.columns == docs.columns
+        key = lambda r: repr((r["doc_id"], r["text"]))
+        assert sorted(map(key, got.select("doc_id", "text").collect())) == sorted(map(key, same.select("doc_id", "text").collect()))
