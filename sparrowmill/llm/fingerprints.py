@@ -140,7 +140,8 @@ def with_successor(documents: DataFrame) -> DataFrame:
 
     dealt = rows.withColumn("place", F.explode(places("rank")))
     dealt = dealt.withColumn("task", F.shiftright("place", 1)).withColumn("guest", F.col("place") % 2 == 1)
-    return dealt.repartition(len(cuts) + 1, "task").sortWithinPartitions(
+    # By the task's number, not by a hash of it: hashes would put several tasks' texts into one.
+    return dealt.repartitionById(len(cuts) + 1, F.col("task")).sortWithinPartitions(
         "task", "guest", F.col("rank").desc(), "text"
     )
 
