@@ -21,6 +21,9 @@ def _party(user: DataFrame, party: DataFrame, prefix: str) -> DataFrame:
     return left.join(right, "user_id")
 
 
+# The names that the selects below publish are fixed values: the columns of the published tables.
+
+
 def dim_buyer(user: DataFrame, buyer: DataFrame) -> DataFrame:
     return _party(user, buyer, "buyer").select(
         "user_id", "username", "email", "is_active",
