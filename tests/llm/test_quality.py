@@ -1,3 +1,4 @@
+import math
 import zlib
 
 import numpy as np
@@ -92,3 +93,45 @@ def test_shapes_of_very_long_words_are_whole():
     known = quality.Units()
     assert known[head + "-"] >> 32 != known[head + "+"] >> 32
     assert quality.shape("中" * 1_000_000 + "。") == "a。"
+
+
+def plain_features(texts):
+    """Pooled vectors of some texts, which are also the corpus, word by word."""
+    index, contexts, units = quality.index_vectors().astype(float), {}, []
+    for text in texts:
+        lexical, form, _ = quality.read_units([text or ""], quality.Units())
+        words = list(zip(lexical.tolist(), form.tolist()))
+        for i, own in enumerate(words):
+            for j in range(max(0, i - 2), min(len(words), i + 3)):
+                if j != i:
+                    for unit in own:
+                        contexts[unit] = contexts.get(unit, 0) + index[words[j][0]] + index[words[j][1]]
+        units.append(words)
+
+    def vector(unit):
+        context = contexts.get(unit, np.zeros(quality.DIMS))
+        return context / max(math.sqrt(sum(c * c for c in context)), 1) + index[unit] / 2
+
+    nothing = np.zeros(2 * quality.DIMS)
+    return [
+        np.concatenate([sum(vector(w[side]) for w in words) / len(words) for side in (0, 1)]) if words else nothing
+        for words in units
+    ]
+
+
+def test_scores_equal_a_plain_version(spark):
+    """Context sums, pooling and the network's forward pass, unit by unit."""
+    rng = np.random.default_rng(8)
+    good, bad = ["the", "quiet", "river", "runs", "slowly", "home"], ["BUY", "now!!!", "$$$", "click", "FREE", "win"]
+    rows = [(i, " ".join(rng.choice(bad if i % 3 else good, rng.integers(3, 12)))) for i in range(150)]
+    rows += [(900, None), (901, ""), (902, "one")]
+    labels = spark.createDataFrame([(i, int(i % 3 == 0), 0) for i in range(150)], "doc_id long, quality int, toxic int")
+    features = dict(zip((i for i, _ in rows), plain_features([t for _, t in rows])))
+    known = [i for i in range(150) if zlib.crc32(str(i).encode()) % 4 != 2]
+    x = np.array([features[i] for i in known]).astype(np.float32).astype(float)
+    net = quality.fit(x, np.array([float(i % 3 == 0) for i in known]))
+    for r in quality.score_quality(frame(spark, rows), labels).collect():
+        z = (features[r["doc_id"]] - net.mean) / net.scale
+        hidden = [math.tanh(sum(z * net.w1[:, k]) + net.b1[k]) for k in range(quality.HIDDEN)]
+        logit = sum(h * w for h, w in zip(hidden, net.w2)) + net.b2
+        assert r["score"] == pytest.approx(1 / (1 + math.exp(-logit / net.temperature)), abs=2e-3)

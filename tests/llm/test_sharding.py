@@ -1,3 +1,5 @@
+import hashlib
+import math
 import zlib
 from collections import Counter
 
@@ -91,3 +93,60 @@ def test_text_with_a_common_beginning_is_told_apart(spark):
     for r in placed:
         held.setdefault(r["shard"], set()).add(r["source"])
     assert max(len(s) for s in held.values()) <= 5
+
+
+def walked(dims, bits):
+    """Every cell's place on the curve, by walking along it: each place's Gray code is split over the axes,
+    and the turns of the sub-cubes are done again from the lowest plane up."""
+    places = {}
+    for index in range(1 << dims * bits):
+        x = [0] * dims
+        for bit in range(dims * bits):
+            x[dims - 1 - bit % dims] |= (index >> bit & 1) << bit // dims
+        top = x[-1] >> 1
+        for i in range(dims - 1, 0, -1):
+            x[i] ^= x[i - 1]
+        x[0] ^= top
+        for plane in range(1, bits):
+            low = (1 << plane) - 1
+            for i in range(dims - 1, -1, -1):
+                if x[i] >> plane & 1:
+                    x[0] ^= low
+                else:
+                    swap = (x[0] ^ x[i]) & low
+                    x[0], x[i] = x[0] ^ swap, x[i] ^ swap
+        places[tuple(x)] = index
+    return places
+
+
+def cells_of(values, cells):
+    """Numbers by the quantiles of all values; texts by the middle of their rows in the order of all."""
+    n = len(values)
+    if isinstance(values[0], str):
+        seen, out = 0, {}
+        for value, rows in sorted(Counter(values).items(), key=lambda v: v[0].encode()):
+            out[value] = min(math.floor((seen + rows / 2) * cells / n), cells - 1)
+            seen += rows
+        ranks = sorted(set(out.values()))
+        return [ranks.index(out[v]) for v in values]
+    held = sorted(values)
+    edges = sorted({held[max(math.ceil(i / cells * n), 1) - 1] for i in range(1, cells)})
+    return [sum(e <= v for e in edges) for v in values]
+
+
+def test_order_equals_a_walk_along_the_curve(documents):
+    bits, shards = 2, 40
+    rows = documents.select("doc_id", "text", "lang", "source", "n_chars").collect()
+    columns = [cells_of([r[c] for r in rows], 1 << bits) for c in ("lang", "source", "n_chars", "doc_id")]
+    place, lead = walked(4, bits), {}
+    for r, cell in sorted(zip(rows, zip(*columns)), key=lambda p: p[0]["doc_id"]):
+        lead.setdefault(r["text"], place[cell])
+    same = lambda r: hashlib.md5((r["text"] or "").encode()).hexdigest()
+    ordered = sorted(rows, key=lambda r: (lead[r["text"]], same(r), r["doc_id"]))
+    want, first = {}, {}
+    for at, r in enumerate(ordered):
+        number = at * shards // len(rows)
+        first.setdefault(number, at)
+        want[r["doc_id"]] = (number, at - first[number], lead[r["text"]])
+    got = {r["doc_id"]: (r["shard"], r["slot"], r["cell"]) for r in shard(documents, shards, "rows", bits=bits).collect()}
+    assert got == want
