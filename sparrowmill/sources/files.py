@@ -114,6 +114,10 @@ def delete_folder(spark: SparkSession, path: str) -> bool:
     return bool(fs.delete(location, True))
 
 
+# The folders named so far in this driver.
+_PARKED: list[str] = []
+
+
 def shared_folder(spark: SparkSession) -> str:
     """A new folder under the cluster's shared checkpoint folder.
 
@@ -124,4 +128,15 @@ def shared_folder(spark: SparkSession) -> str:
         if not spark.sparkContext.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
         base = tempfile.mkdtemp(prefix="sparrowmill-")
-    return f"{base.rstrip('/')}/sparrowmill-{uuid.uuid4().hex}"
+    _PARKED.append(f"{base.rstrip('/')}/sparrowmill-{uuid.uuid4().hex}")
+    return _PARKED[-1]
+
+
+def clear_shared_folders(spark: SparkSession) -> int:
+    """Delete every folder that ``shared_folder`` has named in this driver; the number of folders found.
+
+    For the caller to use when the results that read them are no longer needed.
+    """
+    found = sum(delete_folder(spark, path) for path in _PARKED)
+    _PARKED.clear()
+    return found

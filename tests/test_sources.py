@@ -250,3 +250,13 @@ def test_analyze(spark, tiny, where):
     found = analyze(spark, "analyzed", ["n_nationkey"])
     spark.sql("DROP TABLE analyzed")
     assert "25 rows" in found["table"] and "distinct_count=25" in found["n_nationkey"]
+
+
+def test_parked_folders_can_be_cleared(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(files, "_PARKED", [])
+    one = files.shared_folder(spark)
+    files.shared_folder(spark)  # named, never written
+    files.write_parquet(spark.range(3), one)
+    assert files.clear_shared_folders(spark) == 1 and files.clear_shared_folders(spark) == 0
+    with pytest.raises(Exception, match="PATH_NOT_FOUND"):
+        files.read_parquet(spark, one)
