@@ -37,6 +37,13 @@ def partition_pruned_read(t):
     )
 
 
+def outliving(t, result):
+    """A result, a row per group, stored so that the table it was read from can go."""
+    path = shared_folder(t.spark)
+    write_parquet(result, path)
+    return t.spark.read.parquet(path)
+
+
 def _by_quantity(t, sort):
     table = layout.write_bucketed(
         t.lineitem,
@@ -45,11 +52,9 @@ def _by_quantity(t, sort):
         ["l_quantity"],
         sort=sort,
     )
-    # The counts, a row per quantity, outlive the table.
-    path = shared_folder(t.spark)
-    write_parquet(table.read(t.spark).groupBy("l_quantity").agg(F.count(F.lit(1)).alias("cnt")), path)
+    counts = outliving(t, table.read(t.spark).groupBy("l_quantity").agg(F.count(F.lit(1)).alias("cnt")))
     table.drop(t.spark)
-    return t.spark.read.parquet(path)
+    return counts
 
 
 _QUANTITY_SQL = "SELECT l_quantity, COUNT(*) AS cnt FROM lineitem GROUP BY l_quantity"
@@ -82,7 +87,11 @@ def csv_table_insert(t):
     name, path = f"lineitem_csv_{uuid.uuid4().hex}", shared_folder(t.spark)
     table = dml.CatalogTable(t.spark, name, t.lineitem.schema, path, using="csv")
     table.insert_select(t.lineitem)
-    return t.spark.sql(f"SELECT l_suppkey, SUM(l_quantity) AS quantity FROM `{name}` GROUP BY l_suppkey")
+    sums = outliving(
+        t, t.spark.sql(f"SELECT l_suppkey, SUM(l_quantity) AS quantity FROM `{name}` GROUP BY l_suppkey")
+    )
+    table.drop(purge=True)
+    return sums
 
 
 def hard_texts(t):
@@ -107,8 +116,10 @@ def text_table_select(t):
         t.spark, name, rows.schema, shared_folder(t.spark), using="csv", options=text_format("|", line_breaks=True)
     )
     table.insert_select(rows)
-    return t.spark.sql(f"""SELECT o_comment IS NULL AS no_text, o_comment, length(o_comment) AS chars,
-        COUNT(*) AS orders, SUM(o_orderkey) AS keys FROM `{name}` GROUP BY ALL""")
+    texts = outliving(t, t.spark.sql(f"""SELECT o_comment IS NULL AS no_text, o_comment,
+        length(o_comment) AS chars, COUNT(*) AS orders, SUM(o_orderkey) AS keys FROM `{name}` GROUP BY ALL"""))
+    table.drop(purge=True)
+    return texts
 
 
 @query("delimited_table", "S06", with_ctes("orders_x", f"""
