@@ -5,6 +5,7 @@ from __future__ import annotations
 import hashlib
 import re
 from collections.abc import Iterator
+from contextlib import contextmanager
 from functools import cache
 from itertools import chain
 
@@ -12,7 +13,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from sparrowmill.llm.common import chunks, stored, text_of
@@ -21,8 +22,9 @@ from sparrowmill.llm.packing import encoder
 # Both tokenizers always cut before a single space between two characters that are no white space.
 BETWEEN_WORDS = re.compile(r"(?<=\S) (?=\S)")
 CACHE_WORDS, CACHE_CHARS = 600_000, 16_000_000  # the cache starts again when it holds as many
-BLOCK_TOKENS = 500_000  # merge_asof takes about as many tokens of a side at a time
+BLOCK_TOKENS = 250_000  # merge_asof takes about as many tokens of a side at a time
 HELD_PAIRS = 500_000  # a task hands its id pairs on when it has counted so many different ones
+BATCH_ROWS = 1000  # documents that Spark hands to Python at a time
 # A pair is frequent if it makes up 1 / FREQUENT of all links, so there are at most FREQUENT of them.
 FREQUENT = 200_000
 
@@ -39,13 +41,12 @@ class Side:
         self.ids = np.zeros(0, np.uint32)
         self.ends = np.zeros(1, np.int64)  # of each word's ids; word 0 has none
 
-    def learn(self, words: list[str]) -> np.ndarray:
-        """Keep the ids of new words. Returns whether a word's tokens spell a space and the word."""
-        ids, sizes = self.encode(words)
+    def learn(self, words: list[str], whole: bytes, lengths: np.ndarray) -> np.ndarray:
+        """Keep the ids of new words, given with the bytes of all, a space before each, and of each one.
+        Returns whether a word's tokens spell a space and the word."""
+        ids, sizes = self.encode(words, lengths)
         ends = np.cumsum(sizes)
         spelt = list(map(self.tokens.__getitem__, ids.tolist()))
-        whole = (" " + " ".join(words)).encode()
-        lengths = np.fromiter((len(w.encode()) + 1 for w in words), np.int64, len(words))
         spans = np.diff(np.cumsum(np.append(0, self.width[ids]))[ends], prepend=0)
         right = np.ones(len(words), bool)
         if None in spelt or b"".join(spelt) != whole or (spans != lengths).any():
@@ -77,10 +78,14 @@ def tokenizers_of(path_a: str, path_b: str):
 
     byte_bpe = encoder(path_a)
     pieces = SentencePieceProcessor(model_file=path_b)
-    ranks = byte_bpe._mergeable_ranks
-    tokens_a: list[bytes | None] = [None] * (max(ranks.values()) + 1)
-    for token, rank in ranks.items():
-        tokens_a[rank] = token
+
+    def bytes_of(i: int) -> bytes | None:
+        try:
+            return byte_bpe.decode_single_token_bytes(i)
+        except KeyError:
+            return None
+
+    tokens_a = [bytes_of(i) for i in range(byte_bpe.n_vocab)]
     width = np.array([len(t or b"") for t in tokens_a], np.int64)
 
     def spelling(i: int) -> bytes | None:
@@ -89,16 +94,15 @@ def tokenizers_of(path_a: str, path_b: str):
         piece = pieces.id_to_piece(i)
         return bytes([int(piece[3:5], 16)]) if pieces.is_byte(i) else piece.replace("▁", " ").encode()
 
-    def encode_a(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    def encode_a(words: list[str], lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         # Words without white space at their ends are encoded as one text, whose tokens their spaces part.
         if words[0] != words[0].strip():
             return flat([byte_bpe.encode_ordinary(" " + w) for w in words])
         ids = byte_bpe.encode_to_numpy(" " + " ".join(words)).astype(np.uint32)
-        ends = np.cumsum([len(w.encode()) + 1 for w in words])
-        after = np.searchsorted(np.cumsum(width[ids]), ends) + 1
+        after = np.searchsorted(np.cumsum(width[ids]), np.cumsum(lengths)) + 1
         return ids, np.diff(after, prepend=0)
 
-    def encode_b(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    def encode_b(words: list[str], lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         return flat(pieces.encode(words, num_threads=1))
 
     tokens_b = [spelling(i) for i in range(pieces.get_piece_size())]
@@ -125,12 +129,15 @@ class Tokens:
         if len(self.codes) > CACHE_WORDS or self.chars > CACHE_CHARS:
             self.clear()
         words = [BETWEEN_WORDS.split(t) if t else [] for t in texts]
-        unseen = sorted(set(chain.from_iterable(words)).difference(self.codes))
+        unseen = list(set(chain.from_iterable(words)).difference(self.codes))
         # Words that begin or end with white space apart: the others are encoded in one go.
         odd = [w for w in unseen if w != w.strip()]
         bare = [w for w in unseen if w == w.strip()] if odd else unseen
         for new in filter(None, (bare, odd)):
-            self.same = np.concatenate([self.same, self.a.learn(new) & self.b.learn(new)])
+            whole = (" " + " ".join(new)).encode()
+            lengths = np.fromiter((len(w.encode()) + 1 for w in new), np.int64, len(new))
+            right = self.a.learn(new, whole, lengths) & self.b.learn(new, whole, lengths)
+            self.same = np.concatenate([self.same, right])
             self.codes.update(zip(new, range(len(self.codes) + 1, len(self.codes) + len(new) + 1)))
             self.chars += sum(map(len, new))
         held = np.fromiter(map(len, words), np.int64, len(words))
@@ -234,6 +241,18 @@ def _packed(ids: np.ndarray, sizes: np.ndarray) -> pa.Array:
     return pa.array([data[i:j].tobytes() for i, j in zip(ends, ends[1:])], pa.binary())
 
 
+@contextmanager
+def small_batches(spark: SparkSession) -> Iterator[None]:
+    """Jobs started meanwhile hand BATCH_ROWS rows at a time to Python, in place of ten times as many."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, str(BATCH_ROWS))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 ALIGNED = (
     "row long, doc_id long, n_a long, n_b long, n_groups long, n_links long, groups_sha256 string, "
     "groups string, a_ids binary, b_ids binary, pair long, count long"
@@ -357,7 +376,8 @@ def aligned_tokens(documents: DataFrame, path_a: str, path_b: str, with_groups:
     one task's documents. Repeated rows stay; no other column is read; an empty table gives none.
     """
     texts = documents.select(F.col("doc_id").cast("long").alias("doc_id"), text_of().alias("text"))
-    return stored(texts.mapInArrow(_aligner(path_a, path_b, with_groups), ALIGNED), compression="zstd")
+    with small_batches(documents.sparkSession):
+        return stored(texts.mapInArrow(_aligner(path_a, path_b, with_groups), ALIGNED), compression="zstd")
 
 
 def pair_counts(aligned: DataFrame) -> DataFrame:
@@ -390,7 +410,8 @@ def align(documents: DataFrame, path_a: str, path_b: str, with_groups: bool = Tr
     )
     documents_of = aligned.where("row is not null").drop("pair", "count")
     ids = documents_of.select("row", "a_ids", "b_ids")
-    scored = stored(ids.mapInArrow(_scorer(path_a, path_b, frequent), SCORED))
+    with small_batches(spark):
+        scored = stored(ids.mapInArrow(_scorer(path_a, path_b, frequent), SCORED))
     rare = (
         scored.where("pair is not null").groupBy("row", "pair").agg(F.count("*").alias("n"))
         .join(counted, "pair")
