@@ -13,6 +13,7 @@ from sparrowmill.operators import quality
 from sparrowmill.operators.quality import Expectation
 from sparrowmill.operators.compare import compare_results as compare
 from sparrowmill.operators.scd2 import scd2_from_log
+from sparrowmill.operators.skew import apart
 from sparrowmill.plans.runner import SUITES
 from sparrowmill.plans.user_history import HISTORY_SUITE
 from sparrowmill.registry import query
@@ -97,8 +98,11 @@ FOREIGN_KEYS = (
     FROM (SELECT COUNT(*) AS c FROM {n} GROUP BY {', '.join(k)} HAVING COUNT(*) > 1)"""
     for n, k in PRIMARY_KEYS.items())))
 def pk_violations(t):
+    # The stock table is an aggregate on its key: its hash table is not to stand beside the count's two.
+    checked = {name: getattr(t, name) for name in PRIMARY_KEYS}
+    checked["partsupp"] = apart(checked["partsupp"])
     reports = [
-        quality.pk_violations(getattr(t, name), keys).agg(
+        quality.pk_violations(checked[name], keys).agg(
             F.lit(name).alias("table_name"),
             F.count(F.lit(1)).alias("repeated_keys"),
             F.coalesce(F.sum("copies"), F.lit(0)).alias("copies"),

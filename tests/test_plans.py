@@ -186,3 +186,11 @@ def test_report_of_a_skewed_join(spark):
 def test_no_python_in_any_plan(spark, tiny):
     for name in ("tpch_q01", "daily_category_metrics", "scd2_apply", "win_range_month", "one_big_table"):
         assert "Python" not in plan(QUERIES[name](spark, tiny)), name
+
+
+def test_keys_of_an_aggregate_are_counted_in_other_tasks(spark, tiny):
+    made = plan(QUERIES["pk_violations"](spark, tiny))
+    # From one exchange to the next: three hash tables of one task's rows, were they not set apart.
+    stages = re.split(r"Exchange", made[made.index("ps_partkey") :])
+    assert made.count("REBALANCE_PARTITIONS") == 1
+    assert max(len(re.findall(r"HashAggregate\(keys=\[[^\]]*_partkey", s)) for s in stages) <= 2
