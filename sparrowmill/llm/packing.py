@@ -157,11 +157,17 @@ def pack(
 
     Pieces are dealt evenly over one task per PIECES_PER_TASK pieces, which the tables' keys do not
     influence, and each task packs its stream with ``open_bins`` open sequences, twice as many pieces
-    at a time, the longest first. Memory is bounded by them. What is lost against packing all pieces
-    in one go is at most the free space of ``open_bins`` sequences a task.
+    at a time, the longest first. Memory is bounded by them: ``ids`` stay outside these tasks and meet
+    their places by the number that a piece got when it was stored. What is lost against packing all
+    pieces in one go is at most the free space of ``open_bins`` sequences a task.
     """
     pieces = tokenized_pieces(documents, path, size)
-    pieces = stored(pieces if with_ids else pieces.drop("ids"))
+    columns = [c for c in pieces.columns if with_ids or c != "ids"]
+    if with_ids:
+        pieces = stored(pieces.withColumn("row", F.monotonically_increasing_id()))
+        narrow = pieces.select("doc_id", "piece", "length", "row")
+    else:
+        pieces = narrow = stored(pieces.select(*columns))
     tasks = max(1, -(-pieces.count() // PIECES_PER_TASK))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -176,7 +182,13 @@ def pack(
                 [*block.schema.names, "sequence_id", "offset"],
             )
 
-    schema = ", ".join(f"{n} {t}" for n, t in pieces.dtypes) + ", sequence_id long, offset long"
+    schema = ", ".join(f"{n} {t}" for n, t in narrow.dtypes) + ", sequence_id long, offset long"
     # A mixed order: lengths arrive as in the whole table, whatever the order of the input.
-    mixed = pieces.repartition(tasks).sortWithinPartitions(F.xxhash64("doc_id", "piece"), "doc_id", "piece")
-    return mixed.mapInArrow(run, schema)
+    order = [c for c in ("doc_id", "piece", "row") if c in narrow.columns]
+    mixed = narrow.repartition(tasks).sortWithinPartitions(F.xxhash64("doc_id", "piece"), *order)
+    placed = mixed.mapInArrow(run, schema)
+    if not with_ids:
+        return placed
+    return pieces.join(placed.select("row", "sequence_id", "offset"), "row").select(
+        *columns, "sequence_id", "offset"
+    )

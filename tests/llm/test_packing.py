@@ -96,3 +96,26 @@ def test_edge_cases(messy, nothing):
     check(rows, MESSY, 512)
     assert all(zlib.crc32(bytes(r["ids"])) == r["ids_crc32"] for r in rows)
     assert pack(nothing, PATH).collect() == []
+
+
+def test_ids_stay_out_of_the_packing_tasks(documents):
+    plan = pack(documents, public_tokenizers.path("byte_bpe_50k.json"))._jdf.queryExecution().optimizedPlan().toString()
+    dealt = plan[plan.index("Repartition") :].splitlines()[1]
+    assert "length#" in dealt and "ids#" not in dealt
+
+
+def test_rows_that_repeat_keep_their_own_ids(spark):
+    rows = [(1, "one two three"), (1, "one two three"), (1, "four"), (None, "five"), (None, None)] * 40
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    packed = pack(docs, public_tokenizers.path("byte_bpe_50k.json"), size=16).collect()
+    assert len(packed) == len(rows)
+    assert all(len(r["ids"]) == 4 * r["length"] and zlib.crc32(r["ids"]) == r["ids_crc32"] for r in packed)
+    used = {}
+    for r in packed:
+        used.setdefault(r["sequence_id"], []).append((r["offset"], r["length"]))
+    for places in used.values():
+        ends = 0
+        for offset, length in sorted(places):
+            assert offset == ends
+            ends += length
+        assert ends <= 16
