@@ -8,8 +8,9 @@ from pyspark.sql import functions as F
 from sparrowmill.catalog import joins as published
 from sparrowmill.operators import scd2, windows
 from sparrowmill.operators.plan_report import counts, kind, plan_steps
-from sparrowmill.plans import tpch
+from sparrowmill.plans import models, tpch
 from sparrowmill.registry import all_queries
+from sparrowmill.sources.tables import Tables
 
 QUERIES = all_queries()
 
@@ -194,3 +195,42 @@ def test_keys_of_an_aggregate_are_counted_in_other_tasks(spark, tiny):
     stages = re.split(r"Exchange", made[made.index("ps_partkey") :])
     assert made.count("REBALANCE_PARTITIONS") == 1
     assert max(len(re.findall(r"HashAggregate\(keys=\[[^\]]*_partkey", s)) for s in stages) <= 2
+
+
+def test_one_big_table_moves_narrow_rows(spark, tiny):
+    df = QUERIES["one_big_table"](spark, tiny)
+    assert plan(df).count("REBALANCE_PARTITIONS") == 1
+    # Derived columns are computed above the joins and cross no exchange.
+    node = df._jdf.queryExecution().optimizedPlan()
+    while node.nodeName() != "Join":
+        node = node.children().head()
+    joined = node.output().mkString(" ")
+    assert "o_orderpriority" in joined and "l_shipdate" in joined
+    assert not re.search("l_commitdate|l_shipmode|o_clerk|clerk|c_phone|p_container|s_comment|availqty", joined)
+
+
+def test_one_big_table_where_rows_are_missing(spark, tiny):
+    t = Tables(spark, tiny)
+    t.orders = t.orders.where("o_orderkey % 3 > 0")
+    t.customer = t.customer.where("c_custkey % 2 > 0")
+    t.part = t.part.where("p_partkey % 4 > 0")
+    t.supplier = t.supplier.where("s_suppkey % 3 > 0")
+    gone = F.when(F.col("l_linenumber") > 1, F.col("l_partkey"))
+    t.lineitem = t.lineitem.union(t.lineitem.limit(20)).withColumn("l_partkey", gone)
+    t.partsupp = t.partsupp.where("ps_suppkey % 5 > 0")
+    wide = models.one_big_table(t)
+    names = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_commitdate", "l_shipmode", "orderkey",
+             "shippriority", "ordercomment", "clerk", "customerkey", "customerphone", "availqty", "supplycost",
+             "partkey", "container", "manufacturer", "suppkey", "suppliercomment"]
+    plain = (
+        t.lineitem_x.join(t.orders_x, F.expr("l_orderkey = o_orderkey"), "left")
+        .join(t.customer_x, F.expr("o_custkey = c_custkey"), "left")
+        .join(t.partsupp, F.expr("l_partkey = ps_partkey AND l_suppkey = ps_suppkey"), "left")
+        .join(t.part_x, F.expr("ps_partkey = p_partkey"), "left")
+        .join(t.supplier_x, F.expr("ps_suppkey = s_suppkey"), "left")
+        .select(*names[:6], "o_orderkey", "o_shippriority", "o_comment", "o_clerk", "c_custkey", "c_phone",
+                "ps_availqty", "ps_supplycost", "p_partkey", "p_container", "p_mfgr", "s_suppkey", "s_comment")
+    )
+    assert sorted(map(str, wide.select(*names).collect())) == sorted(
+        map(str, plain.toDF(*names).collect())
+    )
