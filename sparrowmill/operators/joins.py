@@ -25,6 +25,12 @@ def estimated_bytes(df: DataFrame) -> int:
     return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
 
 
+def goes_to_all_tasks(df: DataFrame) -> bool:
+    """Whether Catalyst would broadcast it in a join, by the estimate and the session's threshold."""
+    threshold = df.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
+    return estimated_bytes(df) <= threshold
+
+
 def broadcast_if_small(df: DataFrame, limit: int = BROADCAST_LIMIT) -> DataFrame:
     """Hint a broadcast only below ``limit`` bytes; beyond it the planner picks a shuffle join."""
     return F.broadcast(df) if estimated_bytes(df) <= limit else df

@@ -39,6 +39,27 @@ def has_hot_key(df: DataFrame, keys: Sequence[str], hot_rows: int = HOT_ROWS) ->
     return df.count() > hot_rows and bool(hot_keys(df, keys, hot_rows).head(1))
 
 
+def hot_keys_in_crowds(df: DataFrame, keys: Sequence[str], hot_rows: int) -> DataFrame | None:
+    """``hot_keys``, or None without any; a table of mostly different keys does not shuffle them.
+
+    Rows are counted by a hash of their key first, eight hashes for every ``hot_rows`` rows. Only rows
+    whose hash is hot, if there is one, are counted by key. Beyond 10^6 times ``hot_rows`` rows a key
+    needs a millionth of them to be hot, so that a million keys at most are broadcast.
+    """
+    rows = df.count()
+    if rows <= hot_rows:
+        return None
+    hot_rows = max(hot_rows, rows // 1_000_000)
+    cell = F.pmod(F.xxhash64(*keys), F.lit(-(-rows // hot_rows) * 8)).alias("__cell")
+    celled = df.select(*keys, cell)
+    crowded = hot_keys(celled, ["__cell"], hot_rows)
+    if not crowded.head(1):
+        return None
+    near = celled.join(F.broadcast(crowded), F.col("__cell") == F.col("__hot___cell"), "left_semi")
+    hot = hot_keys(near, keys, hot_rows)
+    return hot if hot.head(1) else None
+
+
 def apart(df: DataFrame) -> DataFrame:
     """A small-per-key join input, set apart by a shuffle so that the join shuffles it again.
 

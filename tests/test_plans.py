@@ -234,3 +234,76 @@ def test_one_big_table_where_rows_are_missing(spark, tiny):
     assert sorted(map(str, wide.select(*names).collect())) == sorted(
         map(str, plain.toDF(*names).collect())
     )
+
+
+@pytest.fixture
+def no_broadcast(spark):
+    name = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "-1")
+    yield
+    spark.conf.set(name, before)
+
+
+def exchanges(node):
+    """The columns of every shuffle in a plan that has not run yet."""
+    if node.getClass().getSimpleName() == "AdaptiveSparkPlanExec":
+        node = node.executedPlan()
+    found = [node.output().mkString(" ")] if node.getClass().getSimpleName() == "ShuffleExchangeExec" else []
+    children = node.children()
+    return found + [e for i in range(children.size()) for e in exchanges(children.apply(i))]
+
+
+def test_one_big_table_moves_the_lines_twice(spark, small, no_broadcast):
+    made = exchanges(QUERIES["one_big_table"](spark, small)._jdf.queryExecution().executedPlan())
+    assert sum("l_shipdate" in e for e in made) == 2
+    # The stock's keys move for their aggregate and once more; suppliers and their columns never do.
+    assert sum("ps_partkey" in e for e in made) == 2 and not any("s_name" in e for e in made)
+
+
+@pytest.mark.parametrize("few_bytes", [0, models.FEW_BYTES], ids=["many suppliers", "few suppliers"])
+@pytest.mark.parametrize("many_rows", [5, models.MANY_ROWS], ids=["large parts", "small parts"])
+def test_one_big_table_on_odd_rows(spark, no_broadcast, few_bytes, many_rows):
+    t = Tables(spark, "/nowhere")
+    day = "timestamp'1996-01-02 00:00:00'"
+    # Parts 0 and null are bought often, by lines of which some come twice; keys miss on either side.
+    t.lineitem = spark.range(120).selectExpr(
+        "nullif(id % 23, 7) AS l_orderkey",
+        "CASE WHEN id % 3 = 0 THEN 0 WHEN id % 3 = 2 THEN id % 17 END AS l_partkey",
+        "nullif(id % 11, 4) AS l_suppkey", "cast(id % 5 AS int) AS l_linenumber", "double(id % 9) AS l_quantity",
+        "id / 8 AS l_extendedprice", "0.05D AS l_discount", "0.02D AS l_tax", "'N' AS l_returnflag",
+        "'O' AS l_linestatus", f"{day} AS l_shipdate",
+    )
+    t.lineitem = t.lineitem.union(t.lineitem.limit(30))
+    t.orders = spark.range(20).selectExpr(
+        "id AS o_orderkey", "nullif(id % 6, 2) AS o_custkey", "'F' AS o_orderstatus", "id / 4 AS o_totalprice",
+        f"{day} AS o_orderdate", "'5-LOW' AS o_orderpriority",
+    )
+    t.customer = spark.range(5).selectExpr(
+        "id AS c_custkey", "concat('c', id) AS c_name", "int(id) AS c_nationkey", "id / 2 AS c_acctbal",
+        "'FURNITURE' AS c_mktsegment",
+    )
+    # Parts and suppliers come twice here and there, or have no key.
+    t.part = spark.range(18).selectExpr(
+        "CASE WHEN id < 15 THEN id WHEN id = 15 THEN 0 WHEN id = 16 THEN 5 END AS p_partkey",
+        "concat('p', id) AS p_name", "'Brand#1' AS p_brand", "'SMALL' AS p_type", "int(id) AS p_size",
+        "id / 2 AS p_retailprice",
+    )
+    t.supplier = spark.range(11).selectExpr(
+        "CASE WHEN id < 9 THEN id WHEN id = 9 THEN 3 END AS s_suppkey", "concat('s', id) AS s_name",
+        "int(id) AS s_nationkey", "id / 2 AS s_acctbal",
+    )
+    t.partsupp = t.partsupp.where("ps_suppkey IS NULL OR ps_suppkey % 5 > 0")
+    names = ["l_orderkey", "l_partkey", "l_suppkey", "l_extendedprice", "orderkey", "customername", "availqty",
+             "partkey", "partname", "container", "suppkey", "suppliername", "suppliercomment"]
+    plain = (
+        t.lineitem.join(t.orders, F.expr("l_orderkey = o_orderkey"), "left")
+        .join(t.customer, F.expr("o_custkey = c_custkey"), "left")
+        .join(t.partsupp, F.expr("l_partkey = ps_partkey AND l_suppkey = ps_suppkey"), "left")
+        .join(t.part_x, F.expr("ps_partkey = p_partkey"), "left")
+        .join(t.supplier_x, F.expr("ps_suppkey = s_suppkey"), "left")
+        .select(*names[:4], "o_orderkey", "c_name", "ps_availqty", "p_partkey", "p_name", "p_container",
+                "s_suppkey", "s_name", "s_comment")
+    )
+    wide = models.one_big_table(t, few_bytes, many_rows).select(*names)
+    assert sorted(map(str, wide.collect())) == sorted(map(str, plain.toDF(*names).collect()))

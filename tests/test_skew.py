@@ -44,6 +44,15 @@ def test_hot_keys_are_seen(skewed):
     assert not skew.has_hot_key(skewed.filter("k > 1"), ["k"], HOT)
 
 
+def test_hot_keys_in_crowds(skewed):
+    found = skew.hot_keys_in_crowds(skewed, ["k"], HOT)
+    assert {r[0] for r in found.collect()} == {1, None}
+    assert skew.hot_keys_in_crowds(skewed, ["k"], 900) is None
+    # Hashes that many keys share are hot where no key is.
+    assert skew.hot_keys_in_crowds(skewed.filter("k > 1"), ["k"], HOT) is None
+    assert skew.hot_keys_in_crowds(skewed.filter("k > 1").select("id"), ["id"], 1) is None
+
+
 def test_ranges_and_their_guests(skewed, many_ranges):
     cut = ranges.sorted_ranges(skewed, [F.col("k").asc(), F.col("id").asc()])
     rows = sorted(cut.rows.collect(), key=lambda r: (r["__part"], r["__index"]))
